@@ -20,13 +20,26 @@ def staging_root(spark: SparkSession) -> str:
     return root
 
 
+_written: list[str] = []
+
+
 def write_through(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return the scan of what was written.
 
     The result no longer depends on the upstream plan: lost executors cost a
-    re-read, and later passes read only the columns they need.
+    re-read, and later passes read only the columns they need. The files stay
+    until ``clear_staged``, as the caller's plan still reads them.
     """
     spark = df.sparkSession
     path = f"{staging_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete what this process staged, once every result built on it is stored."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(conf).delete(path, True)

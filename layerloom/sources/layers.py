@@ -76,7 +76,10 @@ def read_current_or_empty(
     return spark.read.schema(schema).parquet(f"{table_path}/version={versions[-1]}")
 
 
-def write_run(df: DataFrame, table_path: str, run_id: str, step: str) -> None:
-    """Add one step's rows of a run to a log table; repeating the step replaces them."""
-    path = f"{table_path}/pipeline_run_id={run_id}/pipeline_step={step}"
-    df.drop("pipeline_run_id", "pipeline_step").write.mode("overwrite").parquet(path)
+def write_log(df: DataFrame, table_path: str, **place: str) -> None:
+    """Add one step's rows to a log table, in the partition ``place`` names.
+
+    Repeating the step replaces its rows, so a retried run logs nothing twice.
+    """
+    folder = "/".join(f"{name}={value}" for name, value in place.items())
+    df.drop(*place).write.mode("overwrite").parquet(f"{table_path}/{folder}")

@@ -46,7 +46,7 @@ CTES = {
                TRY_CAST(treatment_response_score AS DECIMAL(10,2)) AS treatment_response_score, outcome
         FROM raw_encounters""",
     "billing": """
-        SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS billing_id,
+        SELECT l_orderkey * 10 + l_linenumber AS billing_id,
                l_orderkey AS encounter_id, l_linenumber AS line,
                CAST(l_extendedprice AS DECIMAL(18,2)) AS billing_amount,
                l_returnflag AS insurance, l_linestatus AS payment_status

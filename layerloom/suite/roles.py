@@ -6,6 +6,8 @@ supplier -> providers, events -> cancer catalog.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,8 +27,31 @@ REPORT_FILTER = ReportFilter(
 )
 
 
+# Stated schemas save a footer-reading job per table.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    ),
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def patients(spark, d) -> DataFrame:
@@ -97,7 +122,7 @@ def raw_encounters(spark, d) -> DataFrame:
 
 def billing(spark, d) -> DataFrame:
     return table(spark, d, "lineitem").select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("billing_id"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("billing_id"),
         F.col("l_orderkey").alias("encounter_id"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"),
         F.col("l_returnflag").alias("insurance"),
@@ -153,32 +178,49 @@ def dim_catalog(spark, d) -> DataFrame:
     )
 
 
-def dim_providers_of(spark, d) -> tuple[DataFrame, int]:
+@dataclass(frozen=True)
+class Dimensions:
+    patients: DataFrame
+    catalog: DataFrame
+    providers: DataFrame
+    provider_rows: int
+
+
+def dimensions(spark, d) -> Dimensions:
+    rows = table(spark, d, "supplier").count()
+    return Dimensions(
+        dim_patients(spark, d), dim_catalog(spark, d), dim_providers(providers(spark, d), rows=rows), rows
+    )
+
+
+def provider_dimension(spark, d) -> tuple[DataFrame, int]:
     rows = table(spark, d, "supplier").count()
     return dim_providers(providers(spark, d), rows=rows), rows
 
 
-def fact(spark, d, cardinality: str = "one") -> DataFrame:
-    doctors, rows = dim_providers_of(spark, d)
+def fact(spark, d, cardinality: str = "one", dims: Dimensions | None = None) -> DataFrame:
+    dims = dims or dimensions(spark, d)
     return fact_encounters(
         encounters(spark, d),
-        dim_patients(spark, d),
-        dim_catalog(spark, d),
+        dims.patients,
+        dims.catalog,
         billing(spark, d),
-        doctors,
+        dims.providers,
         cardinality=cardinality,
-        provider_rows=rows,
+        provider_rows=dims.provider_rows,
     )
 
 
 def overview(spark, d, cardinality: str = "one") -> DataFrame:
+    dims = dimensions(spark, d)
     return encounter_overview(
-        fact(spark, d, cardinality), dim_patients(spark, d), dim_catalog(spark, d), dim_providers_of(spark, d)[0]
+        fact(spark, d, cardinality, dims), dims.patients, dims.catalog, dims.providers
     )
 
 
 def performance(spark, d, cardinality: str = "one") -> DataFrame:
-    return provider_performance(fact(spark, d, cardinality), dim_providers_of(spark, d)[0])
+    dims = dimensions(spark, d)
+    return provider_performance(fact(spark, d, cardinality, dims), dims.providers)
 
 
 def filtered(spark, d) -> DataFrame:
