@@ -22,6 +22,11 @@ def date_key(day: Column) -> Column:
     return (F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)).cast("int")
 
 
+def month_label(day: Column) -> Column:
+    """The month as ``yyyy-MM``, which sorts like the dates in it."""
+    return F.date_format(day, "yyyy-MM")
+
+
 def preset_start(preset: str, lower: Column, upper: Column) -> Column:
     """First day of a preset that ends on ``upper`` and never begins before ``lower``."""
     if preset not in PRESETS:

@@ -32,6 +32,8 @@ def hot_keys(
     sample_rate: float = SAMPLE_RATE,
 ) -> HotKeys:
     """Keys estimated above ``rows_per_task`` rows, each with its number of splits."""
+    if df.count() <= rows_per_task:
+        return {}
     sampled = df.select(*keys)
     if sample_rate < 1.0:
         sampled = sampled.sample(sample_rate, seed=17)

@@ -10,14 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 def staging_root(spark: SparkSession) -> str:
     """The shared folder the session names; a local run without one gets its own."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="layerloom-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="layerloom-"))
+    return context.getCheckpointDir()
 
 
 _written: list[str] = []

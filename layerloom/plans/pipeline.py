@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from layerloom.functions.dates import month_label
 from layerloom.operators import quality, star
 from layerloom.operators.dedupe import drop_exact_duplicates, latest_per_key
 from layerloom.operators.scd2 import batch_time, current_versions, scd2_merge
@@ -174,6 +175,12 @@ def _versioned(run: Run, table: str, incoming: DataFrame, keys, tracked, sk: str
     return run.write("gold", table, merged)
 
 
+def _write_by_month(run: Run, table: str, rows: DataFrame) -> DataFrame:
+    """Store by encounter month: small months share a task, a large one gets many files."""
+    labelled = rows.withColumn("encounter_month", month_label(F.col("encounter_date")))
+    return run.write("gold", table, labelled.hint("rebalance", "encounter_month"), ("encounter_month",))
+
+
 def to_gold(run: Run, silver: Mapping[str, DataFrame], cardinality: str = "one") -> dict[str, DataFrame]:
     """Dimensions, fact, bridge and marts. Each table is stored before the next reads it."""
     counted = {row["table_name"]: row["valid_count"] for row in run.audit if row["pipeline_step"] == "bronze_to_silver"}
@@ -224,17 +231,13 @@ def to_gold(run: Run, silver: Mapping[str, DataFrame], cardinality: str = "one")
         cardinality=cardinality,
         provider_rows=counted["providers"],
     ).select("*", F.lit(run.batch.run_id).alias("pipeline_run_id"), loaded_at)
-    # Files hold one month each, and a month of any size spreads over many files.
-    by_month = fact.withColumn("encounter_month", F.date_format("encounter_date", "yyyy-MM"))
-    gold["fact_encounters"] = run.write(
-        "gold", "fact_encounters", by_month.hint("rebalance", "encounter_month"), ("encounter_month",)
-    )
+    gold["fact_encounters"] = _write_by_month(run, "fact_encounters", fact)
     stored = gold["fact_encounters"].drop("encounter_month")
     gold["bridge_encounter_provider"] = run.write(
         "gold", "bridge_encounter_provider", star.bridge_encounter_provider(stored).select("*", loaded_at)
     )
-    gold["encounter_overview"] = run.write(
-        "gold",
+    gold["encounter_overview"] = _write_by_month(
+        run,
         "encounter_overview",
         marts.encounter_overview(
             stored.drop("pipeline_run_id", "loaded_at"), patients, catalog, providers, busy=marts.busy_keys(stored)
@@ -258,7 +261,7 @@ def export(run: Run, gold: Mapping[str, DataFrame]) -> dict[str, str]:
         "dim_providers": gold["dim_providers"],
         "dim_date": gold["dim_date"],
         "fact_encounters": gold["fact_encounters"].drop("encounter_month"),
-        "encounter_overview": gold["encounter_overview"],
+        "encounter_overview": gold["encounter_overview"].drop("encounter_month"),
         "financial_analytics": gold["financial_analytics"],
         "provider_performance": gold["provider_performance"],
         "pipeline_audit": run.spark.read.parquet(run.layers.table("ops", "pipeline_audit")),

@@ -9,7 +9,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerloom.functions.dates import clamp_window, preset_start
+from layerloom.functions.dates import clamp_window, month_label, preset_start
 from layerloom.operators.masking import prefix_mask
 from layerloom.operators.quality import dq_summary
 
@@ -42,11 +42,14 @@ def filter_overview(overview: DataFrame, wanted: ReportFilter, dates: DataFrame
     """Rows the filter keeps; rows without a date never pass.
 
     ``dates`` is where the data bounds come from if not the overview itself,
-    for example the date dimension, which is far cheaper to scan.
+    for example the date dimension, which is far cheaper to scan. An overview
+    stored by ``encounter_month`` is read for the months of the window only.
     """
     window = date_window(overview if dates is None else dates, wanted.preset, wanted.start, wanted.end)
-    day = F.col("encounter_date")
-    keep: Column = (day >= window.select("start_date").scalar()) & (day <= window.select("end_date").scalar())
+    first, last = (window.select(c).scalar() for c in ("start_date", "end_date"))
+    keep: Column = F.col("encounter_date").between(first, last)
+    if "encounter_month" in overview.columns:
+        keep = keep & F.col("encounter_month").between(month_label(first), month_label(last))
     for column, values in (
         ("treatment", wanted.treatments),
         ("stage", wanted.stages),
@@ -83,7 +86,7 @@ def kpi_summary(rows: DataFrame) -> DataFrame:
 def monthly_trend(rows: DataFrame) -> DataFrame:
     return (
         rows.where(F.col("encounter_date").isNotNull())
-        .groupBy(F.date_format("encounter_date", "yyyy-MM").alias("month"))
+        .groupBy(month_label(F.col("encounter_date")).alias("month"))
         .agg(F.count_distinct("encounter_id").alias("encounter_count"))
         .orderBy("month")
     )

@@ -34,7 +34,7 @@ def presentable(df: DataFrame) -> DataFrame:
         elif isinstance(f.dataType, T.DateType):
             c = c.cast("string")
         elif isinstance(f.dataType, T.TimestampNTZType):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+            c = F.substring(c.cast("string"), 1, 19)
         elif isinstance(f.dataType, T.ArrayType):
             c = F.concat_ws("; ", c)
         return c.alias(f.name)

@@ -9,8 +9,13 @@ from layerloom.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("layerloom-tests", cores=os.environ.get("TEST_CPUS", "4"), memory="4g")
+def spark(tmp_path_factory):
+    session = local_session(
+        "layerloom-tests",
+        cores=os.environ.get("TEST_CPUS", "4"),
+        memory="4g",
+        config={"spark.checkpoint.dir": str(tmp_path_factory.mktemp("staged"))},
+    )
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
