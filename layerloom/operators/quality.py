@@ -94,6 +94,11 @@ def audit_rows(spark: SparkSession, rows: Sequence[dict]) -> DataFrame:
     return spark.createDataFrame([tuple(row.get(name) for name in names) for row in rows], AUDIT_SCHEMA)
 
 
+def latest_run(df: DataFrame) -> DataFrame:
+    """One row: the newest run id and the rows that carry any."""
+    return df.agg(F.max("pipeline_run_id").alias("pipeline_run_id"), F.count("pipeline_run_id").alias("row_count"))
+
+
 def newest_audit_first(audit: DataFrame) -> DataFrame:
     return audit.orderBy(F.desc_nulls_last("recorded_at"), "pipeline_step", "table_name")
 

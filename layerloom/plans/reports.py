@@ -9,7 +9,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerloom.functions.dates import clamp_window, month_label, preset_start
+from layerloom.functions.dates import PRESETS, clamp_window, month_label, preset_start
 from layerloom.operators.masking import prefix_mask
 from layerloom.operators.quality import dq_summary
 
@@ -38,6 +38,18 @@ def date_window(df: DataFrame, preset: str = "All Data", start: date | None = No
     return bounds.withColumns({"start_date": first, "end_date": last})
 
 
+def preset_windows(df: DataFrame) -> DataFrame:
+    """One row per preset with the window it comes to, from one pass over the dates."""
+    bounds = df.agg(F.min("encounter_date").alias("min_date"), F.max("encounter_date").alias("max_date"))
+    lower, upper = F.col("min_date"), F.col("max_date")
+
+    def window(preset: str) -> Column:
+        first, last = clamp_window(preset_start(preset, lower, upper), upper, lower, upper)
+        return F.struct(F.lit(preset).alias("preset"), first.alias("start_date"), last.alias("end_date"))
+
+    return bounds.select("min_date", "max_date", F.inline(F.array(*[window(p) for p in PRESETS])))
+
+
 def filter_overview(overview: DataFrame, wanted: ReportFilter, dates: DataFrame | None = None) -> DataFrame:
     """Rows the filter keeps; rows without a date never pass.
 

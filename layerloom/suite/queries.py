@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from layerloom.functions.dates import PRESETS
 from layerloom.functions.hashing import record_hash
 from layerloom.functions.text import strip_name_counter, trim_strings
 from layerloom.operators import quality, scd2, star
@@ -409,15 +408,8 @@ def filtered_overview(spark, d):
 def date_preset_window(spark, d):
     """The window of every preset, and of a requested range wider than the data."""
     dates = r.encounters(spark, d)
-    windows = [
-        reports.date_window(dates, preset).withColumn("preset", F.lit(preset)) for preset in PRESETS
-    ]
     asked = reports.date_window(dates, start=date(1900, 1, 1), end=date(1997, 6, 30))
-    windows.append(asked.withColumn("preset", F.lit("Requested")))
-    result = windows[0]
-    for window in windows[1:]:
-        result = result.unionByName(window)
-    return result
+    return reports.preset_windows(dates).unionByName(asked.withColumn("preset", F.lit("Requested")))
 
 
 @query

@@ -9,7 +9,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from layerloom.plans.pipeline import Batch, register_views, run_pipeline
+from layerloom.plans.pipeline import Batch, register_views, run_pipeline, run_step
 from layerloom.plans.reports import ReportFilter, filter_overview
 from layerloom.sources import layers as store
 from layerloom.sources.delimited import read_by_header, read_by_position
@@ -256,6 +256,19 @@ def test_a_table_can_be_rewritten_from_itself(spark, tmp_path):
     assert store.read_current(spark, table).count() == 5
 
 
+def test_steps_run_one_by_one_like_the_whole(spark, lake, tmp_path):
+    land(tmp_path, FIRST)
+    with pytest.raises(FileNotFoundError, match="bronze/patients"):
+        run_step(spark, str(tmp_path), "silver", BATCHES[0])
+    with pytest.raises(ValueError, match="unknown step"):
+        run_step(spark, str(tmp_path), "platinum", BATCHES[0])
+    for step in ("bronze", "silver"):
+        run_step(spark, str(tmp_path), step, BATCHES[0])
+    gold = run_step(spark, str(tmp_path), "gold", BATCHES[0])
+    for table in ("dim_patients", "fact_encounters"):
+        assert rows(gold[table]) == rows(lake[1][table])
+
+
 # Last: it rewrites the files the tests above read.
 def test_a_repeated_run_writes_the_same(spark, lake):
     root, _, second = lake

@@ -64,6 +64,11 @@ def test_newest_audit_first(spark):
     assert [r.table_name for r in quality.newest_audit_first(audit).collect()] == ["b", "a", "c"]
 
 
+def test_latest_run(spark):
+    df = spark.createDataFrame([("20240101",), ("20240301",), (None,)], "pipeline_run_id string")
+    assert tuple(quality.latest_run(df).first()) == ("20240301", 2)
+
+
 @pytest.mark.parametrize("ids, repeats", [([1, 1, 2], 1), ([None, None, 1], 1), ([None, 1], 0), ([], 0)])
 def test_dq_summary_counts_repeats_beyond_the_first(spark, ids, repeats):
     df = spark.createDataFrame([(i, None, None) for i in ids], "id int, amount double, day date")
