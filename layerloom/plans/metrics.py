@@ -96,26 +96,20 @@ PROVIDER_METRICS_EXACT = MetricView(
     },
 )
 
-# Stored questions over the marts, with a total order.
+# Stored questions over the marts, each with a total order.
 STORED_QUERIES = {
-    "monthly_encounters": """
-        SELECT CAST(date_trunc('MONTH', encounter_date) AS DATE) AS month_start,
-               count(DISTINCT encounter_id) AS encounter_count
-        FROM {encounter_overview}
-        GROUP BY 1
-        ORDER BY 1
-    """,
-    "stage_revenue": """
-        SELECT stage, sum(billing_amount) AS total_revenue
-        FROM {encounter_overview}
-        GROUP BY stage
-        ORDER BY total_revenue DESC NULLS LAST, stage
-    """,
-    "provider_ranking": """
-        SELECT provider_name, specialty, encounter_count, total_billing_amount
-        FROM {provider_performance}
-        ORDER BY encounter_count DESC NULLS LAST, total_billing_amount DESC NULLS LAST, provider_name
-    """,
+    "monthly_encounters": (
+        "SELECT trunc(encounter_date, 'MM') AS month_start, count(DISTINCT encounter_id) AS encounter_count "
+        "FROM {encounter_overview} GROUP BY ALL ORDER BY month_start"
+    ),
+    "stage_revenue": (
+        "SELECT stage, sum(billing_amount) AS total_revenue "
+        "FROM {encounter_overview} GROUP BY ALL ORDER BY total_revenue DESC NULLS LAST, stage"
+    ),
+    "provider_ranking": (
+        "SELECT provider_name, specialty, encounter_count, total_billing_amount FROM {provider_performance} "
+        "ORDER BY encounter_count DESC NULLS LAST, total_billing_amount DESC NULLS LAST, provider_name"
+    ),
 }
 
 

@@ -9,7 +9,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from layerloom.plans.pipeline import Batch, register_views, run_pipeline, run_step
+from layerloom.plans.pipeline import Batch, Run, register_views, run_pipeline, run_step
 from layerloom.plans.reports import ReportFilter, filter_overview
 from layerloom.sources import layers as store
 from layerloom.sources.delimited import read_by_header, read_by_position
@@ -143,6 +143,12 @@ def test_rejects_keep_their_row_and_reasons(spark, lake):
     assert {json.loads(r.record_payload)["name"] for r in blank} == {"No Id", "No Dob"}
 
 
+def test_each_half_of_a_split_reads_its_own_files(spark, lake):
+    bronze = Run(spark, Layers(str(lake[0])), BATCHES[1]).load("bronze")["billing"]
+    assert re.search(r"PartitionFilters: \[[^\]]*rejected", physical_plan(bronze))
+    assert "reject_reasons" not in bronze.columns and bronze.count() == 5
+
+
 def test_silver_is_typed_and_clean(spark, lake):
     patients = store.read_current(spark, f"{lake[0]}/silver/patients", before=BATCHES[1].run_id)
     found = {r.patient_id: r for r in patients.where("NOT rejected AND patient_id <> 'P007'").collect()}
