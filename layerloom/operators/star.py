@@ -68,9 +68,13 @@ def rotate_providers(
     order: Sequence[str] = ("encounter_id",),
     rows: int | None = None,
 ) -> DataFrame:
-    """Give encounters providers in turn, by position in a stated unique order."""
+    """Give encounters providers in turn, by position in a stated order.
+
+    Every other column breaks ties, so repeated ids are numbered the same way each time.
+    """
     total = providers.agg(F.count(F.lit(1))).scalar()
-    numbered = dense_key(encounters, order, "_row", base=F.lit(-1).cast("bigint"), rows=rows)
+    full_order = [*order, *[c for c in encounters.columns if c not in order]]
+    numbered = dense_key(encounters, full_order, "_row", base=F.lit(-1).cast("bigint"), rows=rows)
     slot = F.pmod(F.col("_row"), F.nullif(total, F.lit(0).cast("bigint")))
     return _with_provider_at(numbered, providers, slot, None).drop("_row")
 

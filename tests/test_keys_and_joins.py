@@ -53,6 +53,19 @@ def test_staged_files_go_to_the_named_folder_and_are_cleared(spark):
     assert not list(folder.glob("probe-*"))
 
 
+def test_a_cluster_must_name_its_shared_folder():
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            master = "yarn"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        staging.staging_root(Session)
+
+
 def test_latest_row_wins_and_null_counts_as_oldest(spark):
     df = spark.createDataFrame(
         [("a", None, "x"), ("a", 2, "z"), ("a", 2, "y"), ("b", None, "q"), (None, 1, "n"), (None, 3, "m")],

@@ -77,6 +77,25 @@ def test_splitting_hot_keys_changes_nothing(star, cardinality):
     assert rows(split) == rows(plain)
 
 
+@pytest.mark.parametrize("width", [1, 64])
+def test_fact_does_not_depend_on_the_shuffle_width(spark, star, width):
+    expected = rows(fact_encounters(*star))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(width))
+    try:
+        assert rows(fact_encounters(*star)) == expected
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_repeated_ids_take_turns_repeatably(spark, star):
+    df = spark.createDataFrame([("e1", i) for i in range(6)], "encounter_id string, n int")
+    turns = [
+        [r.provider_id for r in rotate_providers(df.repartition(k, "n"), star[-1]).orderBy("n").collect()] for k in (1, 3)
+    ]
+    assert turns == [["d1", "d2"] * 3] * 2
+
+
 def test_unknown_cardinality(star):
     with pytest.raises(ValueError, match="cardinality"):
         fact_encounters(*star, cardinality="some")
