@@ -2,8 +2,10 @@
 
 Keys with too many rows are found from a sample and given a number of splits.
 Rows of such a key are spread over its splits by a hash of their content, and
-the other side's rows of that key are repeated once per split. Which keys were
-found affects balance only: every key is joined in full either way.
+the other side's rows of that key are repeated once per split. Exact copies of
+a row, which hash alike, are counted first, dealt out over the splits as
+counts, and written out again after the join. Which keys were found affects
+balance only: every key is joined in full either way.
 """
 
 from __future__ import annotations
@@ -61,14 +63,33 @@ def _with_splits(df: DataFrame, keys: Sequence[str], splits: DataFrame) -> DataF
     )
 
 
-def _spread(df: DataFrame, own: str, other: str, own_slot: str, other_slot: str, replicate: bool, spread: bool) -> DataFrame:
-    """Hash each row into one of its key's own slots and repeat it for the other side's."""
-    content = [c for c in df.columns if c not in (own, other)]
-    slot = F.pmod(F.xxhash64(*content), F.col(own)).cast("int") if spread else F.lit(0)
-    placed = df.withColumn(own_slot, slot)
-    if replicate:
-        return placed.withColumn(other_slot, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
-    return placed.withColumn(other_slot, F.lit(0))
+def _spread(df: DataFrame, own: str, own_slot: str, copies: str, distinct: bool) -> DataFrame:
+    """Place each row in one of its key's own slots, by a hash of its content.
+
+    Copies become one row per slot they reach, with the number that belongs there.
+    """
+    content = df.columns
+    first = F.pmod(F.xxhash64(*content), F.col(own)).cast("int")
+    if distinct:
+        return df.withColumns({own_slot: first, copies: F.lit(1).cast("bigint")})
+    counted = df.groupBy(*content).agg(F.count(F.lit(1)).alias("_n"))
+    step = F.explode(F.sequence(F.lit(0), (F.least(F.col("_n"), F.col(own)) - 1).cast("int")))
+    share = F.floor(F.col("_n") / F.col(own)) + (F.col("_step") < F.pmod("_n", F.col(own))).cast("bigint")
+    return (
+        counted.withColumn("_step", step)
+        .withColumns({own_slot: F.pmod(first + F.col("_step"), F.col(own)).cast("int"), copies: share})
+        .drop("_n", "_step")
+    )
+
+
+def _repeat(df: DataFrame, other: str, other_slot: str, needed: bool) -> DataFrame:
+    """Give each row to every slot the other side may have put its key in."""
+    slots = F.explode(F.sequence(F.lit(0), F.col(other) - 1)) if needed else F.lit(0)
+    return df.withColumn(other_slot, slots)
+
+
+def _unspread(df: DataFrame, own_slot: str, copies: str) -> DataFrame:
+    return df.withColumns({own_slot: F.lit(0), copies: F.lit(1).cast("bigint")})
 
 
 def left_join(
@@ -78,11 +99,15 @@ def left_join(
     *,
     left_hot: HotKeys | None = None,
     right_hot: HotKeys | None = None,
+    left_distinct: bool = False,
 ) -> DataFrame:
     """``left.join(right, keys, "left")``, split where the hot keys say so.
 
-    ``right_hot`` must only hold keys that occur in ``right``. Without hot keys
-    this is the plain join and Spark picks the strategy.
+    ``right_hot`` must only hold keys that occur in ``right``. With
+    ``left_distinct`` the caller says that left rows are not exact copies of
+    each other, which saves a shuffle to count them; if they are, the result
+    is the same but they share a task. Without hot keys this is the plain join
+    and Spark picks the strategy.
     """
     left_hot = left_hot or {}
     right_hot = {k: n for k, n in (right_hot or {}).items() if None not in k}
@@ -95,18 +120,19 @@ def left_join(
         + [T.StructField("_left_splits", T.IntegerType()), T.StructField("_right_splits", T.IntegerType())]
     )
     listed = sorted({*left_hot, *right_hot}, key=repr)
-    splits = spark.createDataFrame(
-        [(*k, left_hot.get(k, 1), right_hot.get(k, 1)) for k in listed], schema
-    )
-    many_left, many_right = bool(left_hot), bool(right_hot)
-    a = _spread(
-        _with_splits(left, keys, splits), "_left_splits", "_right_splits", "_a", "_b", many_right, many_left
-    )
-    b = _spread(
-        _with_splits(right, keys, splits), "_right_splits", "_left_splits", "_b", "_a", many_left, many_right
-    ).drop("_left_splits", "_right_splits").withColumn("_found", F.lit(True))
+    splits = spark.createDataFrame([(*k, left_hot.get(k, 1), right_hot.get(k, 1)) for k in listed], schema)
+
+    a, b = _with_splits(left, keys, splits), _with_splits(right, keys, splits)
+    a = _spread(a, "_left_splits", "_a", "_left_n", left_distinct) if left_hot else _unspread(a, "_a", "_left_n")
+    b = _spread(b, "_right_splits", "_b", "_right_n", False) if right_hot else _unspread(b, "_b", "_right_n")
+    a = _repeat(a, "_right_splits", "_b", bool(right_hot))
+    b = _repeat(b, "_left_splits", "_a", bool(left_hot)).drop("_left_splits", "_right_splits")
     joined = a.join(b, [*keys, "_a", "_b"], "left")
-    if many_right:
+    if right_hot:
         # A key split on the right has matches, so a copy that met none is surplus.
-        joined = joined.where((F.col("_right_splits") == 1) | F.col("_found"))
-    return joined.select(*left.columns, *[c for c in right.columns if c not in keys])
+        joined = joined.where((F.col("_right_splits") == 1) | F.col("_right_n").isNotNull())
+    output = [*left.columns, *[c for c in right.columns if c not in keys]]
+    if right_hot or not left_distinct:
+        times = F.col("_left_n") * F.coalesce("_right_n", F.lit(1))
+        joined = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), times)))
+    return joined.select(*output)

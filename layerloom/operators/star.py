@@ -139,7 +139,7 @@ def fact_encounters(
         cancers = first_per_key(cancers, ["patient_id"], ["cancer_type"]).drop("cancer_type")
         # Both sides are unique per patient, so one lookup table serves both keys.
         lookup = people.join(cancers, "patient_id", "full_outer")
-        rows = left_join(rows, lookup, ["patient_id"], left_hot=busy_patients)
+        rows = left_join(rows, lookup, ["patient_id"], left_hot=busy_patients, left_distinct=True)
     else:
         rows = left_join(
             encounters, bills, ["encounter_id"], right_hot=hot_keys(bills, ["encounter_id"], **limits)

@@ -26,9 +26,10 @@ def encounter_overview(
     """
 
     def lookup(rows: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
-        return left_join(rows, dimension, [key], left_hot=(busy or {}).get(key))
+        # Encounter and billing id, kept until the end, tell the rows of a key apart.
+        return left_join(rows, dimension, [key], left_hot=(busy or {}).get(key), left_distinct=True)
 
-    rows = fact.drop("patient_id", "date_sk", "billing_id")
+    rows = fact.drop("patient_id", "date_sk")
     rows = lookup(
         rows,
         patients.select("patient_sk", "patient_id", "patient_name", "gender", "age", "smoking_status"),

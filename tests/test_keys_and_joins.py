@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from layerloom.operators import staging
 from layerloom.operators.dedupe import drop_exact_duplicates, first_per_key, latest_per_key
 from layerloom.operators.keys import dense_key, max_key
-from layerloom.operators.skew import hot_keys, left_join
+from layerloom.operators.skew import _spread, hot_keys, left_join
 from plans import physical_plan, rows
 
 
@@ -123,6 +123,21 @@ def test_split_join_equals_the_plain_join(spark, split_left, split_right):
     assert rows(joined.select("k", "l", "r")) == rows(plain)
 
 
+def test_copies_are_dealt_out_and_all_come_back(spark):
+    left = spark.createDataFrame([(1, "l")] * 50 + [(1, "m")] * 3 + [(2, "l"), (None, "n"), (None, "n")], "k int, l string")
+    right = spark.createDataFrame([(1, "r")] * 40 + [(1, "s"), (3, "t"), (None, "u")], "k int, r string")
+    for left_hot, right_hot in (({(1,): 4}, {(1,): 8}), ({(1,): 7, (None,): 2}, {}), ({}, {(1,): 3, (3,): 2})):
+        joined = left_join(left, right, ["k"], left_hot=left_hot, right_hot=right_hot)
+        assert rows(joined) == rows(left.join(right, "k", "left"))
+
+
+def test_copies_leave_a_task_as_one_row_per_slot(spark):
+    left = spark.createDataFrame([(1, "l")] * 50, "k int, l string")
+    placed = _spread(left.withColumn("_left_splits", F.lit(4)), "_left_splits", "_a", "_copies", False)
+    assert sorted(r._copies for r in placed.collect()) == [12, 12, 13, 13]
+    assert len({r._a for r in placed.collect()}) == 4
+
+
 def test_hot_keys_names_heavy_keys_and_null(spark):
     left, _ = _skewed(spark)
     found = hot_keys(left, ["k"], rows_per_task=30, sample_rate=1.0)
