@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerloom.llm import license_scan, mixing, pii, sharding, token_counts
+from layerloom.llm import license_scan, mixing, pii, quality, sharding, simhash, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,24 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score of every document, learned from labels outside the held-out fifth."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    model = quality.fit(docs, labels.where(~held_out))
+    return quality.scores(docs.select("doc_id", "text"), model).select(
+        F.col("row.doc_id").alias("doc_id"),
+        F.coalesce(F.crc32(F.col("row.doc_id").cast("string")) % 5 == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     return pii.digest(pii.personal_data(table(spark, sf_dir, "documents")))
@@ -47,5 +65,13 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_license_scan, op3_token_counts, op6_pii, op9_sharding, op10_mixing)
+    f.__name__: f for f in (
+        op1_license_scan,
+        op3_token_counts,
+        op4_quality,
+        op5_simhash,
+        op6_pii,
+        op9_sharding,
+        op10_mixing,
+    )
 }

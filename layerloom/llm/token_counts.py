@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 DEFAULT_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Words remembered per task, and the longest that is; both bound memory only.
-MEMO_WORDS = 200_000
+MEMO_WORDS = 400_000
 MEMO_LENGTH = 64
 
 
