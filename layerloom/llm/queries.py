@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerloom.llm import license_scan, mixing, pii, quality, sharding, simhash, token_counts
+from layerloom.llm import license_scan, mixing, pii, quality, repeats, sharding, simhash, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,6 +49,11 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.personal_data(table(spark, sf_dir, "documents")))
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without repeated strings of 200 bytes."""
+    return repeats.without_repeats(table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shard of every document, none over 16 MiB."""
     placed = sharding.extendible_shards(table(spark, sf_dir, "documents"))
@@ -71,6 +76,7 @@ QUERIES: dict[str, Query] = {
         op4_quality,
         op5_simhash,
         op6_pii,
+        op7_repeats,
         op9_sharding,
         op10_mixing,
     )
