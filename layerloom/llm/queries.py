@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerloom.llm import license_scan, mixing, pii, quality, repeats, sharding, simhash, token_counts
+from layerloom.llm import decontaminate, license_scan, mixing, pii, quality, repeats, sharding, simhash, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,6 +54,12 @@ def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.without_repeats(table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the item."""
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnsRenamed({"key": "doc_id", "item": "item_id"})
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shard of every document, none over 16 MiB."""
     placed = sharding.extendible_shards(table(spark, sf_dir, "documents"))
@@ -77,6 +83,7 @@ QUERIES: dict[str, Query] = {
         op5_simhash,
         op6_pii,
         op7_repeats,
+        op8_decontamination,
         op9_sharding,
         op10_mixing,
     )
