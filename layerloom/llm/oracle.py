@@ -33,6 +33,20 @@ SELECT doc_id, licence, max(dice) AS dice, count(*) AS n_units
 FROM scored WHERE dice >= {license_scan.DEFAULT_THRESHOLD} GROUP BY doc_id, licence
 """
 
+OP2 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+asked AS (SELECT DISTINCT vec_id, q FROM v WHERE vec_id % 50 = 0),
+scored AS (
+  SELECT a.vec_id AS query_id, v.vec_id, list_dot_product(a.q, v.q)::BIGINT AS score
+  FROM asked a JOIN v ON a.vec_id <> v.vec_id AND len(a.q) = len(v.q)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
 OP9 = f"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, strlen(coalesce(text, '')) AS n_bytes,
@@ -72,4 +86,4 @@ SELECT doc_id, source, copy, ('0x' || substr(md5('17:order:' || id || ':' || cop
 FROM copies, unnest(range(1, copies + 1)) AS t(copy)
 """
 
-ORACLES: dict[str, str] = {"op1_license_scan": OP1, "op9_sharding": OP9, "op10_mixing": OP10}
+ORACLES: dict[str, str] = {"op1_license_scan": OP1, "op2_topk": OP2, "op9_sharding": OP9, "op10_mixing": OP10}

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerloom.llm import decontaminate, license_scan, mixing, pii, quality, repeats, sharding, simhash, token_counts
+from layerloom.llm import decontaminate, license_scan, mixing, pii, quality, repeats, sharding, simhash, token_counts, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,19 +21,32 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.licence_scan(table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
 
 
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five highest inner products of every fiftieth vector with all others."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words and tokens of every document."""
     return token_counts.token_counts(table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
 
 
+def held_out(doc_id: str) -> Column:
+    """The fifth of documents whose labels nothing learns from; a NULL id is not in it."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
+
+
+def learnable(labels: DataFrame) -> DataFrame:
+    return labels.where(~held_out("doc_id"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A quality score of every document, learned from labels outside the held-out fifth."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
-    model = quality.fit(docs, labels.where(~held_out))
-    return quality.scores(docs.select("doc_id", "text"), model).select(
+    scored = quality.scores(docs.select("doc_id", "text"), quality.fit(docs, learnable(labels)))
+    return scored.select(
         F.col("row.doc_id").alias("doc_id"),
-        F.coalesce(F.crc32(F.col("row.doc_id").cast("string")) % 5 == 0, F.lit(False)).alias("held_out"),
+        held_out("row.doc_id").alias("held_out"),
         "score",
         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
     )
@@ -78,6 +91,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_license_scan,
+        op2_topk,
         op3_token_counts,
         op4_quality,
         op5_simhash,
