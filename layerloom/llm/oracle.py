@@ -63,7 +63,8 @@ FROM d JOIN leaves USING (r)
 
 OP10 = f"""
 WITH d AS (
-  SELECT doc_id, source, {SQL_CONTENT_MD5} AS id, strlen(coalesce(text, '')) + 1 AS n FROM documents),
+  SELECT row_number() OVER () AS r, doc_id, source, {SQL_CONTENT_MD5} AS id, strlen(coalesce(text, '')) + 1 AS n
+  FROM documents),
 sizes AS (SELECT source, sum(n) AS bytes, pow(sum(n)::DOUBLE, 0.7) AS weight FROM d GROUP BY source),
 rates AS (
   SELECT source, weight / (SELECT sum(weight) FROM sizes) * (SELECT sum(bytes) FROM sizes)::DOUBLE / bytes AS rate
@@ -75,12 +76,12 @@ terms AS (
   SELECT source, k, sum(exp(-mean + k * ln(mean) - lgamma(k + 1.0))) OVER (PARTITION BY source ORDER BY k) AS cdf
   FROM parted, range(0, {mixing.TERMS + 1}) AS t(k)),
 draws AS (
-  SELECT d.doc_id, d.source, d.id, part,
+  SELECT d.r, d.doc_id, d.source, d.id, part,
     ('0x' || substr(md5('17:' || d.id || ':' || part::VARCHAR), 1, {mixing.UNIFORM_DIGITS}))::BIGINT
       / {float(16**mixing.UNIFORM_DIGITS)!r} AS u
   FROM d JOIN parted p ON d.source IS NOT DISTINCT FROM p.source, unnest(range(1, p.parts + 1)) AS t(part)),
 copies AS (
-  SELECT w.doc_id, w.source, w.id, count(*) AS copies
+  SELECT w.r, w.doc_id, w.source, w.id, count(*) AS copies
   FROM draws w JOIN terms t ON w.source IS NOT DISTINCT FROM t.source AND t.cdf <= w.u GROUP BY ALL)
 SELECT doc_id, source, copy, ('0x' || substr(md5('17:order:' || id || ':' || copy::VARCHAR), 1, 15))::BIGINT AS shuffle_key
 FROM copies, unnest(range(1, copies + 1)) AS t(copy)

@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 WORD_TERMS, SHAPE_TERMS, STATE_TERMS = 2048, 1920, 128
 TERMS = WORD_TERMS + SHAPE_TERMS + STATE_TERMS
 RANK = 64
+#: Columns beyond the rank, and rounds, of the subspace iteration.
+SPARE, ITERATIONS = 16, 4
 SAMPLE = 8192
 NEIGHBOURS = 25
 SHARPNESS = 4
@@ -107,29 +109,34 @@ def weigh(rows: np.ndarray, idf: np.ndarray) -> np.ndarray:
 class Model:
     """Latent space, labelled vectors in it (unit length) and their labels."""
 
-    def __init__(self, counts: np.ndarray, labels: np.ndarray):
+    def __init__(self, sample: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray):
+        """``sample`` has the terms and counts of each labelled text."""
         self.prior = float(labels.mean()) if len(labels) else 0.5
-        self.labels = labels.astype(np.float32)
-        filled = counts.any(axis=1)
-        counts, self.labels = counts[filled], self.labels[filled]
-        seen = (counts > 0).sum(axis=0)
-        self.idf = (np.log((1 + len(counts)) / (1 + seen)) + 1).astype(np.float32)
-        if not len(counts):
-            self.space = np.zeros((TERMS, 1), np.float32)
-            self.vectors = np.zeros((0, 1), np.float32)
-            return
-        rows = weigh(counts.astype(np.float32), self.idf)
-        # right singular vectors from the eigenvectors of the smaller of the two Gram matrices
-        if len(rows) < TERMS:
-            values, left = np.linalg.eigh((rows @ rows.T).astype(np.float64))
-            top = values.argsort()[::-1][:RANK]
-            top = top[values[top] > 1e-8]
-            space = rows.T @ (left[:, top] / np.sqrt(values[top]))
-        else:
-            values, right = np.linalg.eigh((rows.T @ rows).astype(np.float64))
-            space = right[:, values.argsort()[::-1][:RANK]]
-        self.space = space.astype(np.float32)
-        self.vectors = self.project(rows)
+        filled = [len(terms) > 0 for terms, _ in sample]
+        self.labels = labels[filled].astype(np.float32) if sample else np.zeros(0, np.float32)
+        sample = [s for s in sample if len(s[0])]
+        seen = np.zeros(TERMS)
+        for terms, _ in sample:
+            seen[terms] += 1
+        self.idf = (np.log((1 + len(sample)) / (1 + seen)) + 1).astype(np.float32)
+
+        def blocks():
+            for at in range(0, len(sample), BLOCK):
+                rows = np.zeros((len(part := sample[at : at + BLOCK]), TERMS), np.float32)
+                for row, (terms, counts) in zip(rows, part, strict=True):
+                    row[terms] = counts
+                yield weigh(rows, self.idf)
+
+        # right singular vectors by subspace iteration, a block of rows at a time
+        rank = max(1, min(RANK + SPARE, len(sample)))
+        space = np.random.default_rng(4).standard_normal((TERMS, rank))
+        for _ in range(ITERATIONS if sample else 0):
+            space = np.linalg.qr(sum(rows.T @ (rows @ space.astype(np.float32)) for rows in blocks()))[0]
+        gram = sum(((p := rows @ space).T @ p for rows in blocks()), np.zeros((rank, rank)))
+        turn = np.linalg.eigh(gram)[1][:, ::-1][:, :RANK]
+        self.space = (space @ turn).astype(np.float32)
+        self.vectors = np.concatenate([self.project(rows) for rows in blocks()] or [np.zeros((0, self.space.shape[1]))])
+        self.vectors = self.vectors.astype(np.float32)
 
     def project(self, rows: np.ndarray) -> np.ndarray:
         latent = rows @ self.space
@@ -168,11 +175,11 @@ def _sparse(batches):
         for at in range(0, len(texts), BLOCK):
             for row in _count(texts.slice(at, BLOCK).to_pylist(), terms):
                 i = np.flatnonzero(row)
-                found.append(i.astype(np.int32))
-                values.append(row[i])
+                found.append(i.astype(np.int16).tobytes())
+                values.append(row[i].tobytes())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("label"), pa.array(found, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float32()))],
-            names=["label", "terms", "counts"],
+            [*batch.columns[:-1], pa.array(found, pa.binary()), pa.array(values, pa.binary())],
+            names=[*batch.schema.names[:-1], "terms", "counts"],
         )
 
 
@@ -189,19 +196,16 @@ def fit(
         .orderBy("order", "label_key")
         .limit(SAMPLE)
     )
-    chosen = (
+    found = (
         docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
         .join(F.broadcast(marked), F.col("key") == F.col("label_key"))  # SAMPLE rows at most
-        .select("label", "order", "key", "text")
-        .orderBy("order", "key", F.md5(F.coalesce("text", F.lit(""))))
-        .limit(SAMPLE)
-        .select("label", "text")
+        .select("label", "order", "key", F.md5(F.coalesce("text", F.lit(""))).alias("digest"), "text")
     )
-    rows = chosen.mapInArrow(_sparse, f"label {marked.schema['label'].dataType.simpleString()}, terms array<int>, counts array<float>").collect()
-    counts = np.zeros((len(rows), TERMS), np.float32)
-    for row, out in zip(rows, counts, strict=True):
-        out[row["terms"]] = row["counts"]
-    return Model(counts, np.array([float(r["label"]) for r in rows], np.float64))
+    kinds = ", ".join(f"{c} {found.schema[c].dataType.simpleString()}" for c in ("label", "order", "key", "digest"))
+    counted = found.mapInArrow(_sparse, f"{kinds}, terms binary, counts binary")
+    rows = counted.orderBy("order", "key", "digest").limit(SAMPLE).select("label", "terms", "counts").collect()
+    sample = [(np.frombuffer(r["terms"], np.int16), np.frombuffer(r["counts"], np.float32)) for r in rows]
+    return Model(sample, np.array([float(r["label"]) for r in rows]))
 
 
 def scores(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
