@@ -44,19 +44,19 @@ LENGTH = 200
 GRAM = 64
 BEFORE = LENGTH - GRAM
 CHUNK = 1 << 20
-BUCKET = 2048
+BUCKET = 1024
 #: Contexts whose suffixes are sorted together.
-SORTED = 4096
+SORTED = 1024
 
 _BYTE = np.random.default_rng(200).integers(1, 1 << 63, 256, dtype=np.uint64)
-_MIX = np.random.default_rng(201).integers(1, 1 << 63, (6, 2), dtype=np.uint64) | np.uint64(1)
+_MIX = np.random.default_rng(201).integers(1, 1 << 63, (8, 2), dtype=np.uint64) | np.uint64(1)
 _PLACE = np.uint64((1 << 24) - 1)
 
 
-def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """Hash of the ``GRAM`` bytes from each position, by joining halves six times."""
+def joined_hashes(data: np.ndarray, doublings: int) -> np.ndarray:
+    """Hash of the ``2 ** doublings`` bytes from each position, by joining halves."""
     h, half = _BYTE[data], 1
-    for first, second in _MIX:
+    for first, second in _MIX[:doublings]:
         joined = h[:-half] * first
         joined += h[half:]
         joined *= second
@@ -65,6 +65,11 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     return h
 
 
+def gram_hashes(data: np.ndarray) -> np.ndarray:
+    """Hash of the ``GRAM`` bytes from each position."""
+    return joined_hashes(data, GRAM.bit_length() - 1)
+
+
 def anchors(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For chunks of ``texts``: index of each anchor's text, its place in that text, its hash."""
     held: list[tuple[int, int, bytes]] = []
@@ -133,19 +138,13 @@ def _anchor_rows(with_context: bool):
                         batch.column("key").take(taken),
                         batch.column("digest").take(taken),
                         pa.array(place.astype(np.int32)),
-                        pa.array(sizes[index].astype(np.int32)),
                     ]
-                    names += ["context", "key", "digest", "place", "size"]
+                    names += ["context", "key", "digest", "place"]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return rows
 
 
-def _grouped(values: np.ndarray) -> np.ndarray:
-    """Dense ranks in order of value."""
-    return np.unique(values, return_inverse=True)[1]
-
-
 def maximal_repeats(
     bucket: np.ndarray, contexts: list[bytes], before: np.ndarray
 ) -> Iterator[tuple[int, list[tuple[int, int]]]]:
@@ -154,73 +153,63 @@ def maximal_repeats(
     An occurrence is the index of a context and where in it the repeat starts.
     ``before`` is how many bytes of a context stand before its anchor.
     """
-    m, width = len(contexts), BEFORE + LENGTH
     sizes = np.array([len(c) for c in contexts])
-    matrix = np.zeros((m, width + 8), np.uint8)
-    for row, c in zip(matrix, contexts, strict=True):
-        row[: len(c)] = np.frombuffer(c, np.uint8)
-    # ranks of the 8, 16, ... 128 bytes from each place; the last column stands for all places past the end
-    ranks = {}
-    eight = np.zeros((m, width + 1), np.uint64)
-    for i in range(8):
-        eight = eight << np.uint64(8) | matrix[:, i : i + width + 1]
-    ranks[8] = _grouped(eight.ravel()).reshape(m, width + 1).astype(np.int64)
-    for step in (8, 16, 32, 64):
-        after = ranks[step][:, np.minimum(np.arange(width + 1) + step, width)]
-        ranks[2 * step] = _grouped((ranks[step] << 32 | after).ravel()).reshape(m, width + 1).astype(np.int64)
+    bases = np.cumsum(sizes) - sizes
+    flat = np.frombuffer(b"".join(contexts), np.uint8)
+    half = joined_hashes(flat, 7)
+    first, second = _MIX[7]
+    whole = (half[: 128 - LENGTH] * first + half[LENGTH - 128 :]) * second
 
     starts_per = sizes - LENGTH + 1
-    owner = np.repeat(np.arange(m), starts_per)
+    owner = np.repeat(np.arange(len(contexts)), starts_per)
     start = np.arange(len(owner)) - np.repeat(np.cumsum(starts_per) - starts_per, starts_per)
-
-    def rank(level: int, which: np.ndarray, place: np.ndarray) -> np.ndarray:
-        return ranks[level][which, np.minimum(place, width)]
-
-    # suffix array: by bucket and offset to the anchor, then by bytes
-    aligned = _grouped(bucket)[owner] << 9 | (before[owner] - start)
-    order = np.lexsort(
-        (
-            rank(128, owner, start + LENGTH + 128),
-            rank(128, owner, start + LENGTH),
-            rank(128, owner, start + LENGTH - 128),
-            rank(128, owner, start),
-            aligned,
-        )
-    )
-    owner, start, aligned = owner[order], start[order], aligned[order]
-    # common prefix of each suffix with the one before it
-    lcp = np.zeros(len(owner), np.int64)
-    for level in (128, 128, 64, 32, 16, 8):
-        same = rank(level, owner[1:], start[1:] + lcp[1:]) == rank(level, owner[:-1], start[:-1] + lcp[1:])
-        lcp[1:] += level * same
-    for _ in range(7):
-        a, b = np.minimum(start[1:] + lcp[1:], width), np.minimum(start[:-1] + lcp[1:], width)
-        lcp[1:] += matrix[owner[1:], a] == matrix[owner[:-1], b]
-    room = sizes[owner] - start
-    lcp[1:] = np.minimum(lcp[1:], np.minimum(room[1:], room[:-1]))
-    lcp[1:][aligned[1:] != aligned[:-1]] = 0
-    # byte before each suffix; none at a context's edge, which differs from every other
-    previous = np.where(start > 0, matrix[owner, start - 1].astype(np.int64), -1 - np.arange(len(start)))
-
-    joined = lcp >= LENGTH
-    heads = np.flatnonzero(~joined & np.append(joined[1:], False))
-    if not len(heads):
+    place = bases[owner] + start
+    # the byte before each suffix; none at a context's edge, which differs from every other
+    previous = np.where(start > 0, flat[place - 1].astype(np.int64), -1 - np.arange(len(start)))
+
+    # suffixes by bucket, offset to the anchor and first bytes: the roots of the interval tree
+    aligned = (np.unique(bucket, return_inverse=True)[1][owner] << 9 | (before[owner] - start)).astype(np.uint64)
+    root = (whole[place] ^ (aligned * second)) * first
+    order = np.argsort(root, kind="stable")
+    heads = np.flatnonzero(np.append(True, root[order][1:] != root[order][:-1]))
+    counts = np.diff(np.append(heads, len(order)))
+    # where one byte stands before all of them, the longer repeat has another offset
+    differ = np.minimum.reduceat(previous[order], heads) != np.maximum.reduceat(previous[order], heads)
+    use = np.repeat((counts > 1) & differ, counts)
+    if not use.any():
         return
-    ends = np.flatnonzero(joined & ~np.append(joined[1:], False)) + 1
-    turns = np.append(0, np.cumsum(previous[1:] != previous[:-1]))
-    for low, high in zip(heads.tolist(), ends.tolist(), strict=True):
-        if turns[high - 1] == turns[low]:
-            continue  # one byte stands before all of them: the longer repeat has another offset
+    order, group = order[use], np.repeat(np.arange(len(heads)), counts)[use]
+
+    # suffix array and longest common prefixes within the roots that are left
+    width = BEFORE + LENGTH
+    room = np.minimum(sizes[owner[order]] - start[order], width)
+    rows = np.zeros((len(order), width), np.uint8)
+    at = np.arange(width)
+    inside = at < room[:, None]
+    rows[inside] = flat[(place[order][:, None] + at)[inside]]
+    sort = np.lexsort((rows.view(f"S{width}")[:, 0], group))
+    rows, room, group, order = rows[sort], room[sort], group[sort], order[sort]
+    differs = rows[1:] != rows[:-1]
+    lcp = np.where(differs.any(axis=1), differs.argmax(axis=1), width)
+    lcp = np.minimum(lcp, np.minimum(room[1:], room[:-1]))
+    lcp = np.append(0, np.where(group[1:] == group[:-1], lcp, 0)).tolist()
+    ends = np.append(np.flatnonzero(group[1:] != group[:-1]) + 1, len(group)).tolist()
+    turns = np.append(0, np.cumsum(np.diff(previous[order]) != 0)).tolist()
+    owner, start = owner[order].tolist(), start[order].tolist()
+
+    low = 0
+    for high in ends:
         stack = [(LENGTH, low)]
         for i in range(low + 1, high + 1):
-            common = int(lcp[i]) if i < high else LENGTH - 1
+            common = lcp[i] if i < high else LENGTH - 1
             begin = i - 1
             while stack and stack[-1][0] > common:
                 length, begin = stack.pop()
                 if i - begin > 1 and turns[i - 1] != turns[begin]:
-                    yield length, [(int(owner[k]), int(start[k])) for k in range(begin, i)]
+                    yield length, list(zip(owner[begin:i], start[begin:i], strict=True))
             if common >= LENGTH and (not stack or stack[-1][0] < common):
                 stack.append((common, begin))
+        low = high
 
 
 def _whole_buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -318,7 +307,7 @@ def _contexts(batches):
     """Bytes of the contexts wanted from each text; a document's equal rows give them once a task."""
     given = set()
     for batch in batches:
-        texts = batch.column("data").to_pylist()
+        texts = _unpacked(batch)
         documents = list(zip(batch.column("key").to_pylist(), batch.column("digest").to_pylist(), strict=True))
         row, gram, place, large, cutout = [], [], [], [], []
         for i, wanted in enumerate(batch.column("wanted").to_pylist()):
@@ -346,6 +335,28 @@ def _contexts(batches):
         )
 
 
+def _packed(batches):
+    """Texts compressed, as they are shuffled."""
+    codec = pa.Codec("zstd", compression_level=1)
+    for batch in batches:
+        texts = batch.column("data").to_pylist()
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("key"),
+                batch.column("digest"),
+                pa.array([len(t) for t in texts], pa.int64()),
+                pa.array([codec.compress(t, asbytes=True) for t in texts], pa.binary()),
+            ],
+            names=["key", "digest", "size", "packed"],
+        )
+
+
+def _unpacked(batch) -> list[bytes]:
+    codec = pa.Codec("zstd")
+    sizes, packed = batch.column("size").to_pylist(), batch.column("packed").to_pylist()
+    return [codec.decompress(p, n, asbytes=True) if n else b"" for p, n in zip(packed, sizes, strict=True)]
+
+
 def _documents(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(
         F.col(key).alias("key"),
@@ -354,10 +365,19 @@ def _documents(docs: DataFrame, key: str, text: str) -> DataFrame:
     )
 
 
+def _packed_documents(docs: DataFrame, key: str, text: str) -> DataFrame:
+    rows = _documents(docs, key, text)
+    kind = rows.schema["key"].dataType.simpleString()
+    return rows.mapInArrow(_packed, f"key {kind}, digest bigint, size bigint, packed binary")
+
+
 def repeated_spans(
     docs: DataFrame, *, key: str = "doc_id", text: str = "text", bucket: int = BUCKET
 ) -> DataFrame:
-    """``key``, ``digest`` and byte spans [low, high) whose union is what repeats; spans may overlap."""
+    """``key``, ``digest`` and byte spans [low, high) whose union is what repeats.
+
+    Spans may overlap and may reach beyond the end of their text.
+    """
     rows = _documents(docs, key, text)
     kind = rows.schema["key"].dataType.simpleString()
     known = f"key {kind}, digest bigint"
@@ -371,7 +391,7 @@ def repeated_spans(
         .select("gram")
     )
     kept = rows.mapInArrow(
-        _anchor_rows(True), f"gram bigint, context bigint, {known}, place int, size int"
+        _anchor_rows(True), f"gram bigint, context bigint, {known}, place int"
     ).join(frequent, "gram")
     kept = stored(kept, "anchors")
     contexts = cut(
@@ -383,7 +403,7 @@ def repeated_spans(
         "key",
         "digest",
         F.greatest(F.col("place") - BEFORE, F.lit(0)).alias("low"),
-        F.least(F.col("place") + LENGTH, "size").alias("high"),
+        (F.col("place") + LENGTH).alias("high"),
     )
     mixed = contexts.groupBy("gram").agg(F.count("*").alias("members")).where("members > 1")
     wanted = (
@@ -398,8 +418,9 @@ def repeated_spans(
     )
     same = (F.col("digest") == F.col("wanted_digest")) & F.col("key").eqNullSafe(F.col("wanted_key"))
     edges = stored(
-        rows.join(wanted, same)
-        .select("key", "digest", "data", "wanted")
+        _packed_documents(docs, key, text)
+        .join(wanted, same)
+        .select("key", "digest", "size", "packed", "wanted")
         .mapInArrow(_contexts, f"gram bigint, {known}, place int, large boolean, bytes binary"),
         "contexts",
     )
@@ -435,9 +456,9 @@ def _kept(batches):
     for batch in batches:
         size, gone, runs, digests = [], [], [], []
         spans = zip(batch.column("lows").to_pylist(), batch.column("highs").to_pylist(), strict=True)
-        for text, (lows, highs) in zip(batch.column("data"), spans, strict=True):
-            data = text.as_py()
-            cutout = merged(list(zip(lows or [], highs or [], strict=True)))
+        for data, (lows, highs) in zip(_unpacked(batch), spans, strict=True):
+            ends = [min(h, len(data)) for h in highs or []]
+            cutout = merged(list(zip(lows or [], ends, strict=True)))
             left, at = hashlib.sha256(), 0
             for low, high in cutout:
                 left.update(data[at:low])
@@ -465,11 +486,11 @@ def without_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         .agg(F.collect_list("low").alias("lows"), F.collect_list("high").alias("highs"))
         .select(F.col("key").alias("span_key"), F.col("digest").alias("span_digest"), "lows", "highs")
     )
-    rows = _documents(docs, key, text)
+    rows = _packed_documents(docs, key, text)
     same = (F.col("digest") == F.col("span_digest")) & F.col("key").eqNullSafe(F.col("span_key"))
     kind = rows.schema["key"].dataType.simpleString()
     return (
         rows.join(spans, same, "left")
-        .select("key", "data", "lows", "highs")
+        .select("key", "size", "packed", "lows", "highs")
         .mapInArrow(_kept, f"key {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
     )
