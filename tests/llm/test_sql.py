@@ -1,0 +1,143 @@
+"""Queries with SQL against it, and the same SQL at limits that make small tables branch."""
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from compare import connect, differences
+from conftest import CLASHING
+from layerloom.llm import license_scan, mixing, sharding, topk
+from layerloom.llm.oracle import OP1, OP2, OP9, OP10, ORACLES
+from layerloom.llm.queries import QUERIES
+
+
+@pytest.fixture(scope="module")
+def con(sf_dir):
+    return connect(sf_dir)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_matches_sql(spark, con, sf_dir, name):
+    assert differences(QUERIES[name](spark, sf_dir), con, ORACLES[name]) is None
+
+
+def view_of(df):
+    con = duckdb.connect()
+    pairs = [(r["doc_id"], r["text"], r["source"]) for r in df.collect()]
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", pairs)
+    return con
+
+
+def placed(df, **options):
+    out = sharding.extendible_shards(df, **options)
+    return out.select(F.col("row.doc_id").alias("doc_id"), F.col("size").alias("n_bytes"), "shard_depth", "shard")
+
+
+@pytest.mark.parametrize("limit", [2_000, 60_000])
+def test_shards_at_small_limits(spark, con, sf_dir, limit):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    sql = OP9.replace(str(sharding.DEFAULT_MAX_BYTES), str(limit))
+    out = placed(docs, max_bytes=limit)
+    assert differences(out, con, sql) is None
+    sums = out.groupBy("shard").agg(F.sum("n_bytes").alias("n"), F.count("*").alias("rows")).collect()
+    assert all(r["n"] <= limit or r["rows"] == 1 for r in sums)
+    assert len(sums) > 1
+
+
+def test_shards_deeper_than_one_pass(spark):
+    docs = spark.range(9000).select(F.col("id").alias("doc_id"), F.lit("x" * 10).alias("text"))
+    sums = placed(docs, max_bytes=10).groupBy("shard").agg(F.sum("n_bytes").alias("n")).collect()
+    assert len(sums) == 9000 and all(r["n"] == 10 for r in sums)
+
+
+def test_shards_of_odd_rows(spark, make_docs, odd_pairs):
+    docs = make_docs(odd_pairs)
+    out = placed(docs, max_bytes=300)
+    assert differences(out.where("doc_id is distinct from 2"), view_of(docs.where("doc_id is distinct from 2")), OP9.replace(
+        str(sharding.DEFAULT_MAX_BYTES), "300")) is None
+    equal = sorted(r["shard"] for r in out.where("doc_id = 2").collect())
+    assert len(equal) == 2 and equal[0] != equal[1]  # rows no bit can part go to pages of their own
+    kept = sharding.with_shards(docs)
+    assert kept.columns == [c for c in docs.columns if c != "shard"] + ["shard"]
+    assert kept.count() == len(odd_pairs)
+    assert sharding.with_shards(docs.limit(0)).count() == 0
+
+
+def test_written_shards_read_back(spark, make_docs, odd_pairs, tmp_path):
+    docs = make_docs(odd_pairs).select("doc_id", "text")
+    sharding.write_shards(docs, str(tmp_path / "out"), max_bytes=400)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(map(str, back.select("doc_id", "text").collect())) == sorted(map(str, docs.collect()))
+
+
+def test_mix_of_odd_rows(spark, make_docs, odd_pairs):
+    docs = make_docs(odd_pairs)
+    mixed = mixing.poisson_mix(docs, mixing.repetition_rates(docs))
+    shown = mixed.select(F.col("row.doc_id").alias("doc_id"), F.col("row.source").alias("source"), "copy", "shuffle_key")
+    assert differences(shown, view_of(docs), OP10) is None
+    assert mixing.mix_sources(docs.limit(0)).count() == 0
+    assert mixing.mix_sources(docs).columns == docs.columns
+
+
+def test_mix_reaches_target_weights(spark):
+    docs = spark.range(6000).select(
+        F.col("id").alias("doc_id"),
+        F.lit("y" * 99).alias("text"),
+        F.when(F.col("id") % 10 == 0, "small").otherwise("large").alias("source"),
+    )
+    weights = spark.createDataFrame([("small", 1.0), ("large", 1.0)], "source string, weight double")
+    rates = mixing.repetition_rates(docs, weights=weights)
+    counts = {r[0]: r[1] for r in mixing.poisson_mix(docs, rates).groupBy("row.source").count().collect()}
+    assert counts["small"] == pytest.approx(3000, rel=0.1) and counts["large"] == pytest.approx(3000, rel=0.1)
+    keys = [r[0] for r in mixing.poisson_mix(docs, rates).select("shuffle_key").collect()]
+    assert keys == sorted(keys)
+
+
+def test_high_rates_are_poisson(spark):
+    docs = spark.range(400).select(
+        F.col("id").alias("doc_id"), F.lit("z").alias("text"), F.lit("s").alias("source")
+    )
+    rates = spark.createDataFrame([("s", 2, 900.0)], "source string, bytes bigint, rate double")
+    copies = [r[1] for r in mixing.poisson_mix(docs, rates).groupBy("row.doc_id").count().collect()]
+    mean = sum(copies) / 400
+    assert mean == pytest.approx(900, rel=0.02)
+    assert sum((c - mean) ** 2 for c in copies) / 400 == pytest.approx(900, rel=0.3)
+
+
+def test_licences_in_odd_rows(spark, make_docs, odd_pairs):
+    mit = license_scan.TEMPLATES[9][1]
+    gpl = license_scan.TEMPLATES[7][1]
+    wrapped = "Prose before.\n\n" + "\n".join(gpl[i : i + 70] for i in range(0, len(gpl), 70)) + "\n\nProse after."
+    pairs = odd_pairs + [(20, f"word " * 50 + f"\n{mit}\nmore words"), (21, wrapped), (22, mit.upper()), (23, "the mit")]
+    docs = make_docs(pairs)
+    found = license_scan.licence_scan(docs)
+    assert differences(found.withColumnRenamed("key", "doc_id"), view_of(docs), OP1) is None
+    assert {r["key"] for r in found.collect()} >= {20, 22}
+    assert license_scan.licence_scan(docs.limit(0)).count() == 0
+
+
+def test_telling_words_lose_no_licence():
+    """Leaving out a template's telling words leaves too few bigrams to reach the threshold."""
+    telling = set(license_scan.telling_words(license_scan.TEMPLATES, 0.8))
+    for _, text in license_scan.TEMPLATES:
+        words = "".join(c.lower() if c.isalnum() else " " for c in text).split()
+        pairs = set(zip(words, words[1:]))
+        left = {p for p in pairs if not telling & set(p)}
+        assert 2 * len(left) / (len(left) + len(pairs)) < 0.8
+
+
+def test_top_k_of_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(i, [((i * 7 + j * 3) % 11 - 5) / 4 for j in range(4)], 0) for i in range(0, 260)]
+    rows += [(50, None, 1), (100, [0.5, None, 0.1, 0.2], 1), (101, [nan, 0.0, 0.0, 0.0], 1), (102, [inf] * 4, 1)]
+    rows += [(None, [1.0] * 4, 2), (300, [1.0, 1.0], 2), (350, [0.5, 0.5], 2), (7, [1.0, 1.0, 1.0, 1.0], 2), (400, [], 2)]
+    rows += [(1000 + i, [0.25] * 4, 3) for i in range(60)]  # a third that ties
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, id int")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", [r[:2] for r in rows])
+    out = topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=5, block=3)
+    assert differences(out, con, OP2) is None
+    assert topk.top_k(vectors.limit(0), F.col("vec_id") % 50 == 0, k=5).count() == 0
+    assert set(CLASHING)
