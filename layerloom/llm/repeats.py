@@ -20,7 +20,11 @@ Every byte covered by a string of ``LENGTH`` bytes that also starts elsewhere
    them are the maximal repeats, each with all its occurrences.
 4. A bucket of more than ``BUCKET`` contexts is not sorted in one task but divided
    by the suffixes' first ``LENGTH`` bytes, which is where the intervals of the
-   tree begin: equal prefixes meet by a grouped count.
+   tree begin: equal prefixes meet by grouped sums, and those that differ in the
+   byte before or after them bound the repeats.
+
+Windows around one anchor overlap, so what repeats of a context is one span, from
+the first start to the last end of its repeats.
 
 NULL texts count as empty, texts under ``LENGTH`` bytes have nothing removed. A
 document is known by its key and text; rows equal in both are repeats of each
@@ -47,6 +51,7 @@ CHUNK = 1 << 20
 BUCKET = 1024
 #: Contexts whose suffixes are sorted together.
 SORTED = 1024
+EDGE = 256
 
 _BYTE = np.random.default_rng(200).integers(1, 1 << 63, 256, dtype=np.uint64)
 _MIX = np.random.default_rng(201).integers(1, 1 << 63, (8, 2), dtype=np.uint64) | np.uint64(1)
@@ -253,42 +258,54 @@ def _occurrences(batches):
             continue
         place = table.column("place").to_numpy()
         low = np.maximum(place - BEFORE, 0)
-        group, which, begin, size = [], [], [], []
-        contexts = table.column("bytes").to_pylist()
-        gram = table.column("gram").to_numpy()
-        for n, (length, found) in enumerate(maximal_repeats(gram, contexts, place - low)):
-            for i, at in found:
-                group.append(n)
-                which.append(i)
-                begin.append(int(low[i]) + at)
-                size.append(length)
-        rows = table.select(["key", "digest", "gram"]).take(pa.array(which, pa.int64())).combine_chunks()
+        gram, contexts = table.column("gram").to_numpy(), table.column("bytes").to_pylist()
+        found = [
+            (n, i, int(low[i]) + at, length)
+            for n, (length, where) in enumerate(maximal_repeats(gram, contexts, place - low))
+            for i, at in where
+        ]
+        group, which, begin, length = np.array(found, np.int64).reshape(-1, 4).T
+        rows = table.select(["key", "digest", "gram", "place"]).take(pa.array(which)).combine_chunks()
         yield pa.RecordBatch.from_arrays(
             [
-                *(rows.column(c).combine_chunks() for c in ("key", "digest")),
-                pa.array(begin, pa.int32()),
-                pa.array([b + s for b, s in zip(begin, size, strict=True)], pa.int32()),
-                rows.column("gram").combine_chunks(),
-                pa.array(group, pa.int32()),
+                *(rows.column(c).combine_chunks() for c in ("key", "digest", "gram", "place")),
+                pa.array(group.astype(np.int32)),
+                pa.array(begin.astype(np.int32)),
+                pa.array((begin + length).astype(np.int32)),
             ],
-            names=["key", "digest", "low", "high", "gram", "repeat"],
+            names=["key", "digest", "gram", "place", "repeat", "low", "high"],
         )
 
 
+def _edge_spans(batches):
+    """What repeats of each context: from its first occurrence's start to its last one's end."""
+    for batch in _occurrences(batches):
+        spans = pa.Table.from_batches([batch]).group_by(["key", "digest", "place"])
+        spans = spans.aggregate([("low", "min"), ("high", "max")]).combine_chunks()
+        yield from spans.select(["key", "digest", "low_min", "high_max"]).rename_columns(
+            ["key", "digest", "low", "high"]
+        ).to_batches()
+
+
 def _prefixes(batches):
-    """One row per suffix that can hold a window: its offset and the hash of its first bytes."""
+    """One row per suffix that can hold a window: its offset, the hash of the window and the bytes around it.
+
+    ``EDGE`` stands for the byte beyond a context's end.
+    """
     digest = xxhash.xxh3_64_intdigest
     for batch in batches:
         for at in range(0, batch.num_rows, SORTED):
             part = batch.slice(at, SORTED)
             place = part.column("place").to_numpy()
             low = np.maximum(place - BEFORE, 0)
-            row, offset, prefix = [], [], []
+            row, offset, prefix, previous, following = [], [], [], [], []
             for i, text in enumerate(part.column("bytes").to_pylist()):
                 n = len(text) - LENGTH + 1
                 row += [i] * n
                 offset += range(int(place[i] - low[i]), int(place[i] - low[i]) - n, -1)
                 prefix += [digest(text[s : s + LENGTH]) for s in range(n)]
+                previous += [EDGE, *text[: n - 1]]
+                following += [*text[LENGTH:], EDGE]
             taken = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -298,8 +315,10 @@ def _prefixes(batches):
                     part.column("place").take(taken),
                     pa.array(offset, pa.int32()),
                     pa.array(np.array(prefix, np.uint64).view(np.int64)),
+                    pa.array(previous, pa.int16()),
+                    pa.array(following, pa.int16()),
                 ],
-                names=["gram", "key", "digest", "place", "offset", "prefix"],
+                names=["gram", "key", "digest", "place", "offset", "prefix", "previous", "following"],
             )
 
 
@@ -425,15 +444,20 @@ def repeated_spans(
         "contexts",
     )
     sorted_edges = edges.where("not large").repartition("gram").sortWithinPartitions("gram")
-    found = sorted_edges.mapInArrow(_occurrences, f"{known}, low int, high int, gram bigint, repeat int").select(
-        "key", "digest", "low", "high"
-    )
+    found = sorted_edges.mapInArrow(_edge_spans, f"{known}, low int, high int")
     prefixes = edges.where("large").mapInArrow(
-        _prefixes, f"gram bigint, {known}, place int, offset int, prefix bigint"
+        _prefixes, f"gram bigint, {known}, place int, offset int, prefix bigint, previous smallint, following smallint"
     )
     at = F.xxhash64("key", "digest", "place")
-    again = prefixes.groupBy("gram", "offset", "prefix").agg(F.min(at).alias("a"), F.max(at).alias("b")).where("a <> b")
-    divided = prefixes.join(again.drop("a", "b"), ["gram", "offset", "prefix"]).select(
+    ends = [f(c).alias(f"{c}_{f.__name__}") for c in ("previous", "following") for f in (F.min, F.max)]
+    again = (
+        prefixes.groupBy("gram", "offset", "prefix")
+        .agg(F.min(at).alias("a"), F.max(at).alias("b"), *ends)
+        .where("a <> b")
+        .where(" or ".join(f"{c}_min <> {c}_max or {c}_max = {EDGE}" for c in ("previous", "following")))
+        .select("gram", "offset", "prefix")
+    )
+    divided = prefixes.join(again, ["gram", "offset", "prefix"]).select(
         "key",
         "digest",
         (F.col("place") - F.col("offset")).alias("low"),
