@@ -9,37 +9,18 @@ from pyspark.sql import functions as F
 
 from layerloom.operators.staging import write_through
 
-# Up to this many rows one task sorts faster than a range shuffle pays off.
-SINGLE_TASK_ROWS = 1_000_000
 
-
-def dense_key(
-    df: DataFrame,
-    keys: Sequence[str],
-    name: str,
-    *,
-    base: Column | None = None,
-    rows: int | None = None,
-    single_task_rows: int = SINGLE_TASK_ROWS,
-) -> DataFrame:
+def dense_key(df: DataFrame, keys: Sequence[str], name: str, *, base: Column | None = None) -> DataFrame:
     """Add ``name`` = base + 1..n over ``keys``, which must be unique.
 
-    ``rows`` is an upper bound on the row count if the caller knows one;
-    otherwise the rows are counted to choose the plan. Small inputs take a
-    plain window. Larger ones are range partitioned and sorted, and each row's
-    partition and position are written down with it, so that the offsets (one
-    per partition) and the numbering read the same facts.
+    Rows are range partitioned and sorted, and each row's partition and position
+    are written down with it, so that the offsets (one per partition) and the
+    numbering read the same facts. The plan is the same at every size; the
+    session's shuffle width sets how many rows a partition has.
     """
     offset = F.lit(0).cast("bigint") if base is None else base
-    bound = df.count() if rows is None else rows
-    if bound <= single_task_rows:
-        position = F.row_number().over(Window.orderBy(*keys)).cast("bigint")
-        return df.withColumn(name, position + offset)
-
-    spark = df.sparkSession
-    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-bound // single_task_rows))
     placed = write_through(
-        df.repartitionByRange(width, *keys)
+        df.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .select(
             "*",
@@ -55,7 +36,7 @@ def dense_key(
         .agg(F.count(F.lit(1)).alias("_rows"))
         .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
     )
-    # One row per range partition: `width` rows at most, so the broadcast is bounded.
+    # One row per range partition: as many as the shuffle width, so the broadcast is bounded.
     return (
         placed.join(F.broadcast(starts), "_part")
         .withColumn(name, F.col("_start") + F.col("_pos") + 1 + offset)

@@ -25,7 +25,8 @@ def pattern_mask(value: Column) -> Column:
 
 
 def redact(value: Column) -> Column:
-    return F.when(value.isNotNull(), F.lit(NAME_MASK))
+    """``REDACTED`` for every value, NULL too: who has no name does not show."""
+    return F.lit(NAME_MASK)
 
 
 @dataclass(frozen=True)
@@ -35,6 +36,18 @@ class MaskPolicy:
 
 
 PATIENT_POLICIES = (MaskPolicy("patient_id", prefix_mask), MaskPolicy("patient_name", redact))
+CATALOG_POLICIES = (MaskPolicy("patient_id", prefix_mask), MaskPolicy("patient_name", redact))
+
+#: Policies bound to stored tables, and to what is read through them.
+TABLE_POLICIES = {
+    "dim_patients": PATIENT_POLICIES,
+    "dim_patients_current": PATIENT_POLICIES,
+    "dim_cancer_catalog": CATALOG_POLICIES,
+    "dim_cancer_catalog_current": CATALOG_POLICIES,
+    "encounter_overview": PATIENT_POLICIES,
+}
+#: Who reads without asking for a role sees masked values.
+DEFAULT_ROLE = "analyst"
 
 
 def apply_masks(
@@ -44,3 +57,8 @@ def apply_masks(
     if role in privileged:
         return df
     return df.withColumns({p.column: p.mask(F.col(p.column)) for p in policies if p.column in df.columns})
+
+
+def as_role(table: str, df: DataFrame, role: str = DEFAULT_ROLE) -> DataFrame:
+    """``df`` as ``role`` may see the stored table of that name."""
+    return apply_masks(df, TABLE_POLICIES.get(table, ()), role)

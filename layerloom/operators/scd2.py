@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from layerloom.functions.hashing import record_hash
-from layerloom.operators.keys import SINGLE_TASK_ROWS, dense_key, max_key
+from layerloom.operators.keys import dense_key, max_key
 from layerloom.operators.staging import write_through
 
 VERSION_COLUMNS = ("valid_from", "valid_to", "is_current")
@@ -27,16 +27,15 @@ def seed_dimension(
     sk: str,
     batch_ts: datetime | str,
     *,
-    rows: int | None = None,
     null_safe_hash: bool = False,
 ) -> DataFrame:
     """First load: every row is a current version, keyed 1..n over the business keys."""
     hashed = incoming.withColumn("record_hash", record_hash(tracked, null_safe=null_safe_hash))
-    return _as_new_versions(hashed, keys, sk, batch_ts, base=None, rows=rows)
+    return _as_new_versions(hashed, keys, sk, batch_ts, base=None)
 
 
-def _as_new_versions(hashed, keys, sk, batch_ts, *, base, rows, single_task_rows=SINGLE_TASK_ROWS):
-    keyed = dense_key(hashed, keys, sk, base=base, rows=rows, single_task_rows=single_task_rows)
+def _as_new_versions(hashed, keys, sk, batch_ts, *, base):
+    keyed = dense_key(hashed, keys, sk, base=base)
     return keyed.withColumns(
         {
             "valid_from": batch_time(batch_ts),
@@ -109,18 +108,14 @@ def scd2_merge(
     sk: str,
     batch_ts: datetime | str,
     *,
-    rows: int | None = None,
     close_missing: bool = False,
     null_safe_hash: bool = False,
-    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """The whole next dimension: history, kept, expired and newly keyed versions.
 
-    ``incoming`` holds one row per key and no NULL keys. ``rows`` bounds its
-    size if known. Merging the same snapshot again changes nothing; a change in
+    ``incoming`` holds one row per key and no NULL keys. Merging the same snapshot again changes nothing; a change in
     an untracked column alone does not make a version.
     """
-    bound = incoming.count() if rows is None else rows
     compared = compare_snapshot(
         existing,
         incoming,
@@ -131,17 +126,13 @@ def scd2_merge(
         close_missing=close_missing,
         null_safe_hash=null_safe_hash,
     )
-    if bound > single_task_rows:
-        # Numbering reads the new rows several times; join once and read that.
-        compared = write_through(compared, "scd2")
-    compared = compared.drop("change")
+    # Numbering reads the new rows several times; join once and read that.
+    compared = write_through(compared, "scd2").drop("change")
     kept = compared.where(F.col(sk).isNotNull())
     new = compared.where(F.col(sk).isNull()).select(
         *[c for c in compared.columns if c not in (sk, *VERSION_COLUMNS)]
     )
-    added = _as_new_versions(
-        new, keys, sk, batch_ts, base=max_key(existing, sk), rows=bound, single_task_rows=single_task_rows
-    )
+    added = _as_new_versions(new, keys, sk, batch_ts, base=max_key(existing, sk))
     history = existing.where("NOT is_current").select(*kept.columns)
     return history.unionByName(kept).unionByName(added)
 

@@ -11,19 +11,18 @@ balance only: every key is joined in full either way.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from layerloom.operators.staging import write_through
 
 # Rows of one key that a single task can take without becoming a straggler.
 ROWS_PER_TASK = 2_000_000
 SAMPLE_RATE = 0.001
-# Longest list of split keys; keys past it join unsplit.
-MAX_SPLIT_KEYS = 1_000
 
-HotKeys = dict[tuple[Any, ...], int]
+# One row per key over the limit: its key columns and ``splits``.
+HotKeys = DataFrame
 
 
 def hot_keys(
@@ -32,32 +31,57 @@ def hot_keys(
     *,
     rows_per_task: int = ROWS_PER_TASK,
     sample_rate: float = SAMPLE_RATE,
-) -> HotKeys:
-    """Keys estimated above ``rows_per_task`` rows, each with its number of splits."""
-    if df.count() <= rows_per_task:
-        return {}
+) -> HotKeys | None:
+    """Keys estimated above ``rows_per_task`` rows, each with its number of splits; None without any.
+
+    All such keys are listed: there are at most as many as the table has
+    multiples of ``rows_per_task``. The list is written, so Spark knows its size
+    when it picks how to join it.
+    """
     sampled = df.select(*keys)
     if sample_rate < 1.0:
         sampled = sampled.sample(sample_rate, seed=17)
     per_split = rows_per_task * sample_rate
-    found = (
+    found = write_through(
         sampled.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") > per_split)
-        .orderBy(F.desc("_n"))
-        .limit(MAX_SPLIT_KEYS)
-        .collect()
+        .select(*keys, F.ceil(F.col("_n") / per_split).cast("int").alias("splits")),
+        "hot-keys",
+    )
+    return None if found.isEmpty() else found
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's own estimate of ``df`` is under the session's broadcast limit."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit
+
+
+def _all_splits(keys: Sequence[str], left_hot: HotKeys | None, right_hot: HotKeys | None) -> DataFrame:
+    """Split counts of both sides per key, 1 where a side has none."""
+    sides = []
+    for hot, own, other in ((left_hot, "_left_splits", "_right_splits"), (right_hot, "_right_splits", "_left_splits")):
+        if hot is not None:
+            sides.append(
+                hot.select(
+                    *[F.col(k).alias(f"_key_{k}") for k in keys], F.col("splits").alias(own), F.lit(1).alias(other)
+                )
+            )
+    both = sides[0] if len(sides) == 1 else sides[0].unionByName(sides[1])
+    return both.groupBy(*[f"_key_{k}" for k in keys]).agg(
+        F.max("_left_splits").alias("_left_splits"), F.max("_right_splits").alias("_right_splits")
     )
-    return {tuple(row[:-1]): int(-(-row["_n"] // per_split)) for row in found}
 
 
 def _with_splits(df: DataFrame, keys: Sequence[str], splits: DataFrame) -> DataFrame:
-    """Attach each row's split counts; the split table is capped, so it is broadcast."""
+    """Attach each row's split counts."""
     on = None
     for k in keys:
         match = df[k].eqNullSafe(splits[f"_key_{k}"])
         on = match if on is None else on & match
-    return df.join(F.broadcast(splits), on, "left").select(
+    return df.join(splits, on, "left").select(
         *[df[c] for c in df.columns],
         *[F.coalesce(splits[c], F.lit(1)).alias(c) for c in ("_left_splits", "_right_splits")],
     )
@@ -100,39 +124,34 @@ def left_join(
     left_hot: HotKeys | None = None,
     right_hot: HotKeys | None = None,
     left_distinct: bool = False,
+    broadcast: bool = True,
 ) -> DataFrame:
     """``left.join(right, keys, "left")``, split where the hot keys say so.
 
     ``right_hot`` must only hold keys that occur in ``right``. With
     ``left_distinct`` the caller says that left rows are not exact copies of
     each other, which saves a shuffle to count them; if they are, the result
-    is the same but they share a task. Without hot keys this is the plain join
-    and Spark picks the strategy.
+    is the same but they share a task. Without hot keys, or with a right side
+    that Spark broadcasts, this is the plain join: then no left row moves.
+    ``broadcast=False`` splits however small the right side is.
     """
-    left_hot = left_hot or {}
-    right_hot = {k: n for k, n in (right_hot or {}).items() if None not in k}
-    if not left_hot and not right_hot:
+    if right_hot is not None:
+        right_hot = right_hot.dropna(subset=list(keys))
+    if (left_hot is None and right_hot is None) or (broadcast and fits_broadcast(right)):
         return left.join(right, list(keys), "left")
-
-    spark = left.sparkSession
-    schema = T.StructType(
-        [T.StructField(f"_key_{k}", left.schema[k].dataType) for k in keys]
-        + [T.StructField("_left_splits", T.IntegerType()), T.StructField("_right_splits", T.IntegerType())]
-    )
-    listed = sorted({*left_hot, *right_hot}, key=repr)
-    splits = spark.createDataFrame([(*k, left_hot.get(k, 1), right_hot.get(k, 1)) for k in listed], schema)
+    splits = _all_splits(keys, left_hot, right_hot)
 
     a, b = _with_splits(left, keys, splits), _with_splits(right, keys, splits)
-    a = _spread(a, "_left_splits", "_a", "_left_n", left_distinct) if left_hot else _unspread(a, "_a", "_left_n")
-    b = _spread(b, "_right_splits", "_b", "_right_n", False) if right_hot else _unspread(b, "_b", "_right_n")
-    a = _repeat(a, "_right_splits", "_b", bool(right_hot))
-    b = _repeat(b, "_left_splits", "_a", bool(left_hot)).drop("_left_splits", "_right_splits")
+    a = _spread(a, "_left_splits", "_a", "_left_n", left_distinct) if left_hot is not None else _unspread(a, "_a", "_left_n")
+    b = _spread(b, "_right_splits", "_b", "_right_n", False) if right_hot is not None else _unspread(b, "_b", "_right_n")
+    a = _repeat(a, "_right_splits", "_b", right_hot is not None)
+    b = _repeat(b, "_left_splits", "_a", left_hot is not None).drop("_left_splits", "_right_splits")
     joined = a.join(b, [*keys, "_a", "_b"], "left")
-    if right_hot:
+    if right_hot is not None:
         # A key split on the right has matches, so a copy that met none is surplus.
         joined = joined.where((F.col("_right_splits") == 1) | F.col("_right_n").isNotNull())
     output = [*left.columns, *[c for c in right.columns if c not in keys]]
-    if right_hot or not left_distinct:
+    if right_hot is not None or not left_distinct:
         times = F.col("_left_n") * F.coalesce("_right_n", F.lit(1))
         joined = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), times)))
     return joined.select(*output)

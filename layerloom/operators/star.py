@@ -35,12 +35,12 @@ def dim_date(encounters: DataFrame) -> DataFrame:
     )
 
 
-def dim_providers(providers: DataFrame, recency: Sequence[str] = (), rows: int | None = None) -> DataFrame:
+def dim_providers(providers: DataFrame, recency: Sequence[str] = ()) -> DataFrame:
     """Latest row per provider, keyed 1..n over provider_id; rebuilt with the fact."""
     latest = latest_per_key(providers, ["provider_id"], recency).select(
         "provider_id", "provider_name", "specialty", "location", "experience_years"
     )
-    return dense_key(latest, ["provider_id"], "provider_sk", rows=rows)
+    return dense_key(latest, ["provider_id"], "provider_sk")
 
 
 def with_date_key(encounters: DataFrame, dates: DataFrame) -> DataFrame:
@@ -48,25 +48,24 @@ def with_date_key(encounters: DataFrame, dates: DataFrame) -> DataFrame:
     return encounters.join(dates.select("encounter_date", "date_sk"), "encounter_date", "left")
 
 
-def _with_provider_at(df: DataFrame, providers: DataFrame, slot, rows: int | None) -> DataFrame:
+def _with_provider_at(df: DataFrame, providers: DataFrame, slot) -> DataFrame:
     """Join each row to the provider whose zero-based rank over provider_id is ``slot``."""
     ranked = dense_key(
-        providers.select("provider_id", "provider_sk"), ["provider_id"], "_slot", base=F.lit(-1).cast("bigint"), rows=rows
+        providers.select("provider_id", "provider_sk"), ["provider_id"], "_slot", base=F.lit(-1).cast("bigint")
     )
     return df.withColumn("_slot", slot).join(ranked, "_slot", "left").drop("_slot")
 
 
-def assign_providers(encounters: DataFrame, providers: DataFrame, rows: int | None = None) -> DataFrame:
+def assign_providers(encounters: DataFrame, providers: DataFrame) -> DataFrame:
     """Give every encounter a provider by a stable hash of its id; NULL if there are none."""
     total = providers.agg(F.count(F.lit(1))).scalar()
-    return _with_provider_at(encounters, providers, stable_bucket(F.col("encounter_id"), total), rows)
+    return _with_provider_at(encounters, providers, stable_bucket(F.col("encounter_id"), total))
 
 
 def rotate_providers(
     encounters: DataFrame,
     providers: DataFrame,
     order: Sequence[str] = ("encounter_id",),
-    rows: int | None = None,
 ) -> DataFrame:
     """Give encounters providers in turn, by position in a stated order.
 
@@ -74,11 +73,12 @@ def rotate_providers(
     """
     total = providers.agg(F.count(F.lit(1))).scalar()
     full_order = [*order, *[c for c in encounters.columns if c not in order]]
-    numbered = dense_key(encounters, full_order, "_row", base=F.lit(-1).cast("bigint"), rows=rows)
+    numbered = dense_key(encounters, full_order, "_row", base=F.lit(-1).cast("bigint"))
     slot = F.pmod(F.col("_row"), F.nullif(total, F.lit(0).cast("bigint")))
-    return _with_provider_at(numbered, providers, slot, None).drop("_row")
+    return _with_provider_at(numbered, providers, slot).drop("_row")
 
 
+# The columns of the fact.
 FACT_COLUMNS = (
     "encounter_id",
     "patient_sk",
@@ -110,7 +110,7 @@ def fact_encounters(
     cardinality: str = "one",
     rows_per_task: int = ROWS_PER_TASK,
     sample_rate: float = SAMPLE_RATE,
-    provider_rows: int | None = None,
+    broadcast: bool = True,
 ) -> DataFrame:
     """Encounters with their dimension keys and billing; misses stay NULL.
 
@@ -118,9 +118,10 @@ def fact_encounters(
     and the lowest billing row by a total order. ``"all"`` keeps every current
     catalog row and every billing row, so amounts repeat.
 
-    ``patients`` and ``catalog`` hold current versions. Encounters and billing
-    meet first: both are already spread by encounter_id. The two lookups by
-    patient_id come after, split for patients with very many encounters.
+    ``patients`` and ``catalog`` hold current versions. Keys are looked up on the
+    encounters, before billing repeats them: a patient is hot by its number of
+    encounters there, and an encounter with very many bills splits by itself.
+    ``broadcast=False`` splits hot keys also where a side is small.
     """
     if cardinality not in ("one", "all"):
         raise ValueError(f"cardinality must be 'one' or 'all', not {cardinality!r}")
@@ -139,21 +140,22 @@ def fact_encounters(
         cancers = first_per_key(cancers, ["patient_id"], ["cancer_type"]).drop("cancer_type")
         # Both sides are unique per patient, so one lookup table serves both keys.
         lookup = people.join(cancers, "patient_id", "full_outer")
-        rows = left_join(rows, lookup, ["patient_id"], left_hot=busy_patients, left_distinct=True)
+        rows = left_join(rows, lookup, ["patient_id"], left_hot=busy_patients, left_distinct=True, broadcast=broadcast)
+        rows = assign_providers(rows, providers)
     else:
-        rows = left_join(
-            encounters, bills, ["encounter_id"], right_hot=hot_keys(bills, ["encounter_id"], **limits)
-        )
-        rows = left_join(rows, people, ["patient_id"], left_hot=busy_patients)
+        rows = left_join(encounters, people, ["patient_id"], left_hot=busy_patients, broadcast=broadcast)
+        rows = assign_providers(rows, providers)
         rows = left_join(
             rows,
             cancers.drop("cancer_type"),
             ["patient_id"],
             left_hot=busy_patients,
             right_hot=hot_keys(cancers, ["patient_id"], **limits),
+            broadcast=broadcast,
         )
-    assigned = assign_providers(rows, providers, provider_rows)
-    return assigned.withColumn("date_sk", date_key(F.col("encounter_date"))).select(*FACT_COLUMNS)
+        busy_encounters = hot_keys(bills, ["encounter_id"], **limits)
+        rows = left_join(rows, bills, ["encounter_id"], right_hot=busy_encounters, broadcast=broadcast)
+    return rows.withColumn("date_sk", date_key(F.col("encounter_date"))).select(*FACT_COLUMNS)
 
 
 def bridge_encounter_provider(fact: DataFrame) -> DataFrame:

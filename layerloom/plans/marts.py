@@ -14,7 +14,9 @@ def encounter_overview(
     patients: DataFrame,
     catalog: DataFrame,
     providers: DataFrame,
-    busy: dict[str, HotKeys] | None = None,
+    busy: dict[str, HotKeys | None] | None = None,
+    *,
+    broadcast: bool = True,
 ) -> DataFrame:
     """The fact with patient, cancer and provider attributes by surrogate key.
 
@@ -22,12 +24,14 @@ def encounter_overview(
     see those the fact was loaded with. Many fact rows may share one key, or
     have none. Each lookup uses another key, so adaptive execution can split
     such partitions by itself; over a written fact, ``busy_keys`` finds them
-    beforehand.
+    beforehand. A dimension that Spark broadcasts needs no splits and gets none,
+    unless ``broadcast`` is off.
     """
 
     def lookup(rows: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
         # Encounter and billing id, kept until the end, tell the rows of a key apart.
-        return left_join(rows, dimension, [key], left_hot=(busy or {}).get(key), left_distinct=True)
+        hot = (busy or {}).get(key)
+        return left_join(rows, dimension, [key], left_hot=hot, left_distinct=True, broadcast=broadcast)
 
     rows = fact.drop("patient_id", "date_sk")
     rows = lookup(
@@ -73,7 +77,7 @@ def encounter_overview(
 
 def busy_keys(
     fact: DataFrame, *, rows_per_task: int = ROWS_PER_TASK, sample_rate: float = SAMPLE_RATE
-) -> dict[str, HotKeys]:
+) -> dict[str, HotKeys | None]:
     """Surrogate keys (NULL included) with very many fact rows, for ``encounter_overview``."""
     return {
         key: hot_keys(fact, [key], rows_per_task=rows_per_task, sample_rate=sample_rate)
@@ -130,11 +134,20 @@ def overview_from_files(
     """
     limits = {"rows_per_task": rows_per_task, "sample_rate": sample_rate}
     busy_patients = hot_keys(encounters, ["patient_id"], **limits)
-    rows = rotate_providers(encounters, providers)
+    names = providers.select(
+        "provider_sk",
+        "provider_name",
+        F.col("specialty").alias("provider_specialty"),
+        F.col("location").alias("provider_location"),
+    )
+    people = patients.select("patient_id", "patient_name", "gender", "age", "smoking_status")
+    cancers = catalog.select("patient_id", "cancer_type", "stage")
     pair = ["encounter_id", "patient_id"]
     bills = billing.select(*pair, F.col("amount").alias("billing_amount"), "insurance", "payment_status")
-    rows = left_join(rows, bills, pair, right_hot=hot_keys(bills, pair, **limits))
-    cancers = catalog.select("patient_id", "cancer_type", "stage")
+
+    # Lookups come before the joins that repeat an encounter.
+    rows = rotate_providers(encounters, providers).join(names, "provider_sk", "left").drop("provider_sk")
+    rows = left_join(rows, people, ["patient_id"], left_hot=busy_patients)
     rows = left_join(
         rows,
         cancers,
@@ -142,12 +155,4 @@ def overview_from_files(
         left_hot=busy_patients,
         right_hot=hot_keys(cancers, ["patient_id"], **limits),
     )
-    people = patients.select("patient_id", "patient_name", "gender", "age", "smoking_status")
-    rows = left_join(rows, people, ["patient_id"], left_hot=busy_patients)
-    names = providers.select(
-        "provider_sk",
-        "provider_name",
-        F.col("specialty").alias("provider_specialty"),
-        F.col("location").alias("provider_location"),
-    )
-    return rows.join(names, "provider_sk", "left").drop("provider_sk")
+    return left_join(rows, bills, pair, right_hot=hot_keys(bills, pair, **limits))

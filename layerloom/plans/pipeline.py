@@ -13,11 +13,12 @@ from pyspark.sql import types as T
 from layerloom.functions.dates import month_label
 from layerloom.operators import quality, star
 from layerloom.operators.dedupe import drop_exact_duplicates, latest_per_key
+from layerloom.operators.masking import DEFAULT_ROLE, as_role
 from layerloom.operators.scd2 import batch_time, current_versions, scd2_merge
 from layerloom.operators.staging import clear_staged
 from layerloom.plans import marts
 from layerloom.sources import layers as store
-from layerloom.sources.delimited import read_by_header, with_lineage, write_csv
+from layerloom.sources.delimited import MALFORMED, WELL_FORMED, read_by_header, with_lineage, write_csv
 from layerloom.sources.layers import Layers
 from layerloom.sources.specs import BRONZE_REASON, SILVER_REASON, SOURCES, SourceSpec, bronze_text, typed
 
@@ -139,12 +140,12 @@ def to_bronze(run: Run, read: Callable[[SparkSession, str, SourceSpec], DataFram
     for spec in SOURCES.values():
         landed = read(run.spark, run.layers.landing(spec.file_name), spec)
         rows = with_lineage(bronze_text(landed, spec), run.batch.run_id, run.batch.ts)
-        flagged = quality.flag_rejects(rows, spec.bronze_rules)
+        flagged = quality.flag_rejects(rows, [WELL_FORMED, *spec.bronze_rules])
         valid, kept, rejected = _store_split(run, "bronze", "raw_to_bronze", spec, flagged, BRONZE_REASON)
         run.record(
             "raw_to_bronze", spec.name, source_count=kept + rejected, valid_count=kept, reject_count=rejected, duplicate_count=0
         )
-        bronze[spec.name] = valid
+        bronze[spec.name] = valid.drop(MALFORMED)
     run.flush_audit("raw_to_bronze")
     return bronze
 
@@ -153,7 +154,7 @@ def to_silver(run: Run, bronze: Mapping[str, DataFrame]) -> dict[str, DataFrame]
     """Distinct, typed rows; rows whose key columns do not parse are rejected."""
     silver = {}
     for spec in SOURCES.values():
-        rows = bronze[spec.name]
+        rows = bronze[spec.name].drop(MALFORMED)
         flagged = quality.flag_rejects(typed(drop_exact_duplicates(rows, spec.columns), spec), spec.silver_rules)
         valid, kept, rejected = _store_split(run, "silver", "bronze_to_silver", spec, flagged, SILVER_REASON)
         source = rows.count()
@@ -170,7 +171,7 @@ def to_silver(run: Run, bronze: Mapping[str, DataFrame]) -> dict[str, DataFrame]
     return silver
 
 
-def _versioned(run: Run, table: str, incoming: DataFrame, keys, tracked, sk: str, rows: int | None) -> DataFrame:
+def _versioned(run: Run, table: str, incoming: DataFrame, keys, tracked, sk: str) -> DataFrame:
     schema = T.StructType(
         [
             *incoming.schema.fields,
@@ -181,7 +182,7 @@ def _versioned(run: Run, table: str, incoming: DataFrame, keys, tracked, sk: str
             T.StructField("is_current", T.BooleanType()),
         ]
     )
-    merged = scd2_merge(run.existing(table, schema), incoming, keys, tracked, sk, run.batch.ts, rows=rows)
+    merged = scd2_merge(run.existing(table, schema), incoming, keys, tracked, sk, run.batch.ts)
     return run.write("gold", table, merged)
 
 
@@ -193,10 +194,6 @@ def _write_by_month(run: Run, table: str, rows: DataFrame) -> DataFrame:
 
 def to_gold(run: Run, silver: Mapping[str, DataFrame], cardinality: str = "one") -> dict[str, DataFrame]:
     """Dimensions, fact, bridge and marts. Each table is stored before the next reads it."""
-    # Known only when silver was built in the same run; otherwise the operators count.
-    counted = {name: None for name in SOURCES} | {
-        row["table_name"]: row["valid_count"] for row in run.audit if row["pipeline_step"] == "bronze_to_silver"
-    }
     business = {name: df.drop(*LINEAGE, "reject_reasons") for name, df in silver.items()}
     latest = {
         name: latest_per_key(silver[name], SOURCES[name].keys, ["ingested_at"]).drop(*LINEAGE)
@@ -210,7 +207,6 @@ def to_gold(run: Run, silver: Mapping[str, DataFrame], cardinality: str = "one")
         PATIENT_KEYS,
         PATIENT_TRACKED,
         PATIENT_SK,
-        counted["patients"],
     )
     gold["dim_cancer_catalog"] = _versioned(
         run,
@@ -219,7 +215,6 @@ def to_gold(run: Run, silver: Mapping[str, DataFrame], cardinality: str = "one")
         CATALOG_KEYS,
         CATALOG_TRACKED,
         CATALOG_SK,
-        counted["cancer_catalog"],
     )
     loaded_at = batch_time(run.batch.ts).alias("loaded_at")
     doctors = silver["providers"].withColumnsRenamed(
@@ -228,7 +223,7 @@ def to_gold(run: Run, silver: Mapping[str, DataFrame], cardinality: str = "one")
     gold["dim_providers"] = run.write(
         "gold",
         "dim_providers",
-        star.dim_providers(doctors, ["ingested_at"], rows=counted["providers"]).select("*", loaded_at),
+        star.dim_providers(doctors, ["ingested_at"]).select("*", loaded_at),
     )
     gold["dim_date"] = run.write("gold", "dim_date", star.dim_date(business["encounters"]).select("*", loaded_at))
 
@@ -242,7 +237,6 @@ def to_gold(run: Run, silver: Mapping[str, DataFrame], cardinality: str = "one")
         business["billing"],
         providers,
         cardinality=cardinality,
-        provider_rows=counted["providers"],
     ).select("*", F.lit(run.batch.run_id).alias("pipeline_run_id"), loaded_at)
     gold["fact_encounters"] = _write_by_month(run, "fact_encounters", fact)
     stored = gold["fact_encounters"].drop("encounter_month")
@@ -266,8 +260,8 @@ def to_gold(run: Run, silver: Mapping[str, DataFrame], cardinality: str = "one")
     return gold
 
 
-def export(run: Run, gold: Mapping[str, DataFrame]) -> dict[str, str]:
-    """The published tables as folders of CSV parts, written by the executors."""
+def export(run: Run, gold: Mapping[str, DataFrame], role: str = DEFAULT_ROLE) -> dict[str, str]:
+    """The published tables as ``role`` sees them, as folders of CSV parts written by the executors."""
     published = {
         "dim_patients_current": current_versions(gold["dim_patients"]),
         "dim_cancer_catalog_current": current_versions(gold["dim_cancer_catalog"]),
@@ -277,21 +271,21 @@ def export(run: Run, gold: Mapping[str, DataFrame]) -> dict[str, str]:
         "encounter_overview": gold["encounter_overview"].drop("encounter_month"),
         "financial_analytics": gold["financial_analytics"],
         "provider_performance": gold["provider_performance"],
-        "pipeline_audit": run.spark.read.parquet(run.layers.table("ops", "pipeline_audit")),
+        "pipeline_audit": store.read_log(run.spark, run.layers.table("ops", "pipeline_audit"), quality.AUDIT_SCHEMA),
     }
     paths = {}
     for name, df in published.items():
         paths[name] = run.layers.table("export", name)
-        write_csv(df, paths[name])
+        write_csv(as_role(name, df, role), paths[name])
     return paths
 
 
-def register_views(gold: Mapping[str, DataFrame]) -> None:
-    """Name the gold tables, and the current rows of the versioned ones, for SQL."""
+def register_views(gold: Mapping[str, DataFrame], role: str = DEFAULT_ROLE) -> None:
+    """Name the gold tables, and the current rows of the versioned ones, for SQL as ``role`` sees them."""
     for name, df in gold.items():
-        df.createOrReplaceTempView(name)
+        as_role(name, df, role).createOrReplaceTempView(name)
     for name in ("dim_patients", "dim_cancer_catalog"):
-        current_versions(gold[name]).createOrReplaceTempView(f"{name}_current")
+        as_role(name, current_versions(gold[name]), role).createOrReplaceTempView(f"{name}_current")
 
 
 def run_pipeline(
@@ -302,12 +296,13 @@ def run_pipeline(
     cardinality: str = "one",
     read: Callable[[SparkSession, str, SourceSpec], DataFrame] = read_by_header,
     export_csv: bool = True,
+    role: str = DEFAULT_ROLE,
 ) -> dict[str, DataFrame]:
     """Run every step in order and return the gold tables."""
     run = Run(spark, Layers(root), batch or Batch.at())
     gold = to_gold(run, to_silver(run, to_bronze(run, read)), cardinality)
     if export_csv:
-        export(run, gold)
+        export(run, gold, role)
     clear_staged(spark)
     return gold
 
@@ -338,9 +333,16 @@ def main() -> None:
     parser.add_argument("root", help="any URI Spark can read and write")
     parser.add_argument("--step", choices=STEPS, default="all")
     parser.add_argument("--cardinality", choices=("one", "all"), default="one")
+    parser.add_argument(
+        "--run-at", type=datetime.fromisoformat, help="the batch's instant; steps given the same one are one run"
+    )
     arguments = parser.parse_args()
     run_step(
-        SparkSession.builder.getOrCreate(), arguments.root, arguments.step, cardinality=arguments.cardinality
+        SparkSession.builder.getOrCreate(),
+        arguments.root,
+        arguments.step,
+        Batch.at(arguments.run_at),
+        cardinality=arguments.cardinality,
     )
 
 

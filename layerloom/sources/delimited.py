@@ -2,36 +2,62 @@
 
 from __future__ import annotations
 
+import csv
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from layerloom.functions.text import snake_case_columns
+from layerloom.operators.quality import Rule
 from layerloom.sources.specs import SourceSpec
 
 
-def _reader(spark: SparkSession):
-    # No inference: it costs a pass and makes types depend on the data.
-    return spark.read.option("header", True).option("quote", '"').option("escape", '"')
+# A record whose number of fields is not its file's: the text of it; NULL for all others.
+MALFORMED = "malformed_record"
+WELL_FORMED = Rule("malformed record", f"{MALFORMED} IS NOT NULL")
 
 
-def _with_file_name(df: DataFrame) -> DataFrame:
-    return df.select("*", F.col("_metadata.file_name").alias("source_file_name"))
+def _scan(spark: SparkSession, paths: str | list[str], columns: Sequence[str], spec: SourceSpec) -> DataFrame:
+    """All columns as text. No inference: it costs a pass and makes types depend on the data."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, MALFORMED)])
+    reader = spark.read.options(
+        header=True, quote='"', escape='"', multiLine=spec.multiline, columnNameOfCorruptRecord=MALFORMED
+    )
+    rows = reader.option("columnPruning", False).schema(schema).csv(paths)
+    return rows.select("*", F.col("_metadata.file_name").alias("source_file_name"))
 
 
 def read_by_position(spark: SparkSession, path: str, spec: SourceSpec) -> DataFrame:
     """Columns by their place in the file; header texts are ignored."""
-    return _with_file_name(_reader(spark).schema(spec.text_schema).csv(path))
+    return _scan(spark, path, spec.columns, spec)
+
+
+def _files_by_header(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The files under ``path`` by the names in their first line; one row per file comes to the driver."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value"
+    )
+    first = lines.where("start = 0").groupBy("file").agg(F.first("value").alias("line"))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in first.orderBy("file").collect():
+        found.setdefault(tuple(next(csv.reader([row["line"]]), [])), []).append(row["file"])
+    return found
 
 
 def read_by_header(spark: SparkSession, path: str, spec: SourceSpec) -> DataFrame:
-    """Columns by normalised header; extra ones are dropped, missing ones are an error."""
-    found = snake_case_columns(_with_file_name(_reader(spark).csv(path)))
-    missing = [c for c in spec.columns if c not in found.columns]
-    if missing:
-        raise ValueError(f"{path} lacks columns {missing}; it has {found.columns}")
-    return found.select(*spec.columns, "source_file_name")
+    """Columns by normalised header of each file; extra ones are dropped, missing ones are an error."""
+    out = None
+    for header, files in _files_by_header(spark, path).items():
+        rows = snake_case_columns(_scan(spark, files, header, spec))
+        missing = [c for c in spec.columns if c not in rows.columns]
+        if missing:
+            raise ValueError(f"{files[0]} lacks columns {missing}; it has {list(header)}")
+        rows = rows.select(*spec.columns, MALFORMED, "source_file_name")
+        out = rows if out is None else out.unionByName(rows)
+    return _scan(spark, path, spec.columns, spec) if out is None else out
 
 
 def with_lineage(df: DataFrame, run_id: str, ingested_at: datetime) -> DataFrame:

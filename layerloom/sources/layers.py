@@ -83,3 +83,8 @@ def write_log(df: DataFrame, table_path: str, **place: str) -> None:
     """
     folder = "/".join(f"{name}={value}" for name, value in place.items())
     df.drop(*place).write.mode("overwrite").parquet(f"{table_path}/{folder}")
+
+
+def read_log(spark: SparkSession, table_path: str, schema: T.StructType) -> DataFrame:
+    """A log table with its declared types; a run id of digits stays text."""
+    return spark.read.schema(schema).parquet(table_path).select(*schema.fieldNames())

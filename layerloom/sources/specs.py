@@ -32,6 +32,8 @@ class SourceSpec:
     types: dict[str, str] = field(default_factory=dict)
     renamed: dict[str, str] = field(default_factory=dict)
     name_columns: tuple[str, ...] = ()
+    #: Quoted values may hold line breaks; such a file is read by one task.
+    multiline: bool = False
 
     @property
     def file_name(self) -> str:

@@ -242,8 +242,8 @@ def profile_sql(relation: str, columns: list[str]) -> str:
     )
 
 
-def group_sql(group: str, measure: str, name: str) -> str:
-    return f"SELECT {group}, {measure} AS {name} FROM filtered WHERE {group} IS NOT NULL GROUP BY {group}"
+def group_sql(group: str, measure: str, name: str, rows: str = "overview_one") -> str:
+    return f"SELECT {group}, {measure} AS {name} FROM {rows} WHERE {group} IS NOT NULL GROUP BY {group}"
 
 
 REVENUE = "CAST(coalesce(sum(billing_amount), 0) AS DOUBLE)"
@@ -259,6 +259,10 @@ def _prefixed(column: str) -> str:
     return f"coalesce(CAST(length({text}) AS VARCHAR) || ':' || {text}, '-')"
 
 
+SHOW_FILE = """SELECT CAST(c_custkey AS VARCHAR) AS customer_key, replace(c_name, '#', chr(10)) AS customer_name,
+       c_mktsegment AS segment, CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS balance,
+       CAST(NULL AS VARCHAR) AS malformed_record FROM customer"""
+
 ORACLES = {
     "trim_strings": """SELECT c_custkey, trim('  ' || c_name || ' ') AS c_name,
        trim(c_mktsegment || '   ') AS c_mktsegment FROM customer""",
@@ -287,7 +291,7 @@ ORACLES = {
            f"'\"{c}\":\"' || {c} || '\"'" for c in (
                "encounter_id", "patient_id", "date", "treatment", "drug_regimen", "number_of_cycles",
                "treatment_response_score", "outcome"))}) || '}}' AS record_payload {REJECTED}""",
-    "profile_columns": profile_sql(LABELLED, ["doc_id", "lang", "source", "n_chars", "quality", "toxic"]),
+    "profile_columns": profile_sql(LABELLED, ["doc_id", "text", "lang", "source", "n_chars", "quality", "toxic"]),
     "dedupe_exact": f"SELECT DISTINCT {LINE_COLUMNS} FROM lineitem",
     "dedupe_by_key": f"""SELECT {LINE_COLUMNS} FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey
        ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
@@ -302,6 +306,10 @@ ORACLES = {
        || {_prefixed("toxic")}) AS record_hash FROM {LABELLED}""",
     "surrogate_keys": """SELECT c_mktsegment, c_custkey,
        row_number() OVER (ORDER BY c_mktsegment, c_custkey) AS customer_sk FROM customer""",
+    "surrogate_keys_lines": """SELECT l_orderkey, l_linenumber,
+       row_number() OVER (ORDER BY l_orderkey, l_linenumber) AS line_sk FROM lineitem""",
+    "csv_by_header": SHOW_FILE,
+    "csv_by_position": SHOW_FILE,
     "dim_patients_stage": """SELECT patient_id, patient_name, gender, CAST(bmi AS DOUBLE) AS bmi, smoking_status, age,
        record_hash FROM dim_patients""",
     "dim_patients_seed": SHOW_DIM.format("dim_patients"),
@@ -327,6 +335,8 @@ ORACLES = {
        CAST(strftime(encounter_date, '%Y%m%d') AS INTEGER) AS date_sk FROM encounters""",
     "fact_encounters_one": SHOW_OVERVIEW.format("fact_one"),
     "fact_encounters_all": SHOW_OVERVIEW.format("fact_all"),
+    "fact_encounters_all_split": SHOW_OVERVIEW.format("fact_all"),
+    "fact_encounters_one_split": SHOW_OVERVIEW.format("fact_one"),
     "bridge_encounter_provider": """SELECT encounter_id, provider_sk, provider_id,
        'HASH_ENCOUNTER_PROVIDER_ASSIGNMENT' AS assignment_method FROM assigned WHERE provider_sk IS NOT NULL""",
     "encounter_overview": SHOW_OVERVIEW.format("overview_one"),
@@ -362,6 +372,11 @@ ORACLES = {
            / 10000000000 AS avg_treatment_response_score,
        CAST(sum(total_billing_amount) AS DOUBLE) AS total_billing_amount FROM performance_one GROUP BY 1""",
     "metric_provider_exact": f"""SELECT provider_specialty AS specialty, count(DISTINCT encounter_id) AS encounter_count,
+       count(DISTINCT patient_id) AS patient_count,
+       {as_mean(average("treatment_response_score"))} AS avg_treatment_response_score,
+       CAST(sum(billing_amount) AS DOUBLE) AS total_billing_amount
+       FROM overview_one GROUP BY 1""",
+    "metric_provider_exact_filtered": f"""SELECT provider_specialty AS specialty, count(DISTINCT encounter_id) AS encounter_count,
        count(DISTINCT patient_id) AS patient_count,
        {as_mean(average("treatment_response_score"))} AS avg_treatment_response_score,
        CAST(sum(billing_amount) AS DOUBLE) AS total_billing_amount
@@ -378,31 +393,37 @@ ORACLES = {
     ),
     "kpi_summary": SHOW_KPI.format("filtered"),
     "kpi_summary_unfiltered": SHOW_KPI.format("overview_one"),
-    "monthly_trend": """SELECT strftime(encounter_date, '%Y-%m') AS month,
-       count(DISTINCT encounter_id) AS encounter_count FROM filtered WHERE encounter_date IS NOT NULL GROUP BY 1""",
-    "treatment_mix": group_sql("treatment", "count(DISTINCT encounter_id)", "encounter_count"),
-    "stage_distribution": group_sql("stage", "count(DISTINCT patient_id)", "patient_count"),
-    "response_by_treatment": group_sql(
-        "treatment", as_mean(average("treatment_response_score")), "treatment_response_score"
-    ),
-    "revenue_by_payer": group_sql("insurance", REVENUE, "billing_amount"),
-    "payment_status_mix": group_sql("payment_status", REVENUE, "billing_amount"),
     "top_providers_by_encounters": SHOW_PERFORMANCE.format("performance_one")
     + " ORDER BY encounter_count DESC NULLS LAST, provider_id LIMIT 15",
     "top_providers_by_response": SHOW_PERFORMANCE.format("performance_one")
     + " ORDER BY score_millionths DESC NULLS LAST, provider_id LIMIT 15",
     "mask_patients": """SELECT substr(CAST(patient_id AS VARCHAR), 1, 3) || '****' AS patient_id,
-       CASE WHEN patient_name IS NOT NULL THEN 'REDACTED' END AS patient_name, gender, CAST(bmi AS DOUBLE) AS bmi,
+       'REDACTED' AS patient_name, gender, CAST(bmi AS DOUBLE) AS bmi,
        smoking_status, age, patient_id AS row_key FROM patients""",
+    "mask_catalog": """SELECT * REPLACE (substr(CAST(patient_id AS VARCHAR), 1, 3) || '****' AS patient_id),
+       patient_id AS row_key FROM catalog""",
     "mask_patients_pattern": r"""SELECT regexp_replace(CAST(patient_id AS VARCHAR), '(^...).*', '\1****') AS patient_id,
-       CASE WHEN patient_name IS NOT NULL THEN 'REDACTED' END AS patient_name, gender, CAST(bmi AS DOUBLE) AS bmi,
+       'REDACTED' AS patient_name, gender, CAST(bmi AS DOUBLE) AS bmi,
        smoking_status, age, patient_id AS row_key FROM patients""",
     "mask_patients_privileged": SHOW_DIM.format("patients"),
-    "governance_slice": """SELECT patient_name, gender, age, smoking_status, cancer_type, stage, treatment,
-       CAST(billing_amount AS DOUBLE) AS amount,
-       substr(CAST(patient_id AS VARCHAR), 1, 3) || '****' AS patient_id_masked FROM filtered""",
     "dq_summary": SHOW_DQ.format("overview_all"),
     "dq_summary_filtered": SHOW_DQ.format("filtered"),
 }
 
+for rows, suffix in (("overview_one", ""), ("filtered", "_filtered")):
+    ORACLES |= {
+        f"monthly_trend{suffix}": f"""SELECT strftime(encounter_date, '%Y-%m') AS month,
+       count(DISTINCT encounter_id) AS encounter_count FROM {rows} WHERE encounter_date IS NOT NULL GROUP BY 1""",
+        f"treatment_mix{suffix}": group_sql("treatment", "count(DISTINCT encounter_id)", "encounter_count", rows),
+        f"stage_distribution{suffix}": group_sql("stage", "count(DISTINCT patient_id)", "patient_count", rows),
+        f"response_by_treatment{suffix}": group_sql(
+            "treatment", as_mean(average("treatment_response_score")), "treatment_response_score", rows
+        ),
+        f"revenue_by_payer{suffix}": group_sql("insurance", REVENUE, "billing_amount", rows),
+        f"payment_status_mix{suffix}": group_sql("payment_status", REVENUE, "billing_amount", rows),
+        f"governance_slice{suffix}": f"""SELECT patient_name, gender, age, smoking_status, cancer_type, stage, treatment,
+       CAST(billing_amount AS DOUBLE) AS amount,
+       substr(CAST(patient_id AS VARCHAR), 1, 3) || '****' AS patient_id_masked FROM {rows}""",
+    }
+
 ORACLES = {name: with_ctes(body) for name, body in ORACLES.items()}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -14,9 +15,11 @@ from layerloom.functions.text import strip_name_counter, trim_strings
 from layerloom.operators import quality, scd2, star
 from layerloom.operators.dedupe import drop_exact_duplicates, first_per_key, latest_per_key
 from layerloom.operators.keys import dense_key
-from layerloom.operators.masking import MaskPolicy, PATIENT_POLICIES, apply_masks, pattern_mask, redact
+from layerloom.operators.masking import MaskPolicy, PATIENT_POLICIES, apply_masks, as_role, pattern_mask, redact
+from layerloom.operators.staging import staging_root
 from layerloom.plans import marts, metrics, reports
-from layerloom.sources.specs import BRONZE_REASON, ENCOUNTERS, SILVER_REASON, bronze_text, typed
+from layerloom.sources.delimited import read_by_header, read_by_position
+from layerloom.sources.specs import BRONZE_REASON, ENCOUNTERS, SILVER_REASON, SourceSpec, bronze_text, typed
 from layerloom.suite import roles as r
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +52,48 @@ def query(build: Query) -> Query:
     return build
 
 
+# --- delimited files ---------------------------------------------------------
+
+
+CUSTOMER_FILE = SourceSpec(
+    name="customer",
+    columns=("customer_key", "customer_name", "segment", "balance"),
+    keys=("customer_key",),
+    required=("customer_key",),
+    valid=("customer_key",),
+    multiline=True,
+)
+
+
+def _customer_files(spark, d, *orders: tuple[str, ...]) -> str:
+    """``customer`` as CSV files, a part of its rows in each order of columns; names hold line breaks."""
+    rows = r.table(spark, d, "customer").select(
+        F.col("c_custkey").alias("Customer Key"),
+        F.regexp_replace("c_name", "#", "\n").alias("Customer-Name"),
+        F.col("c_mktsegment").alias("SEGMENT"),
+        F.col("c_acctbal").cast("decimal(18,2)").alias("balance"),
+    )
+    folder = f"{staging_root(spark).rstrip('/')}/customer-{uuid.uuid4().hex}"
+    for i, order in enumerate(orders):
+        part = rows.where(F.pmod(F.col("Customer Key"), F.lit(len(orders))) == i).select(*[f"`{c}`" for c in order])
+        part.write.mode("append").option("header", True).option("escape", '"').csv(folder)
+    return folder
+
+
+_FILE_COLUMNS = ("Customer Key", "Customer-Name", "SEGMENT", "balance")
+
+
+@query
+def csv_by_header(spark, d):
+    folder = _customer_files(spark, d, _FILE_COLUMNS, _FILE_COLUMNS[::-1])
+    return read_by_header(spark, folder, CUSTOMER_FILE).drop("source_file_name")
+
+
+@query
+def csv_by_position(spark, d):
+    return read_by_position(spark, _customer_files(spark, d, _FILE_COLUMNS), CUSTOMER_FILE).drop("source_file_name")
+
+
 # --- cleaning and validation -------------------------------------------------
 
 
@@ -139,7 +184,7 @@ def reject_payload_json(spark, d):
 @query
 def profile_columns(spark, d):
     labelled = r.table(spark, d, "documents").join(r.table(spark, d, "labels"), "doc_id", "left")
-    return quality.profile(labelled.select("doc_id", "lang", "source", "n_chars", "quality", "toxic"))
+    return quality.profile(labelled.select("doc_id", "text", "lang", "source", "n_chars", "quality", "toxic"))
 
 
 # --- keys and dedupe -----------------------------------------------------------
@@ -184,6 +229,12 @@ def surrogate_keys(spark, d):
     return dense_key(rows, ["c_mktsegment", "c_custkey"], "customer_sk")
 
 
+@query
+def surrogate_keys_lines(spark, d):
+    rows = r.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
+    return dense_key(rows, ["l_orderkey", "l_linenumber"], "line_sk")
+
+
 # --- dimensions ------------------------------------------------------------------
 
 
@@ -205,7 +256,7 @@ def dim_cancer_catalog(spark, d):
 
 @query
 def dim_providers(spark, d):
-    return r.provider_dimension(spark, d)[0]
+    return r.provider_dimension(spark, d)
 
 
 @query
@@ -265,14 +316,14 @@ def scd2_new_versions(spark, d):
 
 @query
 def provider_assignment(spark, d):
-    doctors, rows = r.provider_dimension(spark, d)
+    doctors = r.provider_dimension(spark, d)
     ids = r.encounters(spark, d).select("encounter_id")
     return star.assign_providers(ids, doctors, rows)
 
 
 @query
 def provider_round_robin(spark, d):
-    doctors, _ = r.provider_dimension(spark, d)
+    doctors = r.provider_dimension(spark, d)
     return star.rotate_providers(r.encounters(spark, d).select("encounter_id"), doctors)
 
 
@@ -292,6 +343,17 @@ def fact_encounters_all(spark, d):
     return r.fact(spark, d, "all")
 
 
+@query
+def fact_encounters_all_split(spark, d):
+    """As above, with every key of more than three rows split."""
+    return r.fact(spark, d, "all", rows_per_task=3, sample_rate=1.0, broadcast=False)
+
+
+@query
+def fact_encounters_one_split(spark, d):
+    return r.fact(spark, d, rows_per_task=3, sample_rate=1.0, broadcast=False)
+
+
 @query
 def bridge_encounter_provider(spark, d):
     return star.bridge_encounter_provider(r.fact(spark, d))
@@ -346,7 +408,7 @@ def overview_two_key_join(spark, d):
         r.encounters(spark, d),
         bills,
         r.catalog(spark, d),
-        r.provider_dimension(spark, d)[0],
+        r.provider_dimension(spark, d),
     )
 
 
@@ -388,6 +450,15 @@ def metric_provider_rollup(spark, d):
 
 @query
 def metric_provider_exact(spark, d):
+    return metrics.PROVIDER_METRICS_EXACT.query(
+        r.overview(spark, d),
+        ["specialty"],
+        ["encounter_count", "patient_count", "avg_treatment_response_score", "total_billing_amount"],
+    )
+
+
+@query
+def metric_provider_exact_filtered(spark, d):
     return metrics.PROVIDER_METRICS_EXACT.query(
         r.overview(spark, d),
         ["specialty"],
@@ -429,31 +500,61 @@ def kpi_summary_unfiltered(spark, d):
 
 @query
 def monthly_trend(spark, d):
+    return reports.monthly_trend(r.overview(spark, d))
+
+
+@query
+def monthly_trend_filtered(spark, d):
     return reports.monthly_trend(r.filtered(spark, d))
 
 
 @query
 def treatment_mix(spark, d):
+    return reports.treatment_mix(r.overview(spark, d))
+
+
+@query
+def treatment_mix_filtered(spark, d):
     return reports.treatment_mix(r.filtered(spark, d))
 
 
 @query
 def stage_distribution(spark, d):
+    return reports.stage_distribution(r.overview(spark, d))
+
+
+@query
+def stage_distribution_filtered(spark, d):
     return reports.stage_distribution(r.filtered(spark, d))
 
 
 @query
 def response_by_treatment(spark, d):
+    return reports.response_by_treatment(r.overview(spark, d))
+
+
+@query
+def response_by_treatment_filtered(spark, d):
     return reports.response_by_treatment(r.filtered(spark, d))
 
 
 @query
 def revenue_by_payer(spark, d):
+    return reports.revenue_by_payer(r.overview(spark, d))
+
+
+@query
+def revenue_by_payer_filtered(spark, d):
     return reports.revenue_by_payer(r.filtered(spark, d))
 
 
 @query
 def payment_status_mix(spark, d):
+    return reports.payment_status_mix(r.overview(spark, d))
+
+
+@query
+def payment_status_mix_filtered(spark, d):
     return reports.payment_status_mix(r.filtered(spark, d))
 
 
@@ -476,6 +577,11 @@ def mask_patients(spark, d):
     return apply_masks(named, PATIENT_POLICIES, role="analyst")
 
 
+@query
+def mask_catalog(spark, d):
+    return as_role("dim_cancer_catalog", r.catalog(spark, d).withColumn("row_key", F.col("patient_id")))
+
+
 @query
 def mask_patients_pattern(spark, d):
     named = r.patients(spark, d).withColumn("row_key", F.col("patient_id"))
@@ -490,6 +596,11 @@ def mask_patients_privileged(spark, d):
 
 @query
 def governance_slice(spark, d):
+    return reports.governance_slice(r.overview(spark, d))
+
+
+@query
+def governance_slice_filtered(spark, d):
     return reports.governance_slice(r.filtered(spark, d))
 
 

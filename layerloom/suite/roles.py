@@ -167,15 +167,11 @@ def catalog(spark, d) -> DataFrame:
 
 
 def dim_patients(spark, d) -> DataFrame:
-    rows = table(spark, d, "customer").count()
-    return seed_dimension(patients(spark, d), ["patient_id"], PATIENT_TRACKED, "patient_sk", T0, rows=rows)
+    return seed_dimension(patients(spark, d), ["patient_id"], PATIENT_TRACKED, "patient_sk", T0)
 
 
 def dim_catalog(spark, d) -> DataFrame:
-    rows = table(spark, d, "events").count()
-    return seed_dimension(
-        catalog(spark, d), ["patient_id", "cancer_type"], CATALOG_TRACKED, "cancer_sk", T0, rows=rows
-    )
+    return seed_dimension(catalog(spark, d), ["patient_id", "cancer_type"], CATALOG_TRACKED, "cancer_sk", T0)
 
 
 @dataclass(frozen=True)
@@ -183,22 +179,17 @@ class Dimensions:
     patients: DataFrame
     catalog: DataFrame
     providers: DataFrame
-    provider_rows: int
 
 
 def dimensions(spark, d) -> Dimensions:
-    rows = table(spark, d, "supplier").count()
-    return Dimensions(
-        dim_patients(spark, d), dim_catalog(spark, d), dim_providers(providers(spark, d), rows=rows), rows
-    )
+    return Dimensions(dim_patients(spark, d), dim_catalog(spark, d), provider_dimension(spark, d))
 
 
-def provider_dimension(spark, d) -> tuple[DataFrame, int]:
-    rows = table(spark, d, "supplier").count()
-    return dim_providers(providers(spark, d), rows=rows), rows
+def provider_dimension(spark, d) -> DataFrame:
+    return dim_providers(providers(spark, d))
 
 
-def fact(spark, d, cardinality: str = "one", dims: Dimensions | None = None) -> DataFrame:
+def fact(spark, d, cardinality: str = "one", dims: Dimensions | None = None, **limits) -> DataFrame:
     dims = dims or dimensions(spark, d)
     return fact_encounters(
         encounters(spark, d),
@@ -207,7 +198,7 @@ def fact(spark, d, cardinality: str = "one", dims: Dimensions | None = None) ->
         billing(spark, d),
         dims.providers,
         cardinality=cardinality,
-        provider_rows=dims.provider_rows,
+        **limits,
     )
 
 

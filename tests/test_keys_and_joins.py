@@ -2,12 +2,13 @@ import random
 from pathlib import Path
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from layerloom.operators import staging
 from layerloom.operators.dedupe import drop_exact_duplicates, first_per_key, latest_per_key
 from layerloom.operators.keys import dense_key, max_key
-from layerloom.operators.skew import _spread, hot_keys, left_join
+from layerloom.operators.skew import _spread, fits_broadcast, hot_keys, left_join
 from plans import physical_plan, rows
 
 
@@ -21,20 +22,20 @@ def width(spark, request):
 
 @pytest.mark.parametrize("width", [1, 4, 64], indirect=True)
 @pytest.mark.parametrize("kind", ["bigint", "string"])
-def test_two_phase_keys_equal_the_plain_window(spark, width, kind):
+def test_keys_equal_the_plain_window(spark, width, kind):
     df = spark.range(5_000).select((F.xxhash64("id") % 1_000_000).cast(kind).alias("a"), F.col("id").alias("b"))
-    plain = dense_key(df, ["a", "b"], "sk", rows=5_000)
-    placed = dense_key(df, ["a", "b"], "sk", rows=5_000, single_task_rows=100)
-    assert rows(placed) == rows(plain)
+    plain = df.withColumn("sk", F.row_number().over(Window.orderBy("a", "b")).cast("bigint"))
+    assert rows(dense_key(df, ["a", "b"], "sk")) == rows(plain)
     staging.clear_staged(spark)
 
 
-def test_two_phase_plan_numbers_rows_without_a_single_task_sort(spark):
-    placed = dense_key(spark.range(5_000), ["id"], "sk", single_task_rows=100)
+def test_rows_are_numbered_without_a_single_task_sort(spark):
+    placed = dense_key(spark.range(5_000), ["id"], "sk")
     plan = physical_plan(placed)
     # The only single-task window runs over the per-partition counts.
     assert plan.count("Window") == 1 and plan.index("BroadcastExchange") < plan.index("Window")
     assert placed.agg(F.min("sk"), F.max("sk"), F.count_distinct("sk")).first()[:] == (1, 5_000, 5_000)
+    assert dense_key(spark.range(0), ["id"], "sk").count() == 0
     staging.clear_staged(spark)
 
 
@@ -112,13 +113,17 @@ def _skewed(spark):
     return left, right
 
 
+def listed(spark, splits):
+    return spark.createDataFrame([(*k, n) for k, n in splits.items()], "k bigint, splits int") if splits else None
+
+
 @pytest.mark.parametrize("split_left, split_right", [(True, False), (False, True), (True, True), (False, False)])
 def test_split_join_equals_the_plain_join(spark, split_left, split_right):
     left, right = _skewed(spark)
     limits = {"rows_per_task": 10, "sample_rate": 1.0}
     left_hot = hot_keys(left, ["k"], **limits) if split_left else None
     right_hot = hot_keys(right, ["k"], **limits) if split_right else None
-    joined = left_join(left, right, ["k"], left_hot=left_hot, right_hot=right_hot)
+    joined = left_join(left, right, ["k"], left_hot=left_hot, right_hot=right_hot, broadcast=False)
     plain = left.join(right, "k", "left").select("k", "l", "r")
     assert rows(joined.select("k", "l", "r")) == rows(plain)
 
@@ -127,7 +132,8 @@ def test_copies_are_dealt_out_and_all_come_back(spark):
     left = spark.createDataFrame([(1, "l")] * 50 + [(1, "m")] * 3 + [(2, "l"), (None, "n"), (None, "n")], "k int, l string")
     right = spark.createDataFrame([(1, "r")] * 40 + [(1, "s"), (3, "t"), (None, "u")], "k int, r string")
     for left_hot, right_hot in (({(1,): 4}, {(1,): 8}), ({(1,): 7, (None,): 2}, {}), ({}, {(1,): 3, (3,): 2})):
-        joined = left_join(left, right, ["k"], left_hot=left_hot, right_hot=right_hot)
+        hot = {"left_hot": listed(spark, left_hot), "right_hot": listed(spark, right_hot)}
+        joined = left_join(left, right, ["k"], **hot, broadcast=False)
         assert rows(joined) == rows(left.join(right, "k", "left"))
 
 
@@ -141,12 +147,17 @@ def test_copies_leave_a_task_as_one_row_per_slot(spark):
 def test_hot_keys_names_heavy_keys_and_null(spark):
     left, _ = _skewed(spark)
     found = hot_keys(left, ["k"], rows_per_task=30, sample_rate=1.0)
-    assert found == {(7,): 7, (None,): 2}
+    assert {(r.k,): r.splits for r in found.collect()} == {(7,): 7, (None,): 2}
+
+
+def test_every_key_over_the_limit_is_listed(spark):
+    many = spark.range(15_000).select((F.col("id") % 3_000).alias("k"))
+    assert hot_keys(many, ["k"], rows_per_task=4, sample_rate=1.0).count() == 3_000
 
 
 def test_hot_key_is_spread_over_its_splits(spark):
     left, right = _skewed(spark)
-    joined = left_join(left, right.select("k").distinct(), ["k"], left_hot={(7,): 8})
+    joined = left_join(left, right.select("k").distinct(), ["k"], left_hot=listed(spark, {(7,): 8}), broadcast=False)
     plan = physical_plan(joined)
     assert "xxhash64" in plan and "Generate explode" in plan
     assert "NestedLoop" not in plan and "Cartesian" not in plan
@@ -154,8 +165,16 @@ def test_hot_key_is_spread_over_its_splits(spark):
 
 def test_without_hot_keys_the_join_is_plain(spark):
     left, right = _skewed(spark)
-    assert hot_keys(left, ["k"]) == {}
-    assert "Generate" not in physical_plan(left_join(left, right, ["k"], left_hot={}, right_hot={}))
+    assert hot_keys(left, ["k"]) is None
+    assert "Generate" not in physical_plan(left_join(left, right, ["k"]))
+
+
+def test_a_small_right_side_is_broadcast_despite_hot_keys(spark):
+    left, right = _skewed(spark)
+    joined = left_join(left, right, ["k"], left_hot=listed(spark, {(7,): 8}))
+    plan = physical_plan(joined)
+    assert fits_broadcast(right) and "BroadcastHashJoin" in plan
+    assert "hashpartitioning" not in plan and "Generate" not in plan
 
 
 def test_many_key_columns_and_unmatched_keys(spark):
@@ -163,6 +182,7 @@ def test_many_key_columns_and_unmatched_keys(spark):
     right = spark.createDataFrame([(1, "a", "m"), (1, "a", "n"), (2, None, "o")], "x int, y string, r string")
     limits = {"rows_per_task": 1, "sample_rate": 1.0}
     joined = left_join(
-        left, right, ["x", "y"], left_hot=hot_keys(left, ["x", "y"], **limits), right_hot=hot_keys(right, ["x", "y"], **limits)
+        left, right, ["x", "y"], left_hot=hot_keys(left, ["x", "y"], **limits), right_hot=hot_keys(right, ["x", "y"], **limits),
+        broadcast=False,
     )
     assert rows(joined) == rows(left.join(right, ["x", "y"], "left"))

@@ -3,18 +3,20 @@
 import csv
 import json
 import re
+from dataclasses import replace
 from datetime import date, datetime
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from layerloom.operators import quality
 from layerloom.plans.pipeline import Batch, Run, register_views, run_pipeline, run_step
 from layerloom.plans.reports import ReportFilter, filter_overview
 from layerloom.sources import layers as store
 from layerloom.sources.delimited import read_by_header, read_by_position
 from layerloom.sources.layers import Layers
-from layerloom.sources.specs import PATIENTS, bronze_text
+from layerloom.sources.specs import PATIENTS, PROVIDERS, bronze_text
 from plans import physical_plan, rows
 
 HEADERS = {
@@ -212,10 +214,66 @@ def test_report_reads_only_the_months_it_shows(spark, lake):
 
 
 def test_views_answer_sql(spark, lake):
-    register_views(lake[2])
+    register_views(lake[2], role="admin")
     assert spark.sql("SELECT count(*) FROM dim_patients_current WHERE patient_id = 'P001'").first()[0] == 1
 
 
+def test_views_and_exports_hide_people_from_other_roles(spark, lake):
+    root, gold = lake[0], lake[2]
+    clear = {r.patient_id for r in gold["dim_patients"].collect()} | {r.patient_name for r in gold["dim_patients"].collect()}
+    register_views(gold)
+    for name in ("dim_patients", "dim_patients_current", "dim_cancer_catalog", "encounter_overview"):
+        exported = root / "export" / name
+        tables = [spark.table(name)]
+        if exported.exists():
+            tables.append(spark.read.option("header", True).csv(str(exported)))
+        for table in tables:
+            shown = [r for r in table.select("patient_id", "patient_name").collect()]
+            assert shown and not {v for r in shown for v in r if v} & clear
+            assert {r.patient_name for r in shown} == {"REDACTED"}
+
+
+def test_audit_log_keeps_the_run_id_as_text(spark, lake):
+    log = store.read_log(spark, str(lake[0] / "ops" / "pipeline_audit"), quality.AUDIT_SCHEMA)
+    assert log.schema["pipeline_run_id"].dataType.simpleString() == "string"
+    assert log.columns == quality.AUDIT_SCHEMA.fieldNames() and log.where("pipeline_run_id IS NULL").count() == 0
+
+
+def test_each_file_of_a_folder_is_read_by_its_own_header(spark, tmp_path):
+    folder = tmp_path / "providers.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("Provider ID,Name,Specialty,Location,Years of Experience\nD1,Al,onc,X,3\n")
+    (folder / "b.csv").write_text("Name,Provider-ID,Extra,Location,Specialty,Years of Experience\nBo,D2,e,Y,rad,4\n")
+    got = {tuple(r)[:5] for r in read_by_header(spark, str(folder), PROVIDERS).collect()}
+    assert got == {("D1", "Al", "onc", "X", "3"), ("D2", "Bo", "rad", "Y", "4")}
+    (folder / "c.csv").write_text("Name,Location\nCy,Z\n")
+    with pytest.raises(ValueError, match="c.csv lacks columns"):
+        read_by_header(spark, str(folder), PROVIDERS)
+
+
+def test_line_breaks_in_quotes_and_malformed_records(spark, tmp_path):
+    path = tmp_path / "providers.csv"
+    path.write_text(
+        'Provider ID,Name,Specialty,Location,Years of Experience\nD1,"Al\nB, ""C""",onc,X,3\n'
+        "D2,Bo,rad,Y,4,surplus\nD3,Cy\nD4,Di,onc,Z,5\n"
+    )
+    spec = replace(PROVIDERS, multiline=True)
+    for read in (read_by_header, read_by_position):
+        rows = {r.provider_id: r for r in read(spark, str(path), spec).collect()}
+        assert set(rows) == {"D1", "D2", "D3", "D4"} and rows["D1"].name == 'Al\nB, "C"'
+        assert {k for k, r in rows.items() if r.malformed_record} == {"D2", "D3"}
+        assert "surplus" in rows["D2"].malformed_record
+
+
+def test_malformed_records_are_rejected_with_their_text(spark, tmp_path):
+    land(tmp_path, FIRST)
+    path = tmp_path / "raw" / "providers.csv"
+    path.write_text(path.read_text() + "D9,Zed,onc,X,3,surplus\n")
+    run_step(spark, str(tmp_path), "bronze", BATCHES[0])
+    found = spark.read.parquet(str(tmp_path / "ops" / "rejected_records")).where("table_name = 'providers'")
+    assert any("malformed record" in r.reject_reasons and "surplus" in r.record_payload for r in found.collect())
+
+
 def test_missing_landing_file_fails(spark, tmp_path):
     (tmp_path / "raw").mkdir()
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):

@@ -3,6 +3,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from layerloom.operators import staging
 from layerloom.operators.star import (
     assign_providers,
     bridge_encounter_provider,
@@ -73,7 +74,7 @@ def test_all_keeps_every_catalog_and_billing_row(star):
 @pytest.mark.parametrize("cardinality", ["one", "all"])
 def test_splitting_hot_keys_changes_nothing(star, cardinality):
     plain = fact_encounters(*star, cardinality=cardinality)
-    split = fact_encounters(*star, cardinality=cardinality, rows_per_task=1, sample_rate=1.0)
+    split = fact_encounters(*star, cardinality=cardinality, rows_per_task=1, sample_rate=1.0, broadcast=False)
     assert rows(split) == rows(plain)
 
 
@@ -171,8 +172,16 @@ def test_overview_keeps_fact_rows_that_match_nothing(overview):
 def test_overview_with_hot_keys_is_the_same(overview):
     view, *tables = overview
     busy = marts.busy_keys(tables[0], rows_per_task=1, sample_rate=1.0)
-    assert (None,) in busy["patient_sk"]
-    assert rows(marts.encounter_overview(*tables, busy=busy)) == rows(view)
+    assert busy["patient_sk"].where("patient_sk IS NULL").count() == 1
+    assert rows(marts.encounter_overview(*tables, busy=busy, broadcast=False)) == rows(view)
+
+
+def test_overview_broadcasts_small_dimensions_despite_hot_keys(overview):
+    _, fact, *dimensions = overview
+    tables = [fact, *(staging.write_through(d, "dimension") for d in dimensions)]  # stored, so their sizes are known
+    busy = marts.busy_keys(fact, rows_per_task=1, sample_rate=1.0)
+    with_hot, without = (physical_plan(marts.encounter_overview(*tables, busy=b)) for b in (busy, None))
+    assert with_hot.count("Exchange hashpartitioning") == without.count("Exchange hashpartitioning")
 
 
 def test_financial_mart_keeps_null_groups(overview):
