@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,7 +23,8 @@ def staging_root(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-_written: list[str] = []
+_loose: list[str] = []
+_scope: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
 
 def write_through(df: DataFrame, label: str) -> DataFrame:
@@ -28,18 +32,36 @@ def write_through(df: DataFrame, label: str) -> DataFrame:
 
     The result no longer depends on the upstream plan: lost executors cost a
     re-read, and later passes read only the columns they need. The files stay
-    until ``clear_staged``, as the caller's plan still reads them.
+    until their ``staging_scope`` ends or, outside one, until ``clear_staged``,
+    as the caller's plan still reads them.
     """
     spark = df.sparkSession
     path = f"{staging_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    held = _scope.get()
+    (_loose if held is None else held).append(path)
     df.write.parquet(path)
-    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def clear_staged(spark: SparkSession) -> None:
-    """Delete what this process staged, once every result built on it is stored."""
+def _delete(spark: SparkSession, paths: list[str]) -> None:
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+    while paths:
+        path = jvm.org.apache.hadoop.fs.Path(paths.pop())
         path.getFileSystem(conf).delete(path, True)
+
+
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside is deleted at the end, also of a run that fails; threads have scopes of their own."""
+    held: list[str] = []
+    token = _scope.set(held)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        _delete(spark, held)
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete what was staged outside any scope, once every result built on it is stored."""
+    _delete(spark, _loose)

@@ -156,3 +156,29 @@ def overview_from_files(
         right_hot=hot_keys(cancers, ["patient_id"], **limits),
     )
     return left_join(rows, bills, pair, right_hot=hot_keys(bills, pair, **limits))
+
+
+def financial_from_files(overview: DataFrame) -> DataFrame:
+    """``financial_analytics`` over ``overview_from_files``; groups with a NULL key are left out there."""
+    return financial_analytics(overview.dropna(subset=["encounter_date", "treatment", "insurance", "payment_status"]))
+
+
+def provider_from_files(overview: DataFrame) -> DataFrame:
+    """Volume, response and billing per provider over ``overview_from_files``, without NULL groups."""
+    keys = {
+        "provider_id": "provider_id",
+        "provider_name": "provider_name",
+        "provider_specialty": "specialty",
+        "provider_location": "location",
+    }
+    return (
+        overview.dropna(subset=list(keys))
+        .groupBy(*[F.col(c).alias(name) for c, name in keys.items()])
+        .agg(
+            F.count_distinct("encounter_id").alias("encounter_count"),
+            F.count_distinct("patient_id").alias("patient_count"),
+            F.avg("treatment_response_score").alias("avg_treatment_response_score"),
+            F.sum("billing_amount").alias("total_billing_amount"),
+            F.avg("billing_amount").alias("avg_billing_amount"),
+        )
+    )

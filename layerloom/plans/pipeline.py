@@ -15,7 +15,7 @@ from layerloom.operators import quality, star
 from layerloom.operators.dedupe import drop_exact_duplicates, latest_per_key
 from layerloom.operators.masking import DEFAULT_ROLE, as_role
 from layerloom.operators.scd2 import batch_time, current_versions, scd2_merge
-from layerloom.operators.staging import clear_staged
+from layerloom.operators.staging import staging_scope
 from layerloom.plans import marts
 from layerloom.sources import layers as store
 from layerloom.sources.delimited import MALFORMED, WELL_FORMED, read_by_header, with_lineage, write_csv
@@ -300,10 +300,10 @@ def run_pipeline(
 ) -> dict[str, DataFrame]:
     """Run every step in order and return the gold tables."""
     run = Run(spark, Layers(root), batch or Batch.at())
-    gold = to_gold(run, to_silver(run, to_bronze(run, read)), cardinality)
-    if export_csv:
-        export(run, gold, role)
-    clear_staged(spark)
+    with staging_scope(spark):
+        gold = to_gold(run, to_silver(run, to_bronze(run, read)), cardinality)
+        if export_csv:
+            export(run, gold, role)
     return gold
 
 
@@ -321,9 +321,8 @@ def run_step(spark: SparkSession, root: str, step: str, batch: Batch | None = No
         return to_bronze(run)
     if step == "silver":
         return to_silver(run, run.load("bronze"))
-    gold = to_gold(run, run.load("silver"), cardinality)
-    clear_staged(spark)
-    return gold
+    with staging_scope(spark):
+        return to_gold(run, run.load("silver"), cardinality)
 
 
 def main() -> None:

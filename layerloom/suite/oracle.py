@@ -175,6 +175,16 @@ FINANCIAL = f"""
         FROM {{fact}} GROUP BY 1, 2, 3, 4"""
 
 CTES |= {
+    "from_files": """
+       SELECT e.*, b.billing_amount, b.insurance, b.payment_status, c.cancer_type, c.stage, p.patient_name,
+              p.gender, p.age, p.smoking_status, o.provider_id, d.provider_name,
+              d.specialty AS provider_specialty, d.location AS provider_location
+       FROM encounters e
+       LEFT JOIN rotated o ON e.encounter_id = o.encounter_id
+       LEFT JOIN providers d ON o.provider_sk = d.provider_sk
+       LEFT JOIN billing b ON e.encounter_id = b.encounter_id AND b.line % 3 <> 0
+       LEFT JOIN catalog c ON e.patient_id = c.patient_id
+       LEFT JOIN patients p ON e.patient_id = p.patient_id""",
     "overview_one": OVERVIEW.format(fact="fact_one"),
     "overview_all": OVERVIEW.format(fact="fact_all"),
     "performance_one": PERFORMANCE.format(fact="fact_one"),
@@ -345,18 +355,21 @@ ORACLES = {
     "financial_analytics_all": FINANCIAL.format(fact="fact_all"),
     "provider_performance": SHOW_PERFORMANCE.format("performance_one"),
     "provider_performance_all": SHOW_PERFORMANCE.format("performance_all"),
-    "overview_two_key_join": SHOW_OVERVIEW.format(
-        """(
-       SELECT e.*, b.billing_amount, b.insurance, b.payment_status, c.cancer_type, c.stage, p.patient_name,
-              p.gender, p.age, p.smoking_status, o.provider_id, d.provider_name,
-              d.specialty AS provider_specialty, d.location AS provider_location
-       FROM encounters e
-       LEFT JOIN rotated o ON e.encounter_id = o.encounter_id
-       LEFT JOIN providers d ON o.provider_sk = d.provider_sk
-       LEFT JOIN billing b ON e.encounter_id = b.encounter_id AND b.line % 3 <> 0
-       LEFT JOIN catalog c ON e.patient_id = c.patient_id
-       LEFT JOIN patients p ON e.patient_id = p.patient_id)"""
+    "overview_two_key_join": SHOW_OVERVIEW.format("from_files"),
+    "financial_from_files": FINANCIAL.format(
+        fact="""from_files WHERE encounter_date IS NOT NULL AND treatment IS NOT NULL AND insurance IS NOT NULL
+            AND payment_status IS NOT NULL"""
     ),
+    "provider_from_files": SHOW_PERFORMANCE.format(f"""(
+        SELECT provider_id, provider_name, provider_specialty AS specialty, provider_location AS location,
+               count(DISTINCT encounter_id) AS encounter_count, count(DISTINCT patient_id) AS patient_count,
+               {average("treatment_response_score")} AS score_millionths,
+               sum(billing_amount) AS total_billing_amount,
+               {average("billing_amount")} AS billing_millionths
+        FROM from_files
+        WHERE provider_id IS NOT NULL AND provider_name IS NOT NULL AND provider_specialty IS NOT NULL
+          AND provider_location IS NOT NULL
+        GROUP BY 1, 2, 3, 4)"""),
     "monthly_encounters": """SELECT CAST(CAST(date_trunc('month', encounter_date) AS DATE) AS VARCHAR) AS month_start,
        count(DISTINCT encounter_id) AS encounter_count FROM overview_one GROUP BY 1""",
     "stage_revenue": """SELECT stage, CAST(sum(billing_amount) AS DOUBLE) AS total_revenue

@@ -392,9 +392,7 @@ def provider_performance_all(spark, d):
     return r.performance(spark, d, "all")
 
 
-@query
-def overview_two_key_join(spark, d):
-    """The overview without star tables; every third line's bill names another patient."""
+def _from_files(spark, d):
     owners = r.table(spark, d, "orders").select(F.col("o_orderkey").alias("encounter_id"), "o_custkey")
     line = F.col("billing_id") % 10
     bills = (
@@ -404,14 +402,26 @@ def overview_two_key_join(spark, d):
         .drop("o_custkey")
     )
     return marts.overview_from_files(
-        r.patients(spark, d),
-        r.encounters(spark, d),
-        bills,
-        r.catalog(spark, d),
-        r.provider_dimension(spark, d),
+        r.patients(spark, d), r.encounters(spark, d), bills, r.catalog(spark, d), r.provider_dimension(spark, d)
     )
 
 
+@query
+def overview_two_key_join(spark, d):
+    """The overview without star tables; every third line's bill names another patient."""
+    return _from_files(spark, d)
+
+
+@query
+def financial_from_files(spark, d):
+    return marts.financial_from_files(_from_files(spark, d))
+
+
+@query
+def provider_from_files(spark, d):
+    return marts.provider_from_files(_from_files(spark, d))
+
+
 # --- metrics -----------------------------------------------------------------------------
 
 

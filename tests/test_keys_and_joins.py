@@ -54,6 +54,16 @@ def test_staged_files_go_to_the_named_folder_and_are_cleared(spark):
     assert not list(folder.glob("probe-*"))
 
 
+def test_a_scope_clears_its_own_files_also_after_a_failure(spark):
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    outside = staging.write_through(spark.range(3), "outside")
+    with pytest.raises(RuntimeError), staging.staging_scope(spark):
+        staging.write_through(spark.range(3), "inside")
+        raise RuntimeError
+    assert not list(folder.glob("inside-*")) and outside.count() == 3
+    staging.clear_staged(spark)
+
+
 def test_a_cluster_must_name_its_shared_folder():
     class Session:
         class conf:
