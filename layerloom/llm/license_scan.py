@@ -9,7 +9,9 @@ templates whose bounds admit its size, as an equality join on the size.
 
 A unit's bigrams are among its document's, so a document that shares fewer than
 ``|B| * t / (2 - t)`` bigrams with every template holds no match; its lines are
-not looked at. That test is exact, as are all scores. Bigrams are compared by
+not looked at. So many bigrams can only be shared by a text with one of the
+``telling_words``, which is looked for first. Both tests are exact, as are all
+scores. Bigrams are compared by
 64-bit hash. NULL and empty texts match nothing; rows that share a key are
 reported together.
 """
@@ -17,7 +19,9 @@ reported together.
 from __future__ import annotations
 
 import math
+import re
 from functools import reduce
+from itertools import pairwise
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,6 +87,39 @@ def bigrams(words: Column) -> Column:
     return pairs
 
 
+def _needed(n_grams: int, threshold: float) -> int:
+    """Shared bigrams without which a template of ``n_grams`` can't reach the threshold."""
+    return math.ceil(round(n_grams * threshold / (2 - threshold), 9))
+
+
+def telling_words(templates: tuple[tuple[str, str], ...], threshold: float) -> list[str]:
+    """Words of which every text that reaches the threshold has at least one.
+
+    For each template they touch so many of its bigrams that too few are left
+    without them. Long words that serve many templates are taken first.
+    """
+    grams = []
+    for _, text in templates:
+        words = re.sub("[^a-z0-9]+", " ", "".join(c.lower() if c.isascii() else c for c in text)).split()
+        grams.append(set(pairwise(words)))
+    spare = [len(g) - _needed(len(g), threshold) + 1 for g in grams]
+    chosen: list[str] = []
+    while True:
+        gain: dict[str, int] = {}
+        for left, over in zip(grams, spare, strict=True):
+            if left and over > 0:
+                for word in {w for pair in left for w in pair}:
+                    gain[word] = gain.get(word, 0) + min(over, sum(word in pair for pair in left))
+        if not gain:
+            return sorted(chosen)
+        best = max(gain, key=lambda w: (min(len(w), 5), gain[w], len(w), w))
+        chosen.append(best)
+        for i, left in enumerate(grams):
+            rest = {pair for pair in left if best not in pair}
+            spare[i] -= len(left) - len(rest)
+            grams[i] = rest
+
+
 def template_table(spark: SparkSession, templates: tuple[tuple[str, str], ...], threshold: float) -> DataFrame:
     """One row per template and admissible unit size: ``template``, ``licence``, ``grams``, ``size``."""
     raw = spark.createDataFrame(
@@ -109,11 +146,16 @@ def licence_scan(
 
     words = F.split(normalised(text_or_empty(text)), " ")
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    telling = telling_words(templates, threshold)
+    # as a lambda over one element the text is lowered once, not once per word
+    rows = rows.where(
+        F.exists(F.array(F.lower("text")), lambda t: reduce(lambda a, b: a | b, [t.contains(w) for w in telling]))
+    )
     shared = F.array_intersect(bigrams(words), F.array(*[F.lit(g) for g in union]))
     rows = rows.withColumn("shared", shared).where(F.size("shared") > 0)
     reachable = [
         F.size(F.array_intersect("shared", F.array(*[F.lit(g) for g in row["grams"]])))
-        >= math.ceil(round(len(row["grams"]) * threshold / (2 - threshold), 9))
+        >= _needed(len(row["grams"]), threshold)
         for row in known
     ]
     rows = rows.where(reduce(lambda a, b: a | b, reachable))
