@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from layerloom.llm.common import cut, text_or_empty
 from layerloom.llm.components import connected_components
+from layerloom.llm.jaccard import near_copies
 
 SHINGLE_WORDS = 3
 RADIUS = 3
@@ -217,15 +218,16 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
 
 
 def drop_near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each component: that of the least key (NULL last), then of the least text hash."""
+    """One row of each group of near copies by ``jaccard``: that of the least key (NULL last), then text hash."""
     rows = docs.select(
         F.struct("*").alias("row"), F.col(key).alias("key"), F.md5(text_or_empty(text)).alias("digest")
     )
     plain = docs.select(F.col(key).alias("key"), F.md5(text_or_empty(text)).alias("digest"), F.col(text).alias("text"))
     rank = F.struct(F.col("key").isNull().alias("unkeyed"), F.col("key").alias("key"), F.col("digest").alias("digest"))
-    found = cut(fingerprints(plain, keys=["key", "digest"]).withColumn("rank", rank))
+    found = cut(near_copies(plain).withColumn("rank", rank))
+    named = found.groupBy("root").agg(F.min("rank").alias("component"))
     kept = (
-        found.join(label(found, "rank"), "fingerprint")
+        found.join(named, "root")
         .where("rank = component")
         .groupBy("key", "digest")
         .agg(F.count("*").alias("copies"))
