@@ -75,16 +75,26 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     return joined_hashes(data, GRAM.bit_length() - 1)
 
 
-def anchors(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For chunks of ``texts``: index of each anchor's text, its place in that text, its hash."""
+def anchors(texts: list[bytes], chunk: int | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For chunks of ``texts``: index of each anchor's text, its place in that text, its hash; each anchor once."""
+    last = (-1, -1)
+    for index, place, gram in _all_anchors(texts, chunk or CHUNK):
+        # places never fall within a text, so only the last one can be an anchor of the next chunk too
+        new = (index != last[0]) | (place > last[1])
+        if len(index):
+            last = int(index[-1]), int(place[-1])
+        yield index[new], place[new], gram[new]
+
+
+def _all_anchors(texts: list[bytes], chunk: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     held: list[tuple[int, int, bytes]] = []
     size = 0
     for i, text in enumerate(texts):
-        for at in range(0, max(0, len(text) - LENGTH + 1), CHUNK):
-            piece = text[at : at + CHUNK + LENGTH - 1]
+        for at in range(0, max(0, len(text) - LENGTH + 1), chunk):
+            piece = text[at : at + chunk + LENGTH - 1]
             held.append((i, at, piece))
             size += len(piece)
-            if size >= CHUNK:
+            if size >= chunk:
                 yield _chunk_anchors(held)
                 held, size = [], 0
     if held:
@@ -118,12 +128,12 @@ def context_bounds(place, size):
     return np.maximum(place - BEFORE, 0), np.minimum(place + LENGTH, size)
 
 
-def _anchor_rows(with_context: bool):
+def _anchor_rows(with_context: bool, chunk: int):
     def rows(batches):
         for batch in batches:
             texts = batch.column("data").to_pylist()
             sizes = np.array([len(t) for t in texts], np.int64)
-            for index, place, gram in anchors(texts):
+            for index, place, gram in anchors(texts, chunk):
                 columns = [pa.array(gram)]
                 names = ["gram"]
                 if with_context:
@@ -391,26 +401,27 @@ def _packed_documents(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def repeated_spans(
-    docs: DataFrame, *, key: str = "doc_id", text: str = "text", bucket: int = BUCKET
+    docs: DataFrame, *, key: str = "doc_id", text: str = "text", bucket: int = BUCKET, chunk: int | None = None
 ) -> DataFrame:
     """``key``, ``digest`` and byte spans [low, high) whose union is what repeats.
 
     Spans may overlap and may reach beyond the end of their text.
     """
+    chunk = chunk or CHUNK  # read here, as tasks import the module afresh
     rows = _documents(docs, key, text)
     kind = rows.schema["key"].dataType.simpleString()
     known = f"key {kind}, digest bigint"
 
     frequent = (
         rows.select("data")
-        .mapInArrow(_anchor_rows(False), "gram bigint")
+        .mapInArrow(_anchor_rows(False, chunk), "gram bigint")
         .groupBy("gram")
         .agg(F.count("*").alias("n"))
         .where("n > 1")
         .select("gram")
     )
     kept = rows.mapInArrow(
-        _anchor_rows(True), f"gram bigint, context bigint, {known}, place int"
+        _anchor_rows(True, chunk), f"gram bigint, context bigint, {known}, place int"
     ).join(frequent, "gram")
     kept = stored(kept, "anchors")
     contexts = cut(
@@ -502,10 +513,12 @@ def _kept(batches):
         )
 
 
-def without_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", bucket: int = BUCKET) -> DataFrame:
+def without_repeats(
+    docs: DataFrame, *, key: str = "doc_id", text: str = "text", bucket: int = BUCKET, chunk: int | None = None
+) -> DataFrame:
     """``key``, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept_sha256`` of every row."""
     spans = (
-        repeated_spans(docs, key=key, text=text, bucket=bucket)
+        repeated_spans(docs, key=key, text=text, bucket=bucket, chunk=chunk)
         .groupBy("key", "digest")
         .agg(F.collect_list("low").alias("lows"), F.collect_list("high").alias("highs"))
         .select(F.col("key").alias("span_key"), F.col("digest").alias("span_digest"), "lows", "highs")

@@ -70,6 +70,20 @@ def test_texts_over_a_chunk(make_docs, monkeypatch):
     assert result(make_docs(pairs)) == expected(pairs)
 
 
+def test_unique_text_over_two_chunks_stays_whole(make_docs):
+    rng = np.random.default_rng(3)
+    long = noise(rng, (2 << 20) + 5000)
+    assert result(make_docs([(1, long)])) == [("1", len(long), 0, 0, hashlib.sha256(long.encode()).hexdigest())]
+
+
+def test_chunk_reaches_the_tasks(make_docs):
+    rng = np.random.default_rng(4)
+    long = noise(rng, 9000)
+    pairs = [(1, long), (2, noise(rng, 500) + long[4000:4900] + noise(rng, 2000)), (3, noise(rng, 6000))]
+    for bucket in (repeats.BUCKET, 1):
+        assert result(make_docs(pairs), chunk=700, bucket=bucket) == expected(pairs)
+
+
 def test_empty_table(make_docs):
     assert result(make_docs([(1, "x")]).limit(0)) == []
 
