@@ -513,16 +513,25 @@ def _kept(batches):
         )
 
 
+def _by_document(spans: DataFrame) -> DataFrame:
+    """The distinct spans of each document; equal rows of it add nothing, in a task or across them."""
+    return (
+        spans.groupBy("key", "digest")
+        .agg(F.collect_set(F.struct("low", "high")).alias("spans"))
+        .select(
+            F.col("key").alias("span_key"),
+            F.col("digest").alias("span_digest"),
+            F.col("spans.low").alias("lows"),
+            F.col("spans.high").alias("highs"),
+        )
+    )
+
+
 def without_repeats(
     docs: DataFrame, *, key: str = "doc_id", text: str = "text", bucket: int = BUCKET, chunk: int | None = None
 ) -> DataFrame:
     """``key``, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept_sha256`` of every row."""
-    spans = (
-        repeated_spans(docs, key=key, text=text, bucket=bucket, chunk=chunk)
-        .groupBy("key", "digest")
-        .agg(F.collect_list("low").alias("lows"), F.collect_list("high").alias("highs"))
-        .select(F.col("key").alias("span_key"), F.col("digest").alias("span_digest"), "lows", "highs")
-    )
+    spans = _by_document(repeated_spans(docs, key=key, text=text, bucket=bucket, chunk=chunk))
     rows = _packed_documents(docs, key, text)
     same = (F.col("digest") == F.col("span_digest")) & F.col("key").eqNullSafe(F.col("span_key"))
     kind = rows.schema["key"].dataType.simpleString()

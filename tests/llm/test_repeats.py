@@ -84,6 +84,18 @@ def test_chunk_reaches_the_tasks(make_docs):
         assert result(make_docs(pairs), chunk=700, bucket=bucket) == expected(pairs)
 
 
+def test_equal_rows_give_their_spans_once(make_docs):
+    rng = np.random.default_rng(6)
+    text = noise(rng, 900)
+    pairs = [(1, text)] * 300 + [(2, noise(rng, 400))]
+    spans = repeats.repeated_spans(make_docs(pairs))
+    once = spans.distinct().count()
+    assert spans.count() == 300 * once
+    (row,) = repeats._by_document(spans).collect()
+    assert len(row["lows"]) == len(row["highs"]) == once
+    assert result(make_docs(pairs)) == expected(pairs)
+
+
 def test_empty_table(make_docs):
     assert result(make_docs([(1, "x")]).limit(0)) == []
 
