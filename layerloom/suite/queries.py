@@ -318,7 +318,7 @@ def scd2_new_versions(spark, d):
 def provider_assignment(spark, d):
     doctors = r.provider_dimension(spark, d)
     ids = r.encounters(spark, d).select("encounter_id")
-    return star.assign_providers(ids, doctors, rows)
+    return star.assign_providers(ids, doctors)
 
 
 @query
