@@ -23,7 +23,7 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group whose SimHash fingerprints link, by the operator's shingles and radius."""
     return simhash.drop_near_duplicates(docs)
 
 
