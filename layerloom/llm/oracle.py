@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from layerloom.llm import license_scan, mixing, sharding
+from layerloom.llm import license_scan, mixing, prefix_trie, sharding
 from layerloom.llm.common import HASH_BITS, SQL_CONTENT_MD5
 
 
@@ -87,4 +87,48 @@ SELECT doc_id, source, copy, ('0x' || substr(md5('17:order:' || id || ':' || cop
 FROM copies, unnest(range(1, copies + 1)) AS t(copy)
 """
 
-ORACLES: dict[str, str] = {"op1_license_scan": OP1, "op2_topk": OP2, "op9_sharding": OP9, "op10_mixing": OP10}
+_STEP = "sha256(length(role)::VARCHAR || ':' || role || text)"
+
+#: CRC-32 of a string of digits and signs, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split({0}, ''), lambda s: ascii(s)::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+      lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
+
+OP11 = f"""
+WITH given AS (
+  SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT c, {_STEP} AS step, length(text) AS size,
+    row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, {_STEP}) AS place FROM given),
+ids AS (SELECT c, {_CRC32.format('c::VARCHAR')} % {prefix_trie.BORROWED} AS h FROM (SELECT DISTINCT c FROM given)),
+turns AS (
+  SELECT i.c, place, step, size FROM ids i JOIN own o ON o.c = i.c - i.c % {prefix_trie.FAMILY} AND place <= h
+  UNION ALL
+  SELECT c, place + {prefix_trie.BORROWED}, step, size FROM own JOIN ids USING (c) WHERE place > h),
+steps AS (
+  SELECT c, row_number() OVER w AS depth, string_agg(step, '') OVER w AS node, size,
+    count(*) OVER (PARTITION BY c) AS n_turns
+  FROM turns WINDOW w AS (PARTITION BY c ORDER BY place)),
+members AS (
+  SELECT c, depth, node, size, depth = n_turns AS ends FROM steps
+  UNION ALL
+  SELECT c, 0, '', 0, c NOT IN (SELECT c FROM steps) FROM ids),
+nodes AS (
+  SELECT node, depth, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(size) AS saved,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM members GROUP BY node, depth),
+children AS (
+  SELECT left(node, 64 * (depth - 1)) AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+subtrees AS (
+  SELECT left(n.node, 64 * k) AS node, sum(n.saved)::BIGINT AS saved_tokens,
+    count(*) FILTER (WHERE n.node NOT IN (SELECT node FROM children)) AS n_leaves
+  FROM nodes n, range(0, n.depth + 1) AS t(k) GROUP BY ALL)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+  saved_tokens, n.ends_sha256
+FROM nodes n JOIN subtrees USING (node) LEFT JOIN children USING (node)
+LEFT JOIN nodes p ON n.depth > 0 AND p.node = left(n.node, 64 * (n.depth - 1))
+"""
+
+ORACLES: dict[str, str] = {"op1_license_scan": OP1, "op2_topk": OP2, "op9_sharding": OP9, "op10_mixing": OP10, "op11_prefix_trie": OP11}

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerloom.llm import decontaminate, license_scan, mixing, pii, quality, repeats, sharding, simhash, token_counts, topk
+from layerloom.llm import (
+    alignment,
+    decontaminate,
+    license_scan,
+    mixing,
+    packing,
+    pii,
+    prefix_trie,
+    quality,
+    repeats,
+    sharding,
+    simhash,
+    token_counts,
+    topk,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,6 +102,22 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct beginning of ``conversations``, each begun as the first of its hundred ids is."""
+    turns = prefix_trie.numbered_turns(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(*prefix_trie.rebuilt(turns), slack=prefix_trie.BORROWED)
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sequence and offset of every piece of ``documents``."""
+    return packing.pack(table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The links between two tokenizers' tokens of every document, with their counts over all documents."""
+    return alignment.align(table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_license_scan,
@@ -100,5 +130,8 @@ QUERIES: dict[str, Query] = {
         op8_decontamination,
         op9_sharding,
         op10_mixing,
+        op11_prefix_trie,
+        op12_packing,
+        op13_alignment,
     )
 }
