@@ -28,7 +28,9 @@ become their ids, as the tokenizer does by itself.
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from collections import Counter
 
 import numpy as np
@@ -38,19 +40,24 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from layerloom.llm.common import cut, text_or_empty
+from layerloom.llm.vocabularies import Memo, Spelling, plain_letters
 
 DEFAULT_TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
 CAPACITY = 2048
 END_ID = 0
 #: Words remembered per task, the longest that is, and texts tokenised at once; all bound memory only.
-MEMO_WORDS, MEMO_LENGTH, TEXTS = 300_000, 64, 128
+MEMO_WORDS, MEMO_LENGTH, TEXTS = 250_000, 64, 128
 
+_BLANK = re.compile(r"[ \t-\r]+")
 
-class Words(dict):
-    """Ids, as little-endian 32-bit numbers, of words between ASCII white space.
 
-    The vocabulary's pre-tokenizer drops white space and never joins across it, so
-    a text's ids are those of its words in order.
+class Words:
+    """Ids, as little-endian 32-bit numbers, of texts.
+
+    The tokenizer normalises, lower-cases, drops white space and splits runs of
+    letters, digits and other signs before it merges. Texts of ASCII and plain Latin
+    letters are split here by the same rules, so that "Word," and "word." share what
+    a task remembers; words with any other character go to the tokenizer whole.
     """
 
     def __init__(self, definition: str):
@@ -58,22 +65,43 @@ class Words(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
+        self.model, self.spelling, self.memo = self.tokenizer.model, Spelling(), Memo(MEMO_WORDS)
+        letters = plain_letters(self.tokenizer)
+        low = "".join(sorted(set(letters.lower())))
+        self.foreign = re.compile(rf"[^ \t-\r!-~{letters}]|<\|")  # special tokens begin with the latter
+        self.split = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{low}]+|[0-9]|[^ \t-\r0-9{low}]+").findall
+
+    def _parts(self, text: str, whole: set[str]) -> list[str]:
+        """What the text's ids are made of; words for the tokenizer are put into ``whole`` too."""
+        if not self.foreign.search(text):
+            return self.split(text.lower())
+        parts = []
+        for word in _BLANK.split(text):
+            if self.foreign.search(word):
+                whole.add(word)
+                parts.append(word)
+            else:
+                parts += self.split(word.lower())
+        return parts
 
     def ids(self, texts: list[str]):
         """The ids of each text, as bytes."""
-        split = [t.encode().split() for t in texts]
-        new = list({w for words in split for w in words if w not in self})
-        fresh = {}
-        for word, found in zip(new, self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)):
-            fresh[word] = np.array(found.ids, "<u4").tobytes()
-        self.update(fresh)
-        for words in split:
-            yield b"".join(map(self.__getitem__, words))
-        for word in fresh:
+        whole: set[str] = set()
+        split = [self._parts(t, whole) for t in texts]
+        memo, spelling, tokenize = self.memo, self.spelling, self.model.tokenize
+        new = memo.unknown(set().union(*split))
+        asked = [w for w in new if w in whole]
+        for word, found in zip(asked, self.tokenizer.encode_batch_fast(asked, add_special_tokens=False)):
+            memo[word] = array("I", found.ids).tobytes()
+        for word in new:
+            if word not in whole:
+                memo[word] = array("I", [t.id for t in tokenize(word.translate(spelling))]).tobytes()
+        for parts in split:
+            yield b"".join(map(memo.__getitem__, parts))
+        for word in new:
             if len(word) > MEMO_LENGTH:
-                del self[word]
-        if len(self) > MEMO_WORDS:
-            self.clear()
+                memo.pop(word, None)
+        memo.tidy()
 
 
 def pieces(

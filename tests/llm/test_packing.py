@@ -71,6 +71,17 @@ def test_query(spark, sf_dir):
     assert used <= sum(n for n, _ in packing.best_fit(lengths, packing.CAPACITY))
 
 
+@settings(deadline=None, max_examples=300)
+@given(st.text(alphabet="aZéßİΣ 中\n\t'st1<|.▁😀́≠\x1c\x85", max_size=40))
+def test_words_join_to_the_tokenizer_s_ids(text):
+    words = _known.get("it") or _known.setdefault("it", packing.Words(open(packing.DEFAULT_TOKENIZER).read()))
+    (found,) = list(words.ids([text]))
+    assert np.frombuffer(found, "<u4").tolist() == ids_of(text)[:-1]
+
+
+_known: dict = {}
+
+
 def plain_best_fit(lengths, capacity):
     gaps = []
     for n in sorted(lengths, reverse=True):
