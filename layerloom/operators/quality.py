@@ -105,21 +105,24 @@ def newest_audit_first(audit: DataFrame) -> DataFrame:
 
 def dq_summary(df: DataFrame, *, amount: str, day: str, key: str) -> DataFrame:
     """Three checks as rows: missing amounts, missing dates, repeats of a key beyond its first."""
-    counted = df.agg(
-        F.count_if(F.col(amount).isNull()).alias("no_amount"),
-        F.count_if(F.col(day).isNull()).alias("no_day"),
-        # All NULL keys together count as one distinct key.
-        (
-            F.count(F.lit(1))
-            - F.count_distinct(key)
-            - F.coalesce(F.max(F.col(key).isNull().cast("bigint")), F.lit(0))
-        ).alias("repeats"),
+    return dq_rows(
+        df.agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(F.col(amount).isNull()).alias("no_amount"),
+            F.count_if(F.col(day).isNull()).alias("no_day"),
+            F.count_distinct(key).alias("keys"),
+            F.coalesce(F.max(F.col(key).isNull().cast("bigint")), F.lit(0)).alias("unkeyed"),
+        )
     )
+
+
+def dq_rows(counted: DataFrame) -> DataFrame:
+    """The three checks from one row of counts; all NULL keys together are one distinct key."""
     # The names of the checks.
     return counted.select(
         F.expr(
             "stack(3, 'Missing billing amount', no_amount, 'Missing encounter date', no_day, "
-            "'Duplicate encounter ids', repeats) AS (check_name, rows)"
+            "'Duplicate encounter ids', n - keys - unkeyed) AS (check_name, rows)"
         )
     )
 
@@ -133,22 +136,25 @@ def profile(df: DataFrame, *, approximate: bool = False) -> DataFrame:
     distinct = F.approx_count_distinct if approximate else F.count_distinct
     measures = [F.count(F.lit(1)).alias("n")]
     for i, c in enumerate(df.columns):
-        value = F.col(c)
+        value = df[f"`{c.replace('`', '``')}`"]
         measures += [
             F.count_if(value.isNull()).alias(f"nulls_{i}"),
             distinct(value).alias(f"distinct_{i}"),
             F.min(value).cast("string").alias(f"min_{i}"),
             F.max(value).cast("string").alias(f"max_{i}"),
         ]
-    rows = ", ".join(
-        f"'{c}', n, nulls_{i}, distinct_{i}, min_{i}, max_{i}" for i, c in enumerate(df.columns)
-    )
-    return df.agg(*measures).select(
-        F.expr(
-            f"stack({len(df.columns)}, {rows}) AS "
-            "(column_name, row_count, null_count, distinct_count, min_value, max_value)"
+    shown = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.col("n").alias("row_count"),
+            F.col(f"nulls_{i}").alias("null_count"),
+            F.col(f"distinct_{i}").alias("distinct_count"),
+            F.col(f"min_{i}").alias("min_value"),
+            F.col(f"max_{i}").alias("max_value"),
         )
-    )
+        for i, c in enumerate(df.columns)
+    ]
+    return df.agg(*measures).select(F.inline(F.array(*shown)))
 
 
 def preview(df: DataFrame, order: Sequence[str], n: int = 20) -> DataFrame:

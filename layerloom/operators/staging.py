@@ -27,6 +27,14 @@ _loose: list[str] = []
 _scope: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
 
+def staged_path(spark: SparkSession, label: str) -> str:
+    """A new folder name under the staging root, deleted like what ``write_through`` writes."""
+    path = f"{staging_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    held = _scope.get()
+    (_loose if held is None else held).append(path)
+    return path
+
+
 def write_through(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return the scan of what was written.
 
@@ -36,9 +44,7 @@ def write_through(df: DataFrame, label: str) -> DataFrame:
     as the caller's plan still reads them.
     """
     spark = df.sparkSession
-    path = f"{staging_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    held = _scope.get()
-    (_loose if held is None else held).append(path)
+    path = staged_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

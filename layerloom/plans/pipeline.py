@@ -8,21 +8,24 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from layerloom.functions.dates import month_label
 from layerloom.operators import quality, star
 from layerloom.operators.dedupe import drop_exact_duplicates, latest_per_key
 from layerloom.operators.masking import DEFAULT_ROLE, as_role
-from layerloom.operators.scd2 import batch_time, current_versions, scd2_merge
+from layerloom.operators.scd2 import batch_time, current_versions
 from layerloom.operators.staging import staging_scope
 from layerloom.plans import marts
 from layerloom.sources import layers as store
+from layerloom.sources.commits import Commit, CommitLog, TableEntry
 from layerloom.sources.delimited import MALFORMED, WELL_FORMED, read_by_header, with_lineage, write_csv
 from layerloom.sources.layers import Layers
 from layerloom.sources.specs import BRONZE_REASON, SILVER_REASON, SOURCES, SourceSpec, bronze_text, typed
+from layerloom.sources.versioned import VersionedDimension
 
 LINEAGE = ("pipeline_run_id", "ingested_at", "source_file_name")
+#: Commits of the gold tables that stay readable.
+KEPT_COMMITS = 30
 
 # Business keys, surrogate keys and tracked columns of the versioned dimensions.
 PATIENT_KEYS = ["patient_id"]
@@ -81,12 +84,6 @@ class Run:
     def write(self, zone: str, table: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
         return store.write_version(df, self.layers.table(zone, table), self.batch.run_id, partition_by)
 
-    def existing(self, table: str, schema: T.StructType) -> DataFrame:
-        """The dimension as earlier runs left it, so repeating a run starts from the same state."""
-        return store.read_current_or_empty(
-            self.spark, self.layers.table("gold", table), schema, before=self.batch.run_id
-        )
-
     def load(self, zone: str) -> dict[str, DataFrame]:
         """Valid rows of every entity as an earlier step left them; an error if one is absent."""
         stored = {
@@ -171,45 +168,72 @@ def to_silver(run: Run, bronze: Mapping[str, DataFrame]) -> dict[str, DataFrame]
     return silver
 
 
-def _versioned(run: Run, table: str, incoming: DataFrame, keys, tracked, sk: str) -> DataFrame:
-    schema = T.StructType(
-        [
-            *incoming.schema.fields,
-            T.StructField("record_hash", T.StringType()),
-            T.StructField(sk, T.LongType()),
-            T.StructField("valid_from", T.TimestampNTZType()),
-            T.StructField("valid_to", T.TimestampNTZType()),
-            T.StructField("is_current", T.BooleanType()),
-        ]
-    )
-    merged = scd2_merge(run.existing(table, schema), incoming, keys, tracked, sk, run.batch.ts)
-    return run.write("gold", table, merged)
+class GoldLoad:
+    """The gold tables of one attempt of a run: written to folders of their own, then committed as a set.
 
+    It starts from the last commit before the run's own, so repeating a run starts
+    from the same state, and writes over nothing that a commit names.
+    """
 
-def _write_by_month(run: Run, table: str, rows: DataFrame) -> DataFrame:
-    """Store by encounter month: small months share a task, a large one gets many files."""
-    labelled = rows.withColumn("encounter_month", month_label(F.col("encounter_date")))
-    return run.write("gold", table, labelled.hint("rebalance", "encounter_month"), ("encounter_month",))
+    def __init__(self, run: Run):
+        self.run, self.log = run, CommitLog(run.spark, run.layers.zone("gold"))
+        self.latest = max(self.log.sequences(), default=0)
+        self.base, own = self.log.before(run.batch.run_id)
+        self.load = f"{run.batch.run_id}-{own + 1}" if own else run.batch.run_id
+        self.entries: dict[str, TableEntry] = {}
+        self.tables: dict[str, DataFrame] = {}
+
+    def write(self, table: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
+        path = self.run.layers.table("gold", table)
+        written = store.write_version(df, path, self.load, partition_by)
+        self.entries[table] = TableEntry.of(written, f"{path}/version={self.load}")
+        self.tables[table] = written
+        return written
+
+    def write_by_month(self, table: str, rows: DataFrame) -> DataFrame:
+        """Store by encounter month: small months share a task, a large one gets many files."""
+        labelled = rows.withColumn("encounter_month", month_label(F.col("encounter_date")))
+        return self.write(table, labelled.hint("rebalance", "encounter_month"), ("encounter_month",))
+
+    def merge(self, table: str, incoming: DataFrame, keys, tracked, sk: str) -> DataFrame:
+        """Bring a versioned dimension up to date; its current versions."""
+        dimension = VersionedDimension(self.run.spark, self.run.layers.table("gold", table), keys, tracked, sk)
+        known = self.base.tables.get(table) if self.base else None
+        state = dimension.apply(known and known.facts["state"], incoming, self.load, self.run.batch.ts)
+        self.tables[table] = dimension.read(state)
+        self.entries[table] = TableEntry.of(self.tables[table], *dimension.paths(state), state=state)
+        return dimension.current(state)
+
+    def commit(self) -> Commit:
+        made = self.log.put(self.run.batch.run_id, self.entries, after=self.latest)
+        self.log.expire(KEPT_COMMITS)
+        return made
+
+
+def read_gold(spark: SparkSession, root: str, sequence: int | None = None) -> dict[str, DataFrame]:
+    """The gold tables of one commit, by default the latest, whatever is being loaded meanwhile."""
+    found = CommitLog(spark, Layers(root).zone("gold")).read(sequence)
+    if found is None:
+        raise FileNotFoundError(f"nothing is committed under {Layers(root).zone('gold')}")
+    return found.read(spark)
 
 
 def to_gold(run: Run, silver: Mapping[str, DataFrame], cardinality: str = "one") -> dict[str, DataFrame]:
-    """Dimensions, fact, bridge and marts. Each table is stored before the next reads it."""
+    """Dimensions, fact, bridge and marts. Each table is stored before the next reads it; readers see them all at once."""
     business = {name: df.drop(*LINEAGE, "reject_reasons") for name, df in silver.items()}
     latest = {
         name: latest_per_key(silver[name], SOURCES[name].keys, ["ingested_at"]).drop(*LINEAGE)
         for name in ("patients", "cancer_catalog")
     }
-    gold = {}
-    gold["dim_patients"] = _versioned(
-        run,
+    gold = GoldLoad(run)
+    patients = gold.merge(
         "dim_patients",
         latest["patients"].withColumnRenamed("name", "patient_name"),
         PATIENT_KEYS,
         PATIENT_TRACKED,
         PATIENT_SK,
     )
-    gold["dim_cancer_catalog"] = _versioned(
-        run,
+    catalog = gold.merge(
         "dim_cancer_catalog",
         latest["cancer_catalog"],
         CATALOG_KEYS,
@@ -220,16 +244,9 @@ def to_gold(run: Run, silver: Mapping[str, DataFrame], cardinality: str = "one")
     doctors = silver["providers"].withColumnsRenamed(
         {"name": "provider_name", "years_of_experience": "experience_years"}
     )
-    gold["dim_providers"] = run.write(
-        "gold",
-        "dim_providers",
-        star.dim_providers(doctors, ["ingested_at"]).select("*", loaded_at),
-    )
-    gold["dim_date"] = run.write("gold", "dim_date", star.dim_date(business["encounters"]).select("*", loaded_at))
+    providers = gold.write("dim_providers", star.dim_providers(doctors, ["ingested_at"]).select("*", loaded_at))
+    gold.write("dim_date", star.dim_date(business["encounters"]).select("*", loaded_at))
 
-    patients = current_versions(gold["dim_patients"])
-    catalog = current_versions(gold["dim_cancer_catalog"])
-    providers = gold["dim_providers"]
     fact = star.fact_encounters(
         business["encounters"],
         patients,
@@ -238,26 +255,21 @@ def to_gold(run: Run, silver: Mapping[str, DataFrame], cardinality: str = "one")
         providers,
         cardinality=cardinality,
     ).select("*", F.lit(run.batch.run_id).alias("pipeline_run_id"), loaded_at)
-    gold["fact_encounters"] = _write_by_month(run, "fact_encounters", fact)
-    stored = gold["fact_encounters"].drop("encounter_month")
-    gold["bridge_encounter_provider"] = run.write(
-        "gold", "bridge_encounter_provider", star.bridge_encounter_provider(stored).select("*", loaded_at)
-    )
-    gold["encounter_overview"] = _write_by_month(
-        run,
+    stored = gold.write_by_month("fact_encounters", fact).drop("encounter_month")
+    gold.write("bridge_encounter_provider", star.bridge_encounter_provider(stored).select("*", loaded_at))
+    gold.write_by_month(
         "encounter_overview",
         marts.encounter_overview(
             stored.drop("pipeline_run_id", "loaded_at"), patients, catalog, providers, busy=marts.busy_keys(stored)
         ),
     )
-    gold["financial_analytics"] = run.write("gold", "financial_analytics", marts.financial_analytics(stored))
-    gold["provider_performance"] = run.write(
-        "gold", "provider_performance", marts.provider_performance(stored, providers)
-    )
-    for table, df in gold.items():
+    gold.write("financial_analytics", marts.financial_analytics(stored))
+    gold.write("provider_performance", marts.provider_performance(stored, providers))
+    for table, df in gold.tables.items():
         run.record("silver_to_gold", table, row_count=df.count())
     run.flush_audit("silver_to_gold")
-    return gold
+    gold.commit()
+    return gold.tables
 
 
 def export(run: Run, gold: Mapping[str, DataFrame], role: str = DEFAULT_ROLE) -> dict[str, str]:

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from layerloom.functions.dates import PRESETS, clamp_window, month_label, preset_start
 from layerloom.operators.masking import prefix_mask
-from layerloom.operators.quality import dq_summary
+from layerloom.operators.quality import dq_rows
+from layerloom.operators.staging import write_through
 
 TOP_PROVIDERS = 15
 
@@ -158,25 +159,98 @@ def governance_slice(rows: DataFrame) -> DataFrame:
     )
 
 
+# The grouped reports and the column each is grouped by.
+GROUPED_REPORTS = {
+    "monthly_trend": "month",
+    "treatment_mix": "treatment",
+    "stage_distribution": "stage",
+    "revenue_by_payer": "insurance",
+    "payment_status_mix": "payment_status",
+}
+#: What the bundle calls the row over everything.
+OVERALL = "overall"
+
+
+def report_bundle(rows: DataFrame) -> DataFrame:
+    """Every measure overall and per value of each report's group, in one aggregation over grouping sets.
+
+    ``grouping_id`` says which set a row is of: a bit for each group that it isn't grouped by.
+    """
+    groups = list(GROUPED_REPORTS.values())
+    labelled = rows.withColumn("month", month_label(F.col("encounter_date")))
+    amount = F.col("billing_amount")
+    totals = labelled.groupingSets([[], *[[F.col(g)] for g in groups]], *groups).agg(
+        F.grouping_id().alias("_set"),
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_distinct("encounter_id").alias("encounter_count"),
+        F.count_distinct("patient_id").alias("patient_count"),
+        _revenue().alias("revenue"),
+        F.avg(amount).alias("avg_billing"),
+        F.avg(F.coalesce(amount, F.lit(0))).alias("avg_billing_zero_filled"),
+        F.avg("treatment_response_score").alias("avg_treatment_response_score"),
+        F.count_if(amount.isNull()).alias("missing_amounts"),
+        F.count_if(F.col("encounter_date").isNull()).alias("missing_dates"),
+        F.coalesce(F.max(F.col("encounter_id").isNull().cast("bigint")), F.lit(0)).alias("missing_ids"),
+    )
+    everything = 2 ** len(groups) - 1
+    name, value = F.when(F.col("_set") == everything, F.lit(OVERALL)), F.lit(None).cast("string")
+    for i, (report_name, group) in enumerate(GROUPED_REPORTS.items()):
+        own = F.col("_set") == everything - 2 ** (len(groups) - 1 - i)
+        name, value = name.when(own, F.lit(report_name)), F.when(own, F.col(group)).otherwise(value)
+    named = totals.select(name.alias("report"), value.alias("group_value"), *totals.columns[len(groups) + 1 :])
+    return named.where((F.col("report") == OVERALL) | F.col("group_value").isNotNull())
+
+
+def from_bundle(bundle: DataFrame) -> dict[str, DataFrame]:
+    """The single reports out of a stored bundle, which has a row per group value."""
+
+    def grouped(name: str, group: str, measure: str, shown: str) -> DataFrame:
+        return bundle.where(F.col("report") == name).select(F.col("group_value").alias(group), F.col(measure).alias(shown))
+
+    def largest_first(name: str, measure: str, shown: str) -> DataFrame:
+        group = GROUPED_REPORTS[name]
+        return grouped(name, group, measure, shown).orderBy(F.desc_nulls_last(shown), group)
+
+    overall = bundle.where(F.col("report") == OVERALL)
+    by_treatment = grouped("treatment_mix", "treatment", "avg_treatment_response_score", "treatment_response_score")
+    return {
+        "kpi_summary": overall.select(
+            F.col("encounter_count").alias("encounters"),
+            F.col("patient_count").alias("patients"),
+            "revenue",
+            "avg_billing",
+            "avg_billing_zero_filled",
+        ),
+        "monthly_trend": grouped("monthly_trend", "month", "encounter_count", "encounter_count").orderBy("month"),
+        "treatment_mix": largest_first("treatment_mix", "encounter_count", "encounter_count"),
+        "stage_distribution": largest_first("stage_distribution", "patient_count", "patient_count"),
+        "response_by_treatment": by_treatment.orderBy(F.desc_nulls_last("treatment_response_score"), "treatment"),
+        "revenue_by_payer": largest_first("revenue_by_payer", "revenue", "billing_amount"),
+        "payment_status_mix": largest_first("payment_status_mix", "revenue", "billing_amount"),
+        "dq_summary": dq_rows(
+            overall.select(
+                F.col("row_count").alias("n"),
+                F.col("missing_amounts").alias("no_amount"),
+                F.col("missing_dates").alias("no_day"),
+                F.col("encounter_count").alias("keys"),
+                F.col("missing_ids").alias("unkeyed"),
+            )
+        ),
+    }
+
+
 def report(
     overview: DataFrame, performance: DataFrame, wanted: ReportFilter = ReportFilter(), dates: DataFrame | None = None
 ) -> dict[str, DataFrame]:
     """Every report over one filter.
 
-    Give it written marts: each report then scans its own two or three columns
-    with the filter pushed down, which reads less than caching whole rows.
+    The aggregates come from one stored bundle, so the overview is read once for
+    all of them; only the slice of rows reads it again.
     """
     rows = filter_overview(overview, wanted, dates)
     return {
-        "kpi_summary": kpi_summary(rows),
-        "monthly_trend": monthly_trend(rows),
-        "treatment_mix": treatment_mix(rows),
-        "stage_distribution": stage_distribution(rows),
-        "response_by_treatment": response_by_treatment(rows),
-        "revenue_by_payer": revenue_by_payer(rows),
-        "payment_status_mix": payment_status_mix(rows),
+        **from_bundle(write_through(report_bundle(rows), "report-bundle")),
         "top_providers_by_encounters": top_providers(performance, "encounter_count"),
         "top_providers_by_response": top_providers(performance, "avg_treatment_response_score"),
         "governance_slice": governance_slice(rows),
-        "dq_summary": dq_summary(rows, amount="billing_amount", day="encounter_date", key="encounter_id"),
     }

@@ -6,6 +6,7 @@ A load never overwrites what it may be reading: it writes
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -33,6 +34,11 @@ class Layers:
         return f"{self.zone('raw')}/{file_name}"
 
 
+def version_order(version: str) -> list[tuple[int, int, str]]:
+    """Sorts ids with their numbers as numbers: ``run-9`` before ``run-10``."""
+    return [(1, int(part), "") if part.isdigit() else (0, 0, part) for part in re.split(r"(\d+)", version) if part]
+
+
 def complete_versions(spark: SparkSession, table_path: str) -> list[str]:
     """Version ids whose write finished, oldest first; empty only if there are none."""
     jvm = spark.sparkContext._jvm
@@ -42,11 +48,17 @@ def complete_versions(spark: SparkSession, table_path: str) -> list[str]:
         return []
     marker = "_SUCCESS"
     children = [status.getPath() for status in fs.listStatus(folder) if status.isDirectory()]
-    return sorted(
+    names = [
         path.getName().removeprefix("version=")
         for path in children
         if path.getName().startswith("version=") and fs.exists(jvm.org.apache.hadoop.fs.Path(path, marker))
-    )
+    ]
+    return sorted(names, key=version_order)
+
+
+def _versions_before(spark: SparkSession, table_path: str, before: str | None) -> list[str]:
+    versions = complete_versions(spark, table_path)
+    return [v for v in versions if before is None or version_order(v) < version_order(before)]
 
 
 def write_version(
@@ -60,7 +72,7 @@ def write_version(
 
 def read_current(spark: SparkSession, table_path: str, before: str | None = None) -> DataFrame:
     """The latest complete load, or the latest before a given version."""
-    versions = [v for v in complete_versions(spark, table_path) if before is None or v < before]
+    versions = _versions_before(spark, table_path, before)
     if not versions:
         raise FileNotFoundError(f"no complete load under {table_path}")
     return spark.read.parquet(f"{table_path}/version={versions[-1]}")
@@ -70,7 +82,7 @@ def read_current_or_empty(
     spark: SparkSession, table_path: str, schema: T.StructType, before: str | None = None
 ) -> DataFrame:
     """As ``read_current``, but a table that was never loaded is empty."""
-    versions = [v for v in complete_versions(spark, table_path) if before is None or v < before]
+    versions = _versions_before(spark, table_path, before)
     if not versions:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(f"{table_path}/version={versions[-1]}")

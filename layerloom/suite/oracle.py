@@ -339,6 +339,12 @@ ORACLES = {
     "scd2_carry_forward": SHOW_DIM.format("carried"),
     "scd2_unchanged": SHOW_DIM.format("unchanged"),
     "scd2_new_versions": SHOW_DIM.format("new_versions"),
+    "scd2_delta_apply": SHOW_DIM.format("merged"),
+    "scd2_delta_closed": SHOW_DIM.format("expired"),
+    "manifest_read": """SELECT 1 AS sequence, 'run-9' AS run_id, 'patients' AS table_name, patient_id AS id FROM patients
+       UNION ALL SELECT 1, 'run-9', 'encounters', encounter_id FROM encounters WHERE outcome = 'F'
+       UNION ALL SELECT 2, 'run-10', 'patients', patient_id FROM patients_next
+       UNION ALL SELECT 2, 'run-10', 'encounters', encounter_id FROM encounters""",
     "provider_assignment": "SELECT * FROM assigned",
     "provider_round_robin": "SELECT * FROM rotated",
     "fact_date_key": """SELECT encounter_id, CAST(encounter_date AS VARCHAR) AS encounter_date,
@@ -423,8 +429,44 @@ ORACLES = {
     "dq_summary_filtered": SHOW_DQ.format("filtered"),
 }
 
+ORACLES |= {
+    "metric_provider_rollup_exact": ORACLES["metric_provider_exact"],
+    "kpi_from_rollup": ORACLES["kpi_summary_unfiltered"],
+    "monthly_from_rollup": """SELECT strftime(encounter_date, '%Y-%m') AS month,
+       count(DISTINCT encounter_id) AS encounter_count FROM overview_one WHERE encounter_date IS NOT NULL GROUP BY 1""",
+    "stage_patients_from_rollup": """SELECT stage, count(DISTINCT patient_id) AS patient_count FROM overview_one
+       WHERE encounter_date BETWEEN DATE '1996-01-01' AND DATE '1997-12-31' AND stage IS NOT NULL GROUP BY 1""",
+}
+
+
+def bundle_sql(rows: str) -> str:
+    """Each report's measures by itself."""
+    measures = f"""count(*) AS row_count, count(DISTINCT encounter_id) AS encounter_count,
+       count(DISTINCT patient_id) AS patient_count, {REVENUE} AS revenue,
+       {as_mean(average("billing_amount"))} AS avg_billing,
+       {as_mean(average("billing_amount", "count(*)"))} AS avg_billing_zero_filled,
+       {as_mean(average("treatment_response_score"))} AS avg_treatment_response_score,
+       count(*) FILTER (billing_amount IS NULL) AS missing_amounts,
+       count(*) FILTER (encounter_date IS NULL) AS missing_dates,
+       coalesce(max(CAST(encounter_id IS NULL AS BIGINT)), 0) AS missing_ids"""
+    groups = {
+        "monthly_trend": "strftime(encounter_date, '%Y-%m')",
+        "treatment_mix": "treatment",
+        "stage_distribution": "stage",
+        "revenue_by_payer": "insurance",
+        "payment_status_mix": "payment_status",
+    }
+    parts = [f"SELECT 'overall' AS report, CAST(NULL AS VARCHAR) AS group_value, {measures} FROM {rows}"]
+    parts += [
+        f"SELECT '{name}', {group} AS g, {measures} FROM {rows} WHERE {group} IS NOT NULL GROUP BY g"
+        for name, group in groups.items()
+    ]
+    return "\nUNION ALL ".join(parts)
+
+
 for rows, suffix in (("overview_one", ""), ("filtered", "_filtered")):
     ORACLES |= {
+        f"report_bundle{suffix}": bundle_sql(rows),
         f"monthly_trend{suffix}": f"""SELECT strftime(encounter_date, '%Y-%m') AS month,
        count(DISTINCT encounter_id) AS encounter_count FROM {rows} WHERE encounter_date IS NOT NULL GROUP BY 1""",
         f"treatment_mix{suffix}": group_sql("treatment", "count(DISTINCT encounter_id)", "encounter_count", rows),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -16,10 +15,13 @@ from layerloom.operators import quality, scd2, star
 from layerloom.operators.dedupe import drop_exact_duplicates, first_per_key, latest_per_key
 from layerloom.operators.keys import dense_key
 from layerloom.operators.masking import MaskPolicy, PATIENT_POLICIES, apply_masks, as_role, pattern_mask, redact
-from layerloom.operators.staging import staging_root
-from layerloom.plans import marts, metrics, reports
+from layerloom.operators.staging import staged_path
+from layerloom.plans import factorised, marts, metrics, reports, rollup
+from layerloom.sources.commits import CommitLog, TableEntry
 from layerloom.sources.delimited import read_by_header, read_by_position
+from layerloom.sources.layers import write_version
 from layerloom.sources.specs import BRONZE_REASON, ENCOUNTERS, SILVER_REASON, SourceSpec, bronze_text, typed
+from layerloom.sources.versioned import VersionedDimension
 from layerloom.suite import roles as r
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,7 +75,7 @@ def _customer_files(spark, d, *orders: tuple[str, ...]) -> str:
         F.col("c_mktsegment").alias("SEGMENT"),
         F.col("c_acctbal").cast("decimal(18,2)").alias("balance"),
     )
-    folder = f"{staging_root(spark).rstrip('/')}/customer-{uuid.uuid4().hex}"
+    folder = staged_path(spark, "customer")
     for i, order in enumerate(orders):
         part = rows.where(F.pmod(F.col("Customer Key"), F.lit(len(orders))) == i).select(*[f"`{c}`" for c in order])
         part.write.mode("append").option("header", True).option("escape", '"').csv(folder)
@@ -311,6 +313,58 @@ def scd2_new_versions(spark, d):
     return merged.where(F.col("valid_from") == scd2.batch_time(r.T1))
 
 
+def _stored_dimension(spark, d) -> tuple[VersionedDimension, dict]:
+    """Two loads of the patients in a store of their own, in ranges of some thousand keys."""
+    keys, tracked, sk, ts = SCD2
+    dimension = VersionedDimension(spark, staged_path(spark, "dim-patients"), keys, tracked, sk, rows_per_range=4000)
+    first = dimension.apply(None, r.patients(spark, d), "1", r.T0)
+    return dimension, dimension.apply(first, r.patients_next(spark, d), "2", ts)
+
+
+@query
+def scd2_delta_apply(spark, d):
+    """The whole dimension after a batch that wrote only the ranges it changed."""
+    dimension, state = _stored_dimension(spark, d)
+    return dimension.read(state)
+
+
+@query
+def scd2_delta_closed(spark, d):
+    """The one folder of history that the batch added."""
+    dimension, state = _stored_dimension(spark, d)
+    return dimension.closed(state)
+
+
+@query
+def manifest_read(spark, d):
+    """Two committed sets of tables, and a third load that no reader sees yet."""
+    root = staged_path(spark, "table-set")
+    log = CommitLog(spark, root)
+    visits = r.encounters(spark, d)
+    loads = {
+        "run-9": {"patients": r.patients(spark, d), "encounters": visits.where("outcome = 'F'")},
+        "run-10": {"patients": r.patients_next(spark, d), "encounters": visits},
+        "run-11": {"patients": r.patients(spark, d).where("bmi < 0")},
+    }
+    for n, (run_id, tables) in enumerate(loads.items()):
+        written = {name: write_version(df, f"{root}/{name}", run_id) for name, df in tables.items()}
+        if run_id != "run-11":
+            entries = {name: TableEntry.of(df, f"{root}/{name}/version={run_id}") for name, df in written.items()}
+            log.put(run_id, entries, after=n)
+    shown = None
+    for found in (log.read(1), log.read()):
+        for name, df in found.read(spark).items():
+            key = F.col("patient_id" if name == "patients" else "encounter_id").alias("id")
+            rows = df.select(
+                F.lit(found.sequence).alias("sequence"),
+                F.lit(found.run_id).alias("run_id"),
+                F.lit(name).alias("table_name"),
+                key,
+            )
+            shown = rows if shown is None else shown.unionByName(rows)
+    return shown
+
+
 # --- fact and bridge ---------------------------------------------------------------
 
 
@@ -379,7 +433,7 @@ def financial_analytics(spark, d):
 
 @query
 def financial_analytics_all(spark, d):
-    return marts.financial_analytics(r.fact(spark, d, "all"))
+    return factorised.financial_analytics_all(r.encounters(spark, d), r.catalog(spark, d), r.billing(spark, d))
 
 
 @query
@@ -389,7 +443,44 @@ def provider_performance(spark, d):
 
 @query
 def provider_performance_all(spark, d):
-    return r.performance(spark, d, "all")
+    return factorised.provider_performance_all(
+        r.encounters(spark, d), r.catalog(spark, d), r.billing(spark, d), r.provider_dimension(spark, d)
+    )
+
+
+def _rollup(spark, d) -> rollup.Rollup:
+    return rollup.build_rollup(r.overview(spark, d))
+
+
+@query
+def metric_provider_rollup_exact(spark, d):
+    """Provider measures from stored bitmaps, without the encounter rows."""
+    totals = rollup.roll_up(_rollup(spark, d), ["provider_specialty"])
+    return totals.select(
+        F.col("provider_specialty").alias("specialty"),
+        "encounter_count",
+        "patient_count",
+        "avg_treatment_response_score",
+        "total_billing_amount",
+    )
+
+
+@query
+def kpi_from_rollup(spark, d):
+    return rollup.kpi_from_rollup(_rollup(spark, d))
+
+
+@query
+def monthly_from_rollup(spark, d):
+    months = rollup.roll_up(_rollup(spark, d), ["encounter_month"], F.col("encounter_month").isNotNull())
+    return months.select(F.col("encounter_month").alias("month"), "encounter_count")
+
+
+@query
+def stage_patients_from_rollup(spark, d):
+    """Patients per stage over the months of 1996 and 1997, a range no stored distinct count could be added up to."""
+    window = F.col("encounter_month").between("1996-01", "1997-12") & F.col("stage").isNotNull()
+    return rollup.roll_up(_rollup(spark, d), ["stage"], window).select("stage", "patient_count")
 
 
 def _from_files(spark, d):
@@ -578,6 +669,16 @@ def top_providers_by_response(spark, d):
     return reports.top_providers(r.performance(spark, d), "avg_treatment_response_score")
 
 
+@query
+def report_bundle(spark, d):
+    return reports.report_bundle(r.overview(spark, d))
+
+
+@query
+def report_bundle_filtered(spark, d):
+    return reports.report_bundle(r.filtered(spark, d))
+
+
 # --- governance ----------------------------------------------------------------------------
 
 
@@ -616,10 +717,8 @@ def governance_slice_filtered(spark, d):
 
 @query
 def dq_summary(spark, d):
-    """The three checks over the unfiltered overview with every billing row."""
-    return quality.dq_summary(
-        r.overview(spark, d, "all"), amount="billing_amount", day="encounter_date", key="encounter_id"
-    )
+    """The three checks over the unfiltered overview with every billing row, which is never built."""
+    return factorised.dq_summary_all(r.encounters(spark, d), r.catalog(spark, d), r.billing(spark, d))
 
 
 @query

@@ -11,9 +11,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from layerloom.operators import quality
-from layerloom.plans.pipeline import Batch, Run, register_views, run_pipeline, run_step
+from layerloom.plans.pipeline import Batch, Run, read_gold, register_views, run_pipeline, run_step
 from layerloom.plans.reports import ReportFilter, filter_overview
 from layerloom.sources import layers as store
+from layerloom.sources.commits import CommitLog
 from layerloom.sources.delimited import read_by_header, read_by_position
 from layerloom.sources.layers import Layers
 from layerloom.sources.specs import PATIENTS, PROVIDERS, bronze_text
@@ -341,4 +342,14 @@ def test_a_repeated_run_writes_the_same(spark, lake):
     again = run_pipeline(spark, str(root), BATCHES[1], export_csv=False)
     assert {name: rows(again[name]) for name in before} == before
     assert spark.read.parquet(f"{root}/ops/rejected_records").count() == rejects
-    assert store.complete_versions(spark, f"{root}/gold/dim_patients") == [b.run_id for b in BATCHES]
+    log = CommitLog(spark, f"{root}/gold")
+    assert [log.read(n).run_id for n in log.sequences()] == [b.run_id for b in (*BATCHES, BATCHES[1])]
+    assert store.complete_versions(spark, f"{root}/gold/fact_encounters") == [
+        *[b.run_id for b in BATCHES], f"{BATCHES[1].run_id}-2"
+    ]
+    first, latest = read_gold(spark, str(root), 1), read_gold(spark, str(root))
+    assert rows(first["dim_patients"]) == rows(lake[1]["dim_patients"])
+    assert {name: rows(latest[name]) for name in before} == before and set(first) == set(latest)
+    # the catalogue did not change: all commits name the same folders, and no history was written
+    states = [log.read(n).tables["dim_cancer_catalog"].facts["state"] for n in log.sequences()]
+    assert states[0] == states[1] == states[2] and not states[0]["closed"]
