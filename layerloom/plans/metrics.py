@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -96,24 +96,32 @@ PROVIDER_METRICS_EXACT = MetricView(
     },
 )
 
-# Stored questions over the marts, each with a total order.
+
+def _monthly_encounters(encounter_overview: DataFrame) -> DataFrame:
+    months = encounter_overview.withColumn("month_start", F.trunc("encounter_date", "MM"))
+    by_month = replace(ENCOUNTER_METRICS, dimensions={"month_start": "month_start"})
+    return by_month.query(months, ["month_start"], ["encounter_count"]).orderBy("month_start")
+
+
+def _stage_revenue(encounter_overview: DataFrame) -> DataFrame:
+    by_stage = ENCOUNTER_METRICS.query(encounter_overview, ["cancer_stage"], ["total_billing_amount"])
+    named = by_stage.withColumnsRenamed({"cancer_stage": "stage", "total_billing_amount": "total_revenue"})
+    return named.orderBy(F.desc_nulls_last("total_revenue"), "stage")
+
+
+def _provider_ranking(provider_performance: DataFrame) -> DataFrame:
+    shown = provider_performance.select("provider_name", "specialty", "encounter_count", "total_billing_amount")
+    return shown.orderBy(F.desc_nulls_last("encounter_count"), F.desc_nulls_last("total_billing_amount"), "provider_name")
+
+
+#: Stored questions over the marts, each with a total order; arguments are named after the mart they ask.
 STORED_QUERIES = {
-    "monthly_encounters": (
-        "SELECT trunc(encounter_date, 'MM') AS month_start, count(DISTINCT encounter_id) AS encounter_count "
-        "FROM {encounter_overview} GROUP BY ALL ORDER BY month_start"
-    ),
-    "stage_revenue": (
-        "SELECT stage, sum(billing_amount) AS total_revenue "
-        "FROM {encounter_overview} GROUP BY ALL ORDER BY total_revenue DESC NULLS LAST, stage"
-    ),
-    "provider_ranking": (
-        "SELECT provider_name, specialty, encounter_count, total_billing_amount FROM {provider_performance} "
-        "ORDER BY encounter_count DESC NULLS LAST, total_billing_amount DESC NULLS LAST, provider_name"
-    ),
+    "monthly_encounters": _monthly_encounters,
+    "stage_revenue": _stage_revenue,
+    "provider_ranking": _provider_ranking,
 }
 
 
-def stored_query(spark: SparkSession, name: str, **relations: DataFrame) -> DataFrame:
-    """Run a stored question against the given marts."""
-    text = STORED_QUERIES[name]
-    return spark.sql(text, **{k: df for k, df in relations.items() if "{" + k + "}" in text})
+def stored_query(name: str, **marts: DataFrame) -> DataFrame:
+    """Ask a stored question of the mart it is about."""
+    return STORED_QUERIES[name](**marts)

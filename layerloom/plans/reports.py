@@ -197,8 +197,17 @@ def report_bundle(rows: DataFrame) -> DataFrame:
     for i, (report_name, group) in enumerate(GROUPED_REPORTS.items()):
         own = F.col("_set") == everything - 2 ** (len(groups) - 1 - i)
         name, value = name.when(own, F.lit(report_name)), F.when(own, F.col(group)).otherwise(value)
-    named = totals.select(name.alias("report"), value.alias("group_value"), *totals.columns[len(groups) + 1 :])
-    return named.where((F.col("report") == OVERALL) | F.col("group_value").isNotNull())
+    measures = totals.columns[len(groups) + 1 :]
+    named = totals.select(name.alias("report"), value.alias("group_value"), *measures)
+    named = named.where((F.col("report") == OVERALL) | F.col("group_value").isNotNull())
+    # without rows there are no sets, so the overall row of nothing stands by
+    nothing = rows.sparkSession.range(1).select(
+        F.lit(OVERALL).alias("report"),
+        F.lit(None).cast("string").alias("group_value"),
+        *[F.lit(None if m.startswith("avg") else 0).cast(named.schema[m].dataType).alias(m) for m in measures],
+    )
+    best = F.max_by(F.struct(*measures), "row_count").alias("of")
+    return named.unionByName(nothing).groupBy("report", "group_value").agg(best).select("report", "group_value", "of.*")
 
 
 def from_bundle(bundle: DataFrame) -> dict[str, DataFrame]:

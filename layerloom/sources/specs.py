@@ -32,8 +32,9 @@ class SourceSpec:
     types: dict[str, str] = field(default_factory=dict)
     renamed: dict[str, str] = field(default_factory=dict)
     name_columns: tuple[str, ...] = ()
-    #: Quoted values may hold line breaks; such a file is read by one task.
-    multiline: bool = False
+    #: Quoted values may hold line breaks, so a file is one task's and a large table lands as many files.
+    #: Without, Spark can split a file.
+    multiline: bool = True
 
     @property
     def file_name(self) -> str:

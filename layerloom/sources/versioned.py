@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from layerloom.functions.hashing import record_hash
 from layerloom.operators.keys import dense_key
-from layerloom.operators.scd2 import VERSION_COLUMNS, batch_time
+from layerloom.operators.scd2 import batch_time
 from layerloom.operators.staging import write_through
 
 #: Rows that a range of current versions is meant to have; one of twice as many is split.
@@ -68,9 +68,8 @@ class VersionedDimension:
 
     # --- ranges ------------------------------------------------------------------
 
-    def _range(self, state_or_bounds: list[str], schema: T.StructType) -> Column:
+    def _range(self, bounds: list[str], schema: T.StructType) -> Column:
         """How many of the ascending bounds a key reaches: first whole strides of them, then those of its stride."""
-        bounds = state_or_bounds
         kinds = ", ".join(f"`{k}`: {schema[k].dataType.simpleString()}" for k in self.keys)
         key = F.struct(*self.keys)
 
@@ -160,7 +159,7 @@ class VersionedDimension:
         if not touched:
             return state
         # the first range has no bound; it is absent only where all its keys have gone
-        offset = 0 if state["ranges"][0]["low"] is None else 1
+        offset = 1 if state["ranges"] and state["ranges"][0]["low"] is not None else 0
         held = {i + offset: r for i, r in enumerate(state["ranges"])}
         before = self._read(state, [held[i]["path"] for i in sorted(touched) if i in held])
 
@@ -193,6 +192,3 @@ class VersionedDimension:
         frame = self.spark.createDataFrame(lows, "i int, low string")
         order = frame.orderBy(F.from_json("low", f"struct<{kinds}>").asc_nulls_first()).collect()
         return [ranges[r["i"]] for r in order]
-
-
-__all__ = ["ROWS_PER_RANGE", "VERSION_COLUMNS", "VersionedDimension"]

@@ -341,6 +341,29 @@ ORACLES = {
     "scd2_new_versions": SHOW_DIM.format("new_versions"),
     "scd2_delta_apply": SHOW_DIM.format("merged"),
     "scd2_delta_closed": SHOW_DIM.format("expired"),
+    "lineage_columns": """SELECT CAST(c_custkey AS VARCHAR) AS customer_key, '20210101000000' AS pipeline_run_id,
+       '2021-01-01 00:00:00' AS ingested_at, true AS from_csv FROM customer""",
+    "csv_export": """SELECT substr(CAST(patient_id AS VARCHAR), 1, 3) || '****' AS patient_id,
+       'REDACTED' AS patient_name, gender, CAST(bmi AS VARCHAR) AS bmi, smoking_status, CAST(age AS VARCHAR) AS age
+       FROM patients""",
+    "latest_load": """SELECT * REPLACE (CAST(encounter_date AS VARCHAR) AS encounter_date,
+       CAST(treatment_response_score AS DOUBLE) AS treatment_response_score) FROM encounters""",
+    "optional_scan": "SELECT 'there' AS table_name, encounter_id FROM encounters",
+    "audit_newest_first": """SELECT run_id AS pipeline_run_id, 'raw_to_bronze' AS pipeline_step, table_name,
+       CAST(NULL AS BIGINT) AS source_count, CAST(NULL AS BIGINT) AS valid_count, CAST(NULL AS BIGINT) AS reject_count,
+       CAST(NULL AS BIGINT) AS duplicate_count, row_count, 'SUCCESS' AS status, recorded_at
+       FROM (SELECT 'customer' AS table_name, count(*) AS row_count FROM customer
+             UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem),
+            (VALUES ('9', '2020-01-01 00:00:00'), ('10', '2021-01-01 00:00:00')) AS v(run_id, recorded_at)""",
+    "latest_run": """SELECT max(run_id) AS pipeline_run_id, count(run_id) AS row_count FROM (
+       SELECT CASE WHEN o_orderstatus <> 'P' THEN strftime(o_orderdate, '%Y%m%d') END AS run_id FROM orders)""",
+    "named_views": """SELECT 'patients' AS of_view, gender AS name, count(*) AS n FROM merged WHERE is_current GROUP BY 2
+       UNION ALL SELECT 'catalog', stage, count(*) FROM dim_catalog GROUP BY 2
+       UNION ALL SELECT 'providers', specialty, count(*) FROM providers GROUP BY 2""",
+    "preview_rows": """SELECT * REPLACE (CAST(encounter_date AS VARCHAR) AS encounter_date,
+       CAST(treatment_response_score AS DOUBLE) AS treatment_response_score)
+       FROM (SELECT * FROM encounters ORDER BY encounters.encounter_date, encounter_id LIMIT 25)""",
+    "column_fallback": "SELECT c_custkey, c_name, c_mktsegment, c_name AS patient_name FROM customer",
     "manifest_read": """SELECT 1 AS sequence, 'run-9' AS run_id, 'patients' AS table_name, patient_id AS id FROM patients
        UNION ALL SELECT 1, 'run-9', 'encounters', encounter_id FROM encounters WHERE outcome = 'F'
        UNION ALL SELECT 2, 'run-10', 'patients', patient_id FROM patients_next

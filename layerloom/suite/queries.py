@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layerloom.functions.hashing import record_hash
-from layerloom.functions.text import strip_name_counter, trim_strings
+from layerloom.functions.text import alias_missing, strip_name_counter, trim_strings
 from layerloom.operators import quality, scd2, star
 from layerloom.operators.dedupe import drop_exact_duplicates, first_per_key, latest_per_key
 from layerloom.operators.keys import dense_key
@@ -18,8 +18,9 @@ from layerloom.operators.masking import MaskPolicy, PATIENT_POLICIES, apply_mask
 from layerloom.operators.staging import staged_path
 from layerloom.plans import factorised, marts, metrics, reports, rollup
 from layerloom.sources.commits import CommitLog, TableEntry
-from layerloom.sources.delimited import read_by_header, read_by_position
-from layerloom.sources.layers import write_version
+from layerloom.plans.pipeline import register_views
+from layerloom.sources import layers as store
+from layerloom.sources.delimited import read_by_header, read_by_position, with_lineage, write_csv
 from layerloom.sources.specs import BRONZE_REASON, ENCOUNTERS, SILVER_REASON, SourceSpec, bronze_text, typed
 from layerloom.sources.versioned import VersionedDimension
 from layerloom.suite import roles as r
@@ -96,6 +97,106 @@ def csv_by_position(spark, d):
     return read_by_position(spark, _customer_files(spark, d, _FILE_COLUMNS), CUSTOMER_FILE).drop("source_file_name")
 
 
+@query
+def lineage_columns(spark, d):
+    """Run id and load time of every landed row, and that its file is known."""
+    landed = read_by_header(spark, _customer_files(spark, d, _FILE_COLUMNS), CUSTOMER_FILE)
+    rows = with_lineage(landed, "20210101000000", datetime(2021, 1, 1))
+    named = F.col("source_file_name").endswith(".csv").alias("from_csv")
+    return rows.select("customer_key", "pipeline_run_id", "ingested_at", named)
+
+
+@query
+def csv_export(spark, d):
+    """The patients as an analyst may export them, read back from the written files."""
+    folder = staged_path(spark, "export")
+    write_csv(as_role("dim_patients", r.patients(spark, d)), folder)
+    return spark.read.option("header", True).option("escape", '"').csv(folder)
+
+
+# --- layer store ---
+
+
+@query
+def latest_load(spark, d):
+    """A required table after loads ``run-9`` and ``run-10``: the latter, by number."""
+    path = store.Layers(staged_path(spark, "lake")).table("silver", "encounters")
+    visits = r.encounters(spark, d)
+    store.write_version(visits.where("outcome = 'F'"), path, "run-9")
+    store.write_version(visits, path, "run-10")
+    return store.read_current(spark, path)
+
+
+@query
+def optional_scan(spark, d):
+    """A table that was loaded, and one that never was."""
+    lake = store.Layers(staged_path(spark, "lake"))
+    visits = r.encounters(spark, d)
+    store.write_version(visits, lake.table("gold", "encounters"), "1")
+    found = [store.read_current_or_empty(spark, lake.table("gold", t), visits.schema) for t in ("encounters", "visits")]
+    one, none = (df.select(F.lit(name).alias("table_name"), "encounter_id") for name, df in zip(("there", "absent"), found))
+    return one.unionByName(none)
+
+
+def _audit_log(spark, d) -> DataFrame:
+    """Two runs' row counts of three tables; the second run's first step was repeated."""
+    lake = store.Layers(staged_path(spark, "lake"))
+    path = lake.table("ops", "pipeline_audit")
+    for run_id, ts in (("9", datetime(2020, 1, 1)), ("10", datetime(2021, 1, 1)), ("10", datetime(2021, 1, 1))):
+        counts = {t: r.table(spark, d, t).count() for t in ("customer", "orders", "lineitem")}
+        rows = [
+            {"pipeline_run_id": run_id, "pipeline_step": "raw_to_bronze", "table_name": t, "row_count": n,
+             "status": "SUCCESS", "recorded_at": ts} for t, n in counts.items()
+        ]
+        audit = quality.audit_rows(spark, rows).coalesce(1)
+        store.write_log(audit, path, pipeline_run_id=run_id, pipeline_step="raw_to_bronze")
+    return store.read_log(spark, path, quality.AUDIT_SCHEMA)
+
+
+@query
+def audit_newest_first(spark, d):
+    return quality.newest_audit_first(_audit_log(spark, d))
+
+
+@query
+def latest_run(spark, d):
+    """The newest run id among the rows of the fact's source, and how many rows carry one."""
+    run_id = F.date_format("o_orderdate", "yyyyMMdd")
+    rows = r.table(spark, d, "orders").select(F.when(F.col("o_orderstatus") != "P", run_id).alias("pipeline_run_id"))
+    return quality.latest_run(rows)
+
+
+@query
+def named_views(spark, d):
+    """SQL over registered names, the current rows of a versioned dimension among them."""
+    register_views(
+        {
+            "dim_patients": _merged(spark, d),
+            "dim_cancer_catalog": r.dim_catalog(spark, d),
+            "dim_providers": r.provider_dimension(spark, d),
+        },
+        role="admin",
+    )
+    return spark.sql(
+        "SELECT 'patients' AS of_view, gender AS name, count(*) AS n FROM dim_patients_current GROUP BY gender "
+        "UNION ALL SELECT 'catalog', stage, count(*) FROM dim_cancer_catalog_current GROUP BY stage "
+        "UNION ALL SELECT 'providers', specialty, count(*) FROM dim_providers GROUP BY specialty"
+    )
+
+
+@query
+def preview_rows(spark, d):
+    """The first 25 encounters by date."""
+    return quality.preview(r.encounters(spark, d), ["encounter_date", "encounter_id"], 25)
+
+
+@query
+def column_fallback(spark, d):
+    """Columns that a table lacks, from others it has; those it has stay."""
+    rows = r.table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    return alias_missing(rows, {"patient_name": "c_name", "c_mktsegment": "c_name", "lost": "absent"})
+
+
 # --- cleaning and validation -------------------------------------------------
 
 
@@ -347,7 +448,7 @@ def manifest_read(spark, d):
         "run-11": {"patients": r.patients(spark, d).where("bmi < 0")},
     }
     for n, (run_id, tables) in enumerate(loads.items()):
-        written = {name: write_version(df, f"{root}/{name}", run_id) for name, df in tables.items()}
+        written = {name: store.write_version(df, f"{root}/{name}", run_id) for name, df in tables.items()}
         if run_id != "run-11":
             entries = {name: TableEntry.of(df, f"{root}/{name}/version={run_id}") for name, df in written.items()}
             log.put(run_id, entries, after=n)
@@ -518,17 +619,17 @@ def provider_from_files(spark, d):
 
 @query
 def monthly_encounters(spark, d):
-    return metrics.stored_query(spark, "monthly_encounters", encounter_overview=r.overview(spark, d))
+    return metrics.stored_query("monthly_encounters", encounter_overview=r.overview(spark, d))
 
 
 @query
 def stage_revenue(spark, d):
-    return metrics.stored_query(spark, "stage_revenue", encounter_overview=r.overview(spark, d))
+    return metrics.stored_query("stage_revenue", encounter_overview=r.overview(spark, d))
 
 
 @query
 def provider_ranking(spark, d):
-    return metrics.stored_query(spark, "provider_ranking", provider_performance=r.performance(spark, d))
+    return metrics.stored_query("provider_ranking", provider_performance=r.performance(spark, d))
 
 
 @query

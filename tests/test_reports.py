@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from layerloom.operators.masking import PATIENT_POLICIES, MaskPolicy, apply_masks, pattern_mask
+from layerloom.operators.quality import dq_summary
 from layerloom.plans import reports
 from layerloom.plans.metrics import ENCOUNTER_METRICS, PROVIDER_METRICS, stored_query
 from layerloom.plans.reports import ReportFilter, filter_overview
@@ -104,6 +105,28 @@ def test_report_bundle(spark, overview):
     assert {r.check_name: r.rows for r in bundle["dq_summary"].collect()}["Missing encounter date"] == 0
 
 
+def test_reports_out_of_the_bundle_equal_single_ones(overview):
+    for given in (overview, overview.where("stage = 'I'"), overview.limit(0)):
+        found = reports.from_bundle(reports.report_bundle(given))
+        for name, one in found.items():
+            if name != "dq_summary":
+                want = getattr(reports, name)(given)
+                assert [tuple(r) for r in one.collect()] == [tuple(r) for r in want.collect()], name
+                assert one.columns == want.columns
+        want = reports_dq(given)
+        assert rows(found["dq_summary"]) == rows(want)
+
+
+def reports_dq(given):
+    return dq_summary(given, amount="billing_amount", day="encounter_date", key="encounter_id")
+
+
+def test_the_bundle_reads_its_rows_once(spark, overview, tmp_path):
+    overview.write.parquet(str(tmp_path / "overview"))
+    plan = physical_plan(reports.report_bundle(spark.read.parquet(str(tmp_path / "overview"))))
+    assert plan.split("== Initial Plan ==")[-1].count("FileScan") == 1 and "patient_name" not in plan
+
+
 def test_governance_slice_hides_the_id(overview):
     sliced = reports.governance_slice(overview)
     assert "patient_id" not in sliced.columns and "amount" in sliced.columns
@@ -130,5 +153,5 @@ def test_metric_view(overview):
 
 
 def test_stored_query_orders_nulls_last(spark, overview):
-    found = stored_query(spark, "stage_revenue", encounter_overview=overview.withColumn("provider_id", F.lit(1)))
+    found = stored_query("stage_revenue", encounter_overview=overview.withColumn("provider_id", F.lit(1)))
     assert [r.stage for r in found.collect()] == [None, "I", "II"]
