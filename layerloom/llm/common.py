@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,10 +36,34 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+_scope: ContextVar[list[str] | None] = ContextVar("stored", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is ``stored`` inside is deleted at the end; results that outlive it must have been evaluated."""
+    held: list[str] = []
+    token = _scope.set(held)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in held:
+            delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """Evaluate ``df`` once into a compressed table in the checkpoint folder."""
+    """Evaluate ``df`` once into a compressed table in the checkpoint folder, for the ``scratch`` it is in."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    held = _scope.get()
+    if held is not None:
+        held.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

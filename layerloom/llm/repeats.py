@@ -18,10 +18,15 @@ Every byte covered by a string of ``LENGTH`` bytes that also starts elsewhere
    prefixes of ``LENGTH`` or more are scanned with a stack into the tree of
    common-prefix intervals; intervals whose occurrences differ in the byte before
    them are the maximal repeats, each with all its occurrences.
-4. A bucket of more than ``BUCKET`` contexts is not sorted in one task but divided
-   by the suffixes' first ``LENGTH`` bytes, which is where the intervals of the
-   tree begin: equal prefixes meet by grouped sums, and those that differ in the
-   byte before or after them bound the repeats.
+4. A bucket too large for one task is divided first. All windows that begin
+   ``low`` to ``high`` bytes before the anchor hold the bytes from ``-low`` to
+   ``LENGTH - high``, so a repeat among them only joins contexts that agree in that
+   core: each core is a bucket of its own, and one still too large is divided by
+   halves of its offsets. Contexts that agree in all that these windows reach, the
+   hull, repeat there as a whole, and one of them goes on for all. So a passage that
+   very many contexts share is settled whole, and only the halves that hold its edges
+   are divided further. At one offset core and hull are the window itself, hence
+   every bucket ends up small enough for the suffix array, or settled.
 
 Windows around one anchor overlap, so what repeats of a context is one span, from
 the first start to the last end of its repeats.
@@ -35,6 +40,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,16 +48,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerloom.llm.common import content_md5, cut, leading_bits, stored, text_or_empty
+from layerloom.llm.common import content_md5, cut, leading_bits, scratch, stored, text_or_empty
 
 LENGTH = 200
 GRAM = 64
 BEFORE = LENGTH - GRAM
 CHUNK = 1 << 20
+#: Contexts of a bucket that one task sorts; which buckets are divided changes no result.
 BUCKET = 1024
 #: Contexts whose suffixes are sorted together.
 SORTED = 1024
-EDGE = 256
 
 _BYTE = np.random.default_rng(200).integers(1, 1 << 63, 256, dtype=np.uint64)
 _MIX = np.random.default_rng(201).integers(1, 1 << 63, (8, 2), dtype=np.uint64) | np.uint64(1)
@@ -266,8 +272,7 @@ def _occurrences(batches):
         table = _once(table)
         if not table.num_rows:
             continue
-        place = table.column("place").to_numpy()
-        low = np.maximum(place - BEFORE, 0)
+        place, low = table.column("place").to_numpy(), table.column("begin").to_numpy()
         gram, contexts = table.column("gram").to_numpy(), table.column("bytes").to_pylist()
         found = [
             (n, i, int(low[i]) + at, length)
@@ -297,39 +302,64 @@ def _edge_spans(batches):
         ).to_batches()
 
 
-def _prefixes(batches):
-    """One row per suffix that can hold a window: its offset, the hash of the window and the bytes around it.
+#: Of a context: its gram, document, anchor, first byte's place, and its bytes.
+CONTEXT = ["gram", "key", "digest", "place", "begin", "bytes"]
 
-    ``EDGE`` stands for the byte beyond a context's end.
+
+def _cores(batches):
+    """For a context and offsets ``low`` to ``high`` of windows: hashes of core and hull, and what windows are there.
+
+    ``first`` and ``end`` bound the bytes that its windows reach, by place in the text.
     """
     digest = xxhash.xxh3_64_intdigest
     for batch in batches:
-        for at in range(0, batch.num_rows, SORTED):
-            part = batch.slice(at, SORTED)
-            place = part.column("place").to_numpy()
-            low = np.maximum(place - BEFORE, 0)
-            row, offset, prefix, previous, following = [], [], [], [], []
-            for i, text in enumerate(part.column("bytes").to_pylist()):
-                n = len(text) - LENGTH + 1
-                row += [i] * n
-                offset += range(int(place[i] - low[i]), int(place[i] - low[i]) - n, -1)
-                prefix += [digest(text[s : s + LENGTH]) for s in range(n)]
-                previous += [EDGE, *text[: n - 1]]
-                following += [*text[LENGTH:], EDGE]
-            taken = pa.array(row, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("gram").take(taken),
-                    part.column("key").take(taken),
-                    part.column("digest").take(taken),
-                    part.column("place").take(taken),
-                    pa.array(offset, pa.int32()),
-                    pa.array(np.array(prefix, np.uint64).view(np.int64)),
-                    pa.array(previous, pa.int16()),
-                    pa.array(following, pa.int16()),
-                ],
-                names=["gram", "key", "digest", "place", "offset", "prefix", "previous", "following"],
-            )
+        kept, cores, hulls, firsts, ends = [], [], [], [], []
+        columns = (batch.column(c).to_pylist() for c in ("place", "begin", "bytes", "low", "high"))
+        for i, (place, begin, text, low, high) in enumerate(zip(*columns, strict=True)):
+            at = place - begin
+            least, most = max(low, LENGTH - (len(text) - at)), min(high, at)
+            if least > most:
+                continue  # no window of these offsets fits
+            hull = text[at - most : at + LENGTH - least]
+            kept.append(i)
+            cores.append(digest(text[at - low : at + LENGTH - high]))
+            hulls.append(digest(hull, least << 8 | most))
+            firsts.append(place - most)
+            ends.append(place + LENGTH - least)
+        held = batch.take(pa.array(kept, pa.int64()))
+        hashes = [pa.array(np.array(h, np.uint64).view(np.int64)) for h in (cores, hulls)]
+        places = [pa.array(p, pa.int32()) for p in (firsts, ends)]
+        yield pa.RecordBatch.from_arrays(
+            [*held.columns, *hashes, *places], names=[*held.schema.names, "core", "hull", "first", "end"]
+        )
+
+
+def _divide(contexts: DataFrame, bucket: int) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Spans of what large buckets' contexts share as a whole, and small buckets with the rest."""
+    kinds = ", ".join(f"{c} {contexts.schema[c].dataType.simpleString()}" for c in CONTEXT)
+    node = ["gram", "low", "high", "core"]
+    open_ = contexts.select(*CONTEXT, F.lit(0).alias("low"), F.lit(BEFORE).alias("high"))
+    spans, buckets = [], []
+    while not open_.isEmpty():
+        rows = open_.mapInArrow(_cores, f"{kinds}, low int, high int, core bigint, hull bigint, first int, end int")
+        rows = stored(rows.withColumn("who", F.xxhash64("key", "digest", "place")), "cores")
+        hulls = cut(rows.groupBy(*node, "hull").agg(F.min("who").alias("who"), F.max("who").alias("other")))
+        again = hulls.where("who <> other").select(*node, "hull")
+        spans.append(rows.join(again, [*node, "hull"]).select("key", "digest", F.col("first").alias("low"), F.col("end").alias("high")))
+        mixed = cut(hulls.groupBy(*node).agg(F.count("*").alias("hulls")).where("hulls > 1"))
+        # one context of each hull goes on, cut to what these windows reach
+        one = rows.join(hulls.select(*node, "hull", "who"), [*node, "hull", "who"]).join(mixed, node)
+        reach = F.substring("bytes", F.col("first") - F.col("begin") + 1, F.col("end") - F.col("first"))
+        one = one.withColumns({"bytes": reach, "begin": F.col("first")})
+        small = one.where(F.col("hulls") <= bucket)
+        buckets.append(small.withColumn("gram", F.xxhash64(*node)).select(*CONTEXT))
+        middle = F.floor((F.col("low") + F.col("high")) / 2).cast("int")
+        halves = F.array(
+            F.struct("low", middle.alias("high")), F.struct((middle + 1).alias("low"), F.col("high").alias("high"))
+        )
+        large = one.where((F.col("hulls") > bucket) & (F.col("low") < F.col("high")))
+        open_ = stored(large.select(*CONTEXT, F.inline(halves)), "halves")
+    return spans, buckets
 
 
 def _contexts(batches):
@@ -338,7 +368,7 @@ def _contexts(batches):
     for batch in batches:
         texts = _unpacked(batch)
         documents = list(zip(batch.column("key").to_pylist(), batch.column("digest").to_pylist(), strict=True))
-        row, gram, place, large, cutout = [], [], [], [], []
+        row, gram, place, begin, large, cutout = [], [], [], [], [], []
         for i, wanted in enumerate(batch.column("wanted").to_pylist()):
             if documents[i] in given:
                 continue
@@ -348,6 +378,7 @@ def _contexts(batches):
                 row.append(i)
                 gram.append(w["gram"])
                 place.append(w["place"])
+                begin.append(low)
                 large.append(w["large"])
                 cutout.append(texts[i][low:high])
         taken = pa.array(row, pa.int64())
@@ -357,10 +388,11 @@ def _contexts(batches):
                 batch.column("key").take(taken),
                 batch.column("digest").take(taken),
                 pa.array(place, pa.int32()),
+                pa.array(begin, pa.int32()),
                 pa.array(large, pa.bool_()),
                 pa.array(cutout, pa.binary()),
             ],
-            names=["gram", "key", "digest", "place", "large", "bytes"],
+            names=["gram", "key", "digest", "place", "begin", "large", "bytes"],
         )
 
 
@@ -407,18 +439,24 @@ def repeated_spans(
 
     Spans may overlap and may reach beyond the end of their text.
     """
-    chunk = chunk or CHUNK  # read here, as tasks import the module afresh
+    with scratch(docs.sparkSession):
+        return cut(_spans(docs, key, text, bucket, chunk or CHUNK))  # read here, as tasks import the module afresh
+
+
+def _spans(docs: DataFrame, key: str, text: str, bucket: int, chunk: int) -> DataFrame:
     rows = _documents(docs, key, text)
     kind = rows.schema["key"].dataType.simpleString()
     known = f"key {kind}, digest bigint"
 
-    frequent = (
+    # written, so that the join below can split a frequent gram
+    frequent = stored(
         rows.select("data")
         .mapInArrow(_anchor_rows(False, chunk), "gram bigint")
         .groupBy("gram")
         .agg(F.count("*").alias("n"))
         .where("n > 1")
-        .select("gram")
+        .select("gram"),
+        "grams",
     )
     kept = rows.mapInArrow(
         _anchor_rows(True, chunk), f"gram bigint, context bigint, {known}, place int"
@@ -451,30 +489,14 @@ def repeated_spans(
         _packed_documents(docs, key, text)
         .join(wanted, same)
         .select("key", "digest", "size", "packed", "wanted")
-        .mapInArrow(_contexts, f"gram bigint, {known}, place int, large boolean, bytes binary"),
+        .mapInArrow(_contexts, f"gram bigint, {known}, place int, begin int, large boolean, bytes binary"),
         "contexts",
     )
-    sorted_edges = edges.where("not large").repartition("gram").sortWithinPartitions("gram")
-    found = sorted_edges.mapInArrow(_edge_spans, f"{known}, low int, high int")
-    prefixes = edges.where("large").mapInArrow(
-        _prefixes, f"gram bigint, {known}, place int, offset int, prefix bigint, previous smallint, following smallint"
-    )
-    at = F.xxhash64("key", "digest", "place")
-    ends = [f(c).alias(f"{c}_{f.__name__}") for c in ("previous", "following") for f in (F.min, F.max)]
-    again = (
-        prefixes.groupBy("gram", "offset", "prefix")
-        .agg(F.min(at).alias("a"), F.max(at).alias("b"), *ends)
-        .where("a <> b")
-        .where(" or ".join(f"{c}_min <> {c}_max or {c}_max = {EDGE}" for c in ("previous", "following")))
-        .select("gram", "offset", "prefix")
-    )
-    divided = prefixes.join(again, ["gram", "offset", "prefix"]).select(
-        "key",
-        "digest",
-        (F.col("place") - F.col("offset")).alias("low"),
-        (F.col("place") - F.col("offset") + LENGTH).alias("high"),
-    )
-    return whole.unionByName(found).unionByName(divided)
+    spans, buckets = _divide(edges.where("large"), bucket)
+    small = reduce(DataFrame.unionByName, buckets, edges.where("not large").select(*CONTEXT))
+    ordered = small.repartition("gram").sortWithinPartitions("gram")
+    found = ordered.mapInArrow(_edge_spans, f"{known}, low int, high int")
+    return reduce(DataFrame.unionByName, [whole, found, *spans])
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -70,6 +70,34 @@ def test_texts_over_a_chunk(make_docs, monkeypatch):
     assert result(make_docs(pairs)) == expected(pairs)
 
 
+@pytest.mark.parametrize("bucket", [repeats.BUCKET, 40, 6])
+def test_a_passage_with_very_many_surroundings(make_docs, bucket):
+    """Buckets of one passage's edges, larger than a task's and of several lengths, also within one text."""
+    rng = np.random.default_rng(8)
+    passage = noise(rng, 420)
+    pairs = []
+    for i in range(150):
+        low, high = (0, 420) if i % 3 else (int(rng.integers(0, 150)), int(rng.integers(260, 420)))
+        pairs.append((i, noise(rng, int(rng.integers(0, 90))) + passage[low:high] + noise(rng, int(rng.integers(0, 90)))))
+    pairs.append((900, "".join(noise(rng, 20) + passage[j * 7 : j * 7 + 230] for j in range(20))))
+    assert result(make_docs(pairs), bucket=bucket) == expected(pairs)
+
+
+def test_nothing_is_left_behind(spark, make_docs):
+    from pathlib import Path
+
+    from layerloom.llm.common import shared_dir
+
+    rng = np.random.default_rng(9)
+    passage = noise(rng, 300)
+    docs = make_docs([(i, noise(rng, 100) + passage + noise(rng, 100)) for i in range(30)])
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    before = {p.name for p in folder.iterdir()}
+    repeats.without_repeats(docs, bucket=4).collect()
+    left = {p.name for p in folder.iterdir()} - before
+    assert not {n for n in left if n.startswith(("anchors", "contexts", "cores", "halves", "grams"))}
+
+
 def test_unique_text_over_two_chunks_stays_whole(make_docs):
     rng = np.random.default_rng(3)
     long = noise(rng, (2 << 20) + 5000)
