@@ -13,14 +13,19 @@ have none, unless they are among the ``RAREST`` of a benchmark item.
    passages, and a randomised SVD multiplies it twice with a block of vectors, at
    first random ones; Spark does the products and the driver orthogonalises terms
    x rank numbers.
-3. One pass finds the longest common subsequence of an item's words and a passage
-   with a block on either side. Of an item's ``n`` words ``COVER`` lets ``k`` be
-   missing, so of its ``k + SURE`` rarest ones at least ``SURE`` stand in those four
-   blocks; the subsequence is taken wherever they do, which passes over no leak
-   whatever its words are. A document is reported where it has ``COVER`` of the
-   item's words in order, and ``ANSWER`` of the words after an ``answer:`` marker
-   if the item has one, with the cosine of passage and item in the latent space.
-   Weights bear on that cosine only.
+3. Every passage is compared with every item in the latent space. Where their
+   product is ``NEAR`` of the item's own squared norm the passage is a candidate,
+   however many other words it has. As weights are cut and the space is of limited
+   rank, a second way proposes what the first may miss: of an item's ``n`` words
+   ``COVER`` lets ``k`` be missing, so of its ``k + SURE`` rarest ones at least
+   ``SURE`` stand in the passage with a block on either side, and each such place is
+   a candidate too, which passes over no leak of ``COVER`` whatever its words are.
+4. Candidates are checked by the longest common subsequence of the item's words and
+   the passage with a block on either side. A document is reported where it has
+   ``COVER`` of the item's words in order and, if the item has an ``answer:`` marker,
+   ``ANSWER`` of the words after it. A paraphrase, proposed by the latent space, needs
+   ``PARAPHRASE`` of the words only, but all words of the answer. ``found_by`` says
+   which way proposed the row: ``latent``, ``words`` or ``both``.
 
 Items over ``PROBE`` words are searched as several probes, any of which reports
 the item. The benchmark is taken in groups of ``GROUP`` probes, so what is
@@ -43,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerloom.llm.common import cut, stored
+from layerloom.llm.common import cut, scratch, stored
 
 BLOCK = 32
 COMMON = 0.001
@@ -53,6 +58,10 @@ GROUP = 256
 OVERSAMPLING = 32
 COVER = 0.7
 ANSWER = 0.8
+#: Share of an item's squared norm that a candidate's latent product has.
+NEAR = 0.2
+#: Share of an item's words, in order, that a paraphrase with the item's answer has.
+PARAPHRASE = 0.4
 #: Words of an item's rarest that a place must have; bears on time only.
 SURE = 6
 #: Words handled at once in a task.
@@ -193,6 +202,36 @@ class Needles:
                 yield at + p, probe
 
 
+class Latent:
+    """What each weighted term adds to the latent product with each probe, as a share of the probe's squared norm."""
+
+    def __init__(self, probes: Probes, weight: np.ndarray, basis: np.ndarray):
+        scaled = basis * weight[:-1, None]
+        distinct = [np.unique(ids) for ids in probes.ids]
+        norms = np.array([(weight[d] ** 2).sum() for d in distinct])
+        items = np.array([scaled[d].sum(axis=0) for d in distinct]).reshape(len(distinct), -1)
+        #: Products with probes of unit length; a probe without weighted terms has none.
+        self.kernel = (scaled @ items.T / np.sqrt(np.maximum(norms, 1e-30))).astype(np.float32)
+        self.need = np.where(norms > 0, NEAR * np.sqrt(norms), np.inf).astype(np.float32)
+        self.weighted = weight > 0
+
+    def places(self, chunk: Chunk) -> Iterator[tuple[int, int]]:
+        """Block and probe wherever the passage from that block on is near the probe."""
+        passage, term = _passage_terms(*chunk.terms(self.weighted), chunk.last_of_text)
+        # a term of both its blocks counts once
+        packed = np.unique(passage * np.int64(len(self.kernel) + 1) + term)
+        passage, term = packed // (len(self.kernel) + 1), packed % (len(self.kernel) + 1)
+        for at in range(0, len(passage), 65_536):
+            # passages that begin here, whole
+            low = np.searchsorted(passage, passage[at])
+            high = np.searchsorted(passage, passage[min(at + 65_536, len(passage)) - 1], side="right")
+            some = passage[low:high]
+            heads = np.flatnonzero(np.append(True, some[1:] != some[:-1]))
+            products = np.add.reduceat(self.kernel[term[low:high]], heads, axis=0)
+            for p, probe in zip(*(x.tolist() for x in np.nonzero(products >= self.need)), strict=True):
+                yield int(some[heads[p]]), probe
+
+
 def _masks(ids: list[int]) -> dict[int, int]:
     out: dict[int, int] = {}
     for i, w in enumerate(ids):
@@ -314,11 +353,16 @@ def _product(shared: DataFrame, weight, basis: np.ndarray) -> np.ndarray:
     return out * weight.value[:-1, None]
 
 
-Finder = Callable[[pa.Array], list[tuple[int, object, float, float]]]
+Finder = Callable[[pa.Array], list[tuple[int, object, float, float, int]]]
 
 
 def _finder(rows: DataFrame, probes: Probes) -> Finder:
-    """From a pass over ``rows`` (text): what finds row, item, cover and cosine in a column of texts."""
+    """From a pass over ``rows`` (text): what finds row, item, cover, cosine and ways in a column of texts."""
+    with scratch(rows.sparkSession):
+        return _fitted(rows, probes)
+
+
+def _fitted(rows: DataFrame, probes: Probes) -> Finder:
     context = rows.sparkSession.sparkContext
     vocabulary = context.broadcast(probes.vocabulary)
     terms = len(probes.vocabulary)
@@ -330,17 +374,11 @@ def _finder(rows: DataFrame, probes: Probes) -> Finder:
     for _ in range(2):
         basis = np.linalg.qr(_product(together, weight, basis))[0]
 
-    scaled = basis * weight.value[:terms, None]
-    distinct = [np.unique(ids) for ids in probes.ids]
-    norms = np.array([np.sqrt((weight.value[d] ** 2).sum()) for d in distinct])
-    items = np.array([scaled[d].sum(axis=0) for d in distinct]) / np.maximum(norms, 1e-9)[:, None]
-    # what a term adds to the latent product with each item
-    kernel = (scaled @ items.T).astype(np.float32)
     used = weight.value[weight.value > 0]
     outside = float(used.mean()) ** 2 if len(used) else 0.0
-    shared = context.broadcast((kernel, outside, Needles(probes, seen), probes))
+    shared = context.broadcast((Latent(probes, weight.value, basis), outside, Needles(probes, seen), probes))
 
-    def find(texts: pa.Array) -> list[tuple[int, object, float, float]]:
+    def find(texts: pa.Array) -> list[tuple[int, object, float, float, int]]:
         *latent, known = shared.value
         out = []
         for row, chunk in chunks(texts, known.vocabulary):
@@ -351,11 +389,20 @@ def _finder(rows: DataFrame, probes: Probes) -> Finder:
     return find
 
 
-def _matches(chunk: Chunk, kernel, outside: float, needles: Needles, known: Probes, weight) -> dict:
-    """Best cover and its cosine by (text of the chunk, item)."""
-    found: dict[tuple[int, object], tuple[float, float]] = {}
+#: Ways that propose candidates, added up; and their names.
+BY_LATENT, BY_WORDS = 1, 2
+WAYS = {BY_LATENT: "latent", BY_WORDS: "words", BY_LATENT + BY_WORDS: "both"}
+
+
+def _matches(chunk: Chunk, latent: Latent, outside: float, needles: Needles, known: Probes, weight) -> dict:
+    """Best cover, its cosine and the ways that proposed it by (text of the chunk, item)."""
+    found: dict[tuple[int, object], tuple[float, float, int]] = {}
     masks: dict[int, dict[int, int]] = {}
-    for b, probe in needles.places(chunk):
+    proposed: dict[tuple[int, int], int] = {}
+    for way, places in ((BY_LATENT, latent.places(chunk)), (BY_WORDS, needles.places(chunk))):
+        for place in places:
+            proposed[place] = proposed.get(place, 0) + way
+    for (b, probe), ways in proposed.items():
         text = int(np.searchsorted(chunk.first_block, b, side="right")) - 1
         first, end = chunk.starts[text], chunk.starts[text + 1]
         begin = first + (b - chunk.first_block[text]) * BLOCK
@@ -365,15 +412,16 @@ def _matches(chunk: Chunk, kernel, outside: float, needles: Needles, known: Prob
             masks[probe] = _masks(known.ids[probe])
         cover = lcs(masks[probe], n, chunk.ids[max(low, first) : min(high, end)]) / n
         answer = known.answer[probe]
-        if cover < COVER:
+        if cover < (PARAPHRASE if answer and ways & BY_LATENT else COVER):
             continue
         if answer:
             after = chunk.ids[max(low, first) : min(high + PROBE + len(answer), end)]
-            if lcs(_masks(answer), len(answer), after) < ANSWER * len(answer):
+            if lcs(_masks(answer), len(answer), after) < (ANSWER if cover >= COVER else 1) * len(answer):
                 continue
-        cosine = _cosine(chunk.ids[begin : min(begin + 2 * BLOCK, end)], kernel[:, probe], outside, weight)
+        cosine = _cosine(chunk.ids[begin : min(begin + 2 * BLOCK, end)], latent.kernel[:, probe], outside, weight)
         case = text, known.item[probe]
-        found[case] = max(found.get(case, (0.0, 0.0)), (cover, cosine))
+        best = found.get(case, (0.0, 0.0, 0))
+        found[case] = *max(best[:2], (cover, cosine)), best[2] | ways
     return found
 
 
@@ -411,13 +459,13 @@ def contaminated(
     item_text: str = "text",
     group: int = GROUP,
 ) -> DataFrame:
-    """``key``, ``item``, ``cover`` (share of the item's words in order) and ``cosine`` of every leak."""
+    """``key``, ``item``, ``cover`` (share of the item's words in order), ``cosine`` and ``found_by`` of every leak."""
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     text_items = benchmark.schema[item].dataType.simpleString() == "string"
     item_type = pa.string() if text_items else pa.int64()
     kinds = (
         f"key {rows.schema['key'].dataType.simpleString()}, item {'string' if text_items else 'bigint'}, "
-        "cover double, cosine double"
+        "cover double, cosine double, ways int"
     )
     out = docs.sparkSession.createDataFrame([], kinds)
     for find in _finders(docs, text, benchmark, item, item_text, group):
@@ -425,19 +473,23 @@ def contaminated(
         def report(batches, find=find):
             for batch in batches:
                 found = find(batch.column("text"))
-                row, items, cover, cosine = zip(*found, strict=True) if found else ((), (), (), ())
+                row, items, cover, cosine, ways = zip(*found, strict=True) if found else ((), (), (), (), ())
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("key").take(pa.array(row, pa.int64())),
                         pa.array(items, item_type),
                         pa.array(cover, pa.float64()),
                         pa.array(cosine, pa.float64()),
+                        pa.array(ways, pa.int32()),
                     ],
-                    names=["key", "item", "cover", "cosine"],
+                    names=["key", "item", "cover", "cosine", "ways"],
                 )
 
         out = out.unionByName(rows.mapInArrow(report, kinds))
-    return out.groupBy("key", "item").agg(F.max("cover").alias("cover"), F.max("cosine").alias("cosine"))
+    names = F.create_map(*[F.lit(x) for way in WAYS.items() for x in way])
+    return out.groupBy("key", "item").agg(
+        F.max("cover").alias("cover"), F.max("cosine").alias("cosine"), names[F.bit_or("ways")].alias("found_by")
+    )
 
 
 def drop_contaminated(

@@ -64,7 +64,7 @@ def test_exact_and_reworded(spark, make_docs, odd_pairs):
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")
     frame = make_docs(docs)
     found = d.contaminated(frame, benchmark, group=16)
-    assert found.columns == ["key", "item", "cover", "cosine"]
+    assert found.columns == ["key", "item", "cover", "cosine", "found_by"]
     want = plain(docs, items)
     assert len(want) >= 31
     assert {(r["key"], r["item"]) for r in found.collect()} == want
@@ -82,6 +82,29 @@ def test_answer_must_be_there(spark, make_docs):
     assert [r["key"] for r in d.contaminated(docs, items).collect()] == [1]
 
 
+def test_paraphrase_with_the_answer(spark, make_docs):
+    """Half of the words in order, out of the plain threshold, and the whole answer: only the latent space proposes it."""
+    rng = np.random.default_rng(12)
+    question = [f"q{i}" for i in range(30)]
+    items = spark.createDataFrame([(1, " ".join(question) + " Answer: forty two")], "item_id bigint, text string")
+    half = [w if i % 2 else f"other{i}" for i, w in enumerate(question)]
+    host = prose(rng, 40)
+    docs = make_docs([
+        (1, f"{host} {' '.join(half)} answer forty two {host}"),
+        (2, f"{host} {' '.join(half)} answer forty one {host}"),
+        (3, f"{host} {' '.join(half[:12])} answer forty two {host}"),
+        (4, f"{host} {' '.join(question)} answer forty two"),
+    ] + [(10 + i, prose(rng, 120)) for i in range(40)])
+    found = {r["key"]: r["found_by"] for r in d.contaminated(docs, items).collect()}
+    assert found == {1: "latent", 4: "both"}
+
+
+def test_latent_space_proposes_most_leaks(spark, sf_dir):
+    found = QUERIES["op8_decontamination"](spark, sf_dir.replace("0.001", "0.01")).groupBy("found_by").count().collect()
+    counts = {r["found_by"]: r["count"] for r in found}
+    assert counts.get("words", 0) <= 0.1 * sum(counts.values())
+
+
 def zipf(rng, n):
     return [f"w{int(x)}" for x in rng.zipf(1.2, 3 * n) if x < 20_000][:n]
 
