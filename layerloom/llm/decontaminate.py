@@ -3,8 +3,8 @@
 Texts are words of ASCII-lowered bytes between punctuation and white space, in
 blocks of ``BLOCK`` words; a passage is a block and the next one. The terms are
 the words of the benchmark; a term's weight falls with the root of the number of
-blocks of the corpus it is in, and terms in more than ``COMMON`` of all blocks
-have none, unless they are among the ``RAREST`` of a benchmark item.
+blocks of the corpus it is in, and terms in more than ``COMMON`` of all blocks (and
+more than ``FEW``) have none, unless they are among the ``RAREST`` of a benchmark item.
 
 1. One pass over the texts stores the terms of every document's blocks; each
    term's blocks are counted from that.
@@ -52,6 +52,8 @@ from layerloom.llm.common import cut, scratch, stored
 
 BLOCK = 32
 COMMON = 0.001
+#: Terms in so few blocks have a weight whatever share of all blocks that is.
+FEW = 1000
 RAREST = 12
 PROBE = 64
 GROUP = 256
@@ -144,7 +146,7 @@ class Probes:
 def weights(probes: Probes, seen: np.ndarray, blocks: int) -> np.ndarray:
     """Of each term and, last, zero for words outside the vocabulary; a term of no document has none."""
     out = np.where(seen > 0, 1 / np.sqrt(np.maximum(seen, 1)), 0.0)
-    kept = seen <= COMMON * blocks
+    kept = seen <= max(COMMON * blocks, FEW)
     for ids in probes.ids:
         distinct = np.unique(ids)
         distinct = distinct[seen[distinct] > 0]
