@@ -7,7 +7,8 @@ with every labelled vector there, in blocks of exact cosine products, and the
 ``NEIGHBOURS`` nearest vote with weight ``max(cosine, 0) ** SHARPNESS``.
 
 The labelled rows learned from are the ``SAMPLE`` with the least CRC-32 of their
-key's text (all, if fewer), so their vectors, broadcast, are at most
+key's text (all, if fewer), of labelled keys that have a document; rows equal in key
+and text count once. So their vectors, broadcast, are at most
 ``SAMPLE * RANK`` floats (2 MB). Term statistics come from that sample. Scores
 use the text alone. NULL and empty texts have no terms and get the sample's
 share of label 1, as does every text when nothing is labelled (0.5 then).
@@ -46,7 +47,10 @@ _RUN = re.compile(r"(\W)\1+")
 
 
 def shape(word: str) -> str:
-    """``Abc,`` becomes ``Aa,``; ``ABC!!`` becomes ``A!+``; runs of a symbol are marked."""
+    """``Abc,`` becomes ``Aa,``; ``ABC!!`` becomes ``A!+``; runs of a symbol are marked.
+
+    Shapes that agree in 12 characters are one term, as hashed terms are few anyway.
+    """
     if word.isalpha():  # most words: one run of letters, perhaps with a capital
         if word.islower():
             return "a"
@@ -193,13 +197,15 @@ def fit(
         .agg(F.min(label).alias("label"), F.max(label).alias("most"))
         .where("label = most")
         .select("label_key", "label", F.crc32(F.col("label_key").cast("string")).alias("order"))
-        .orderBy("order", "label_key")
-        .limit(SAMPLE)
     )
+    there = docs.select(F.col(key).alias("there_key"))  # keys alone are read for this
+    marked = marked.join(there, F.col("label_key") == F.col("there_key"), "left_semi")
+    marked = marked.orderBy("order", "label_key").limit(SAMPLE)
     found = (
         docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
         .join(F.broadcast(marked), F.col("key") == F.col("label_key"))  # SAMPLE rows at most
         .select("label", "order", "key", F.md5(F.coalesce("text", F.lit(""))).alias("digest"), "text")
+        .dropDuplicates(["key", "digest"])
     )
     kinds = ", ".join(f"{c} {found.schema[c].dataType.simpleString()}" for c in ("label", "order", "key", "digest"))
     counted = found.mapInArrow(_sparse, f"{kinds}, terms binary, counts binary")

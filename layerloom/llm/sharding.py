@@ -6,14 +6,13 @@ settled per pass from one histogram of at most 4,096 cells per open bucket, so
 the number of passes is the depth of the directory divided by twelve.
 
 A bucket with one row is never split. Rows equal in key and whole text cannot be
-parted by any bit: if they still exceed the limit at the last bit, equal rows are
-counted and dealt out to overflow pages, as extendible hashing does for equal
-keys. NULL keys and texts hash as empty; an empty table gives no rows.
+parted by any bit: if they still exceed the limit at the last bit, each task deals its
+own out to overflow pages, as extendible hashing does for equal keys. NULL keys and texts hash as empty; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from layerloom.llm.common import HASH_BITS, content_md5, cut, leading_bits, text_or_empty
@@ -73,23 +72,20 @@ def extendible_shards(
     )
     if lower < HASH_BITS:
         return fits
-    pages = (
-        placed.where("leaf is null")
-        .groupBy("row", "size", "h")
-        .agg(F.count("*").alias("copies"))
-        .withColumn("page_rows", F.expr(f"greatest(1, {max_bytes} div size)"))
-        .select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("nth"))
-        .select(
-            "row",
-            "size",
-            F.lit(HASH_BITS).alias("shard_depth"),
-            F.concat_ws(
-                "-",
-                F.lpad(F.bin("h"), HASH_BITS, "0"),
-                F.hex(F.xxhash64("row")),
-                F.expr("nth div page_rows").cast("string"),
-            ).alias("shard"),
-        )
+    # written, so that a row's part and place stay what they are
+    left = cut(placed.where("leaf is null").select("row", "size", "h"))
+    left = left.select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("place"))
+    own = Window.partitionBy("h", "part").orderBy("place")
+    pages = left.select("row", "size", "h", "part", (F.row_number().over(own) - 1).alias("nth")).select(
+        "row",
+        "size",
+        F.lit(HASH_BITS).alias("shard_depth"),
+        F.concat_ws(
+            "-",
+            F.lpad(F.bin("h"), HASH_BITS, "0"),
+            F.col("part").cast("string"),
+            F.expr(f"nth div greatest(1, {max_bytes} div size)").cast("string"),
+        ).alias("shard"),
     )
     return fits.unionByName(pages)
 

@@ -1,7 +1,9 @@
 """Exact top-k inner products by distributed histogram selection.
 
-Components become integers ``floor(256 * x)``, so scores are integers and exact
-(up to 2**53). For a block of queries every vector is scored in every pass:
+Components become integers ``floor(256 * x)``, so scores are integers, and exact: as
+doubles while no score of the block can reach 2**53, as 64-bit integers up to 2**62,
+and as unbounded integers beyond, which is slow. A score of ``MOST``, the largest
+long, or more counts as ``MOST``, one of its negative or less as that. For a block of queries every vector is scored in every pass:
 histograms of the scores, summed up over all tasks, show the bin that holds each
 query's k-th highest score; the next pass counts inside that bin, until bins are
 one score wide. A last pass returns the scores above the k-th, of which there are
@@ -11,8 +13,8 @@ Queries are taken in blocks of about ``QUERY_BLOCK``; a block and its thresholds
 are all that is broadcast or sent to the driver at once. No pair of vectors is
 ever stored or shuffled, only counts per query and bin.
 
-Vectors that are NULL or hold NULL or non-finite components take no part, nor do
-rows with a NULL id. Only vectors of equal length are compared. A candidate with
+Vectors that are NULL or hold NULL or non-finite components (256 times as much
+included) take no part, nor do rows with a NULL id. Only vectors of equal length are compared. A candidate with
 the query's id is the query's own row. Rows equal in id and components are one
 query, but each is a candidate. With fewer than k candidates all are returned.
 """
@@ -29,6 +31,7 @@ from pyspark.sql.window import Window
 from layerloom.llm.common import cut
 
 SCALE = 256
+MOST = (1 << 63) - 1
 BINS = 512
 QUERY_BLOCK = 1024
 #: Queries scored against a batch at once; bounds memory only.
@@ -41,6 +44,8 @@ def quantised(vectors: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     lengths = np.array(pc.fill_null(pc.list_value_length(vectors), -1))
     flat = vectors.flatten()  # without what NULL rows hide
     values = np.asarray(flat.cast(pa.float64()).to_numpy(zero_copy_only=False), np.float64)
+    with np.errstate(over="ignore"):
+        values = np.floor(SCALE * values) + 0.0  # no negative zero
     sized = np.maximum(lengths, 0)
     owner = np.repeat(np.arange(len(lengths)), sized)
     bad = lengths < 0
@@ -49,7 +54,7 @@ def quantised(vectors: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     out = []
     for length in np.unique(lengths[~bad]):
         rows = np.flatnonzero(~bad & (lengths == length))
-        out.append((rows, np.floor(SCALE * values[starts[rows][:, None] + np.arange(length)])))
+        out.append((rows, values[starts[rows][:, None] + np.arange(length)]))
     return out
 
 
@@ -58,25 +63,35 @@ def _quantise(batches):
         ids, vectors = [], []
         for rows, whole in quantised(batch.column("vector")):
             ids.append(batch.column("id").take(pa.array(rows)))
-            vectors += list(whole.astype(np.int64))
+            vectors += list(whole)
         if ids:
             yield pa.RecordBatch.from_arrays(
-                [pa.concat_arrays(ids), pa.array(vectors, pa.list_(pa.int64()))], names=["id", "vector"]
+                [pa.concat_arrays(ids), pa.array(vectors, pa.list_(pa.float64()))], names=["id", "vector"]
             )
 
 
+def _whole(values: np.ndarray, kind: type) -> np.ndarray:
+    """Whole doubles as numbers of a kind that products are exact in."""
+    if kind is not object:
+        return values.astype(kind)
+    return np.array([int(v) for v in values.ravel()], object).reshape(values.shape)
+
+
 class Queries:
     """A block of queries, with the range of scores that holds each one's k-th highest."""
 
-    def __init__(self, rows: list, largest: int, k: int):
+    def __init__(self, rows: list, largest: float, k: int):
+        bound = [min(MOST, sum(int(abs(v)) for v in r["vector"]) * int(largest)) for r in rows]
+        most = max(bound, default=0)
+        self.kind = np.float64 if most < 1 << 53 else np.int64 if most < 1 << 62 else object
         self.ids = np.array([r["id"] for r in rows], np.int64)
         lengths = np.array([len(r["vector"]) for r in rows])
         self.by_length = {
-            int(n): (at := np.flatnonzero(lengths == n), np.array([rows[i]["vector"] for i in at], np.float64))
+            int(n): (at := np.flatnonzero(lengths == n), _whole(np.array([rows[i]["vector"] for i in at], np.float64), self.kind))
             for n in np.unique(lengths)
         }
-        bound = np.array([sum(map(abs, r["vector"])) * largest for r in rows], np.int64)
-        self.low, self.high = -bound, bound + 1  # scores are in [low, high)
+        bounds = np.array(bound, object if self.kind is object else np.int64)
+        self.low, self.high = -bounds, bounds + 1  # scores are in [low, high)
         self.rest = np.full(len(rows), k)  # how many of the highest are at or below the range's top
         self.all = np.zeros(len(rows), bool)  # fewer than k candidates
 
@@ -86,18 +101,21 @@ class Queries:
 
     @property
     def open(self) -> np.ndarray:
-        return ~self.all & (self.high - self.low > 1)
+        return ~self.all & np.array(self.high - self.low > 1, bool)
 
     def scored(self, ids: np.ndarray, vectors: pa.Array, wanted: np.ndarray):
-        """Blocks of scores: query indices, candidate rows, scores (NaN for a query's own row)."""
+        """Blocks of scores: query indices, candidate rows, scores, and which of these aren't a query's own row."""
         for rows, candidates in quantised(vectors):
             which, matrix = self.by_length.get(candidates.shape[1], (np.zeros(0, np.int64), None))
             use = np.flatnonzero(wanted[which])
+            candidates = _whole(candidates, self.kind) if len(use) else candidates
             for at in range(0, len(use), SCORED):
                 part = use[at : at + SCORED]
+                others = self.ids[which[part]][:, None] != ids[rows][None, :]
                 scores = matrix[part] @ candidates.T
-                scores[self.ids[which[part]][:, None] == ids[rows][None, :]] = np.nan
-                yield which[part], rows, scores
+                if self.kind is object:
+                    scores = np.maximum(np.minimum(scores, MOST), -MOST)
+                yield which[part], rows, scores, others
 
 
 def _histogram(queries):
@@ -106,10 +124,11 @@ def _histogram(queries):
         wanted, width = block.open, block.width
         total: dict[int, np.ndarray] = {}
         for batch in batches:
-            for which, _, scores in block.scored(batch.column("id").to_numpy(), batch.column("vector"), wanted):
-                bins = np.floor((scores - block.low[which][:, None]) / width[which][:, None])
-                inside = (scores >= block.low[which][:, None]) & (scores < block.high[which][:, None])
-                flat = (np.arange(len(which))[:, None] * BINS + np.where(inside, bins, 0)).astype(np.int64)[inside]
+            for which, _, scores, others in block.scored(batch.column("id").to_numpy(), batch.column("vector"), wanted):
+                low, high, wide = (a[which][:, None] for a in (block.low, block.high, width))
+                inside = others & np.array((scores >= low) & (scores < high), bool)
+                bins = ((scores - low) // wide)[inside].astype(np.int64)
+                flat = np.nonzero(inside)[0] * BINS + bins
                 counts = np.bincount(flat, minlength=len(which) * BINS).reshape(len(which), BINS)
                 for q, row in zip(which.tolist(), counts, strict=True):
                     total[q] = total[q] + row if q in total else row
@@ -130,10 +149,10 @@ def _select(queries):
         for batch in batches:
             ids = batch.column("id").to_numpy()
             out = [np.zeros(0, np.int64)] * 3
-            for which, rows, scores in block.scored(ids, batch.column("vector"), wanted):
-                floor = np.where(block.all[which], -np.inf, block.low[which])[:, None]
-                q, c = np.nonzero(scores > floor)
-                tie_q, tie_c = np.nonzero(scores == floor)
+            for which, rows, scores, others in block.scored(ids, batch.column("vector"), wanted):
+                every, floor = block.all[which][:, None], block.low[which][:, None]
+                q, c = np.nonzero(others & (every | np.array(scores > floor, bool)))
+                tie_q, tie_c = np.nonzero(others & ~every & np.array(scores == floor, bool))
                 # of equal scores only as many of the smallest ids as there is room for
                 order = np.lexsort((ids[rows[tie_c]], tie_q))
                 tie_q, tie_c = tie_q[order], tie_c[order]
@@ -184,14 +203,15 @@ def top_k(
     rows = vectors.select(
         F.col(id).cast("bigint").alias("id"), F.col(vector).alias("vector"), is_query.alias("asks")
     ).where("id is not null and vector is not null")
-    kind = "id bigint, vector array<bigint>"
+    kind = "id bigint, vector array<double>"
     queries = cut(rows.where("asks").select("id", "vector").mapInArrow(_quantise, kind).distinct())
     rows = rows.select("id", "vector")
-    largest = rows.mapInArrow(_largest, "most bigint").agg(F.max("most")).first()[0] or 0
+    largest = rows.mapInArrow(_largest, "most double").agg(F.max("most")).first()[0] or 0
     blocks = -(-queries.count() // block)
     out = None
     for n in range(blocks):
-        some = queries.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == n).orderBy("id").collect()
+        # by id and components: also vectors that share an id go to all blocks
+        some = queries.where(F.pmod(F.xxhash64("id", "vector"), F.lit(blocks)) == n).orderBy("id").collect()
         asked = Queries(some, largest, k)
         while asked.open.any():
             _refine(rows, asked)
@@ -207,8 +227,8 @@ def top_k(
 
 
 def _largest(batches):
-    most = 0
+    most = 0.0
     for batch in batches:
         for _, whole in quantised(batch.column("vector")):
-            most = max(most, int(np.abs(whole).max(initial=0)))
-    yield pa.RecordBatch.from_arrays([pa.array([most], pa.int64())], names=["most"])
+            most = max(most, float(np.abs(whole).max(initial=0)))
+    yield pa.RecordBatch.from_arrays([pa.array([most], pa.float64())], names=["most"])

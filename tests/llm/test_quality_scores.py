@@ -2,6 +2,7 @@
 
 import zlib
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from layerloom.llm import quality
@@ -45,10 +46,17 @@ def test_nothing_labelled(make_docs, odd_pairs, spark):
     assert {r["score"] for r in quality.scores(docs, quality.fit(docs, none)).select("score").collect()} == {0.5}
 
 
+def test_the_sample_is_of_labelled_documents(spark, make_docs, monkeypatch):
+    """Labels of absent documents and repeated rows take no place in it."""
+    monkeypatch.setattr(quality, "SAMPLE", 30)
+    pairs = [(1, "one repeated text")] * 200 + [(i, f"text number {i} here") for i in range(2, 60)]
+    labels = [(i, i % 2) for i in range(1, 60)] + [(i, 1) for i in range(1000, 4000)]
+    model = quality.fit(make_docs(pairs), spark.createDataFrame(labels, "doc_id bigint, quality int"))
+    assert len(model.vectors) == 30 and len(np.unique(np.round(model.vectors, 5), axis=0)) > 20
+
+
 def test_scores_are_votes_of_the_nearest():
     """Against a search that sorts every cosine."""
-    import numpy as np
-
     rng = np.random.default_rng(0)
     texts = [" ".join(rng.choice(["ab", "cd", "EF", "g1", "h!!", "ij,"], 12, p=p)) for p in rng.dirichlet([0.5] * 6, 120)]
     terms = quality._Terms()

@@ -1,6 +1,9 @@
 """Queries with SQL against it, and the same SQL at limits that make small tables branch."""
 
+import math
+
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,6 +67,14 @@ def test_shards_of_odd_rows(spark, make_docs, odd_pairs):
     assert sharding.with_shards(docs.limit(0)).count() == 0
 
 
+def test_pages_of_rows_with_maps(spark):
+    same = spark.range(40).select(F.lit(1).alias("doc_id"), F.lit("x" * 50).alias("text"), F.create_map("id", "id").alias("m"))
+    docs = same.repartition(3).unionByName(spark.range(5).select((F.col("id") + 9).alias("doc_id"), F.lit("y").alias("text"), F.create_map("id", "id").alias("m")))
+    out = sharding.with_shards(docs, max_bytes=120)
+    rows = out.groupBy("shard").agg(F.sum(F.length("text")).alias("n"), F.count("*").alias("rows")).collect()
+    assert all(r["n"] <= 120 for r in rows) and sum(r["rows"] for r in rows) == 45
+
+
 def test_written_shards_read_back(spark, make_docs, odd_pairs, tmp_path):
     docs = make_docs(odd_pairs).select("doc_id", "text")
     sharding.write_shards(docs, str(tmp_path / "out"), max_bytes=400)
@@ -140,4 +151,27 @@ def test_top_k_of_odd_vectors(spark):
     out = topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=5, block=3)
     assert differences(out, con, OP2) is None
     assert topk.top_k(vectors.limit(0), F.col("vec_id") % 50 == 0, k=5).count() == 0
-    assert set(CLASHING)
+    clashing = vectors.select("vec_id", "embedding", *[F.lit("x").alias(c) for c in CLASHING if c != "id"], F.lit(1).alias("id"))
+    assert differences(topk.top_k(clashing, F.col("vec_id") % 50 == 0, k=5), con, OP2) is None
+
+
+@pytest.mark.parametrize("size", [1e5, 1e6, 3e6, 1e8, 1e18])
+def test_top_k_of_large_components(spark, size):
+    """Scores beyond 2**53, beyond a long too, against Python's own integers."""
+    rng = np.random.default_rng(5)
+    rows = [(i, (rng.standard_normal(64) * size).tolist()) for i in range(60)]
+    out = topk.top_k(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), F.col("vec_id") % 20 == 0, k=5)
+    whole = {i: [math.floor(256 * x) for x in v] for i, v in rows}
+    want = []
+    for q in (0, 20, 40):
+        scores = {i: sum(a * b for a, b in zip(whole[q], whole[i])) for i in whole if i != q}
+        scored = sorted((-max(-topk.MOST, min(s, topk.MOST)), i) for i, s in scores.items())
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:5])]
+    assert sorted(tuple(r) for r in out.collect()) == want
+
+
+def test_vectors_that_share_an_id_are_dealt_to_blocks(spark):
+    rows = [(50, [float(i), 1.0]) for i in range(40)] + [(i, [1.0, float(i)]) for i in range(1, 30)]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    one = topk.top_k(vectors, F.col("vec_id") == 50, k=3)
+    assert sorted(map(tuple, topk.top_k(vectors, F.col("vec_id") == 50, k=3, block=4).collect())) == sorted(map(tuple, one.collect()))
