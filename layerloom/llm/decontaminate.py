@@ -219,19 +219,27 @@ class Latent:
 
     def places(self, chunk: Chunk) -> Iterator[tuple[int, int]]:
         """Block and probe wherever the passage from that block on is near the probe."""
-        passage, term = _passage_terms(*chunk.terms(self.weighted), chunk.last_of_text)
-        # a term of both its blocks counts once
-        packed = np.unique(passage * np.int64(len(self.kernel) + 1) + term)
-        passage, term = packed // (len(self.kernel) + 1), packed % (len(self.kernel) + 1)
-        for at in range(0, len(passage), 65_536):
-            # passages that begin here, whole
-            low = np.searchsorted(passage, passage[at])
-            high = np.searchsorted(passage, passage[min(at + 65_536, len(passage)) - 1], side="right")
-            some = passage[low:high]
-            heads = np.flatnonzero(np.append(True, some[1:] != some[:-1]))
-            products = np.add.reduceat(self.kernel[term[low:high]], heads, axis=0)
+        block, term = chunk.terms(self.weighted)
+        n_blocks, wide = len(chunk.last_of_text), np.int64(len(self.weighted))
+        packed = block * wide + term
+        following = np.searchsorted(packed, packed + wide)
+        both = packed[np.minimum(following, len(packed) - 1)] == packed + wide if len(packed) else packed == 0
+        for at in range(0, n_blocks, 4096):
+            size = min(4096, n_blocks - at)
+            low, high = np.searchsorted(block, [at, at + size + 1])
+            sums = np.zeros((size + 1, len(self.need)), np.float32)
+            if low < high:
+                some = block[low:high]
+                heads = np.flatnonzero(np.append(True, some[1:] != some[:-1]))
+                sums[some[heads] - at] = np.add.reduceat(self.kernel[term[low:high]], heads, axis=0)
+            joins = ~chunk.last_of_text[at : at + size]
+            products = sums[:-1] + sums[1:] * joins[:, None]
+            # a term of both blocks counts once
+            again = low + np.flatnonzero(both[low:high] & (block[low:high] < at + size))
+            again = again[joins[block[again] - at]]
+            np.subtract.at(products, block[again] - at, self.kernel[term[again]])
             for p, probe in zip(*(x.tolist() for x in np.nonzero(products >= self.need)), strict=True):
-                yield int(some[heads[p]]), probe
+                yield at + p, probe
 
 
 def _masks(ids: list[int]) -> dict[int, int]:
