@@ -81,9 +81,6 @@ class Run:
             }
         )
 
-    def write(self, zone: str, table: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
-        return store.write_version(df, self.layers.table(zone, table), self.batch.run_id, partition_by)
-
     def load(self, zone: str) -> dict[str, DataFrame]:
         """Valid rows of every entity as an earlier step left them; an error if one is absent."""
         stored = {
@@ -108,10 +105,16 @@ def _store_split(run: Run, zone: str, step: str, spec: SourceSpec, flagged: Data
     """Write valid and rejected rows in one pass; return the valid scan and both counts.
 
     The split is a partition of the written table, so reading one half skips
-    the other's files. Counts come from what was written, which a retried task
-    cannot inflate.
+    the other's files. Counts are taken while it is written and held against the
+    files, so a retried task cannot inflate them.
     """
-    written = run.write(zone, spec.name, flagged, partition_by=("rejected",))
+    written, counts = store.write_observed(
+        flagged,
+        run.layers.table(zone, spec.name),
+        run.batch.run_id,
+        ("rejected",),
+        rejects=F.count_if("rejected"),
+    )
     records = quality.reject_records(
         written,
         run_id=run.batch.run_id,
@@ -127,8 +130,7 @@ def _store_split(run: Run, zone: str, step: str, spec: SourceSpec, flagged: Data
         pipeline_step=step,
         table_name=spec.name,
     )
-    counts = {row["rejected"]: row["count"] for row in written.groupBy("rejected").count().collect()}
-    return quality.valid_rows(written), counts.get(False, 0), counts.get(True, 0)
+    return quality.valid_rows(written), counts["rows"] - counts["rejects"], counts["rejects"]
 
 
 def to_bronze(run: Run, read: Callable[[SparkSession, str, SourceSpec], DataFrame] = read_by_header) -> dict[str, DataFrame]:

@@ -10,7 +10,8 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ZONES = ("raw", "bronze", "silver", "gold", "ops", "export")
@@ -70,6 +71,23 @@ def write_version(
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_observed(
+    df: DataFrame, table_path: str, version: str, partition_by: Sequence[str] = (), **measures: Column
+) -> tuple[DataFrame, dict[str, int]]:
+    """``write_version``, and ``rows`` and ``measures`` of what passed by while it was written.
+
+    A task that ran twice passed by twice, so the rows are held against the written
+    files' footers; only if they differ are the measures taken from the files.
+    """
+    counted = [F.count(F.lit(1)).alias("rows"), *[m.alias(name) for name, m in measures.items()]]
+    seen = Observation()
+    written = write_version(df.observe(seen, *counted), table_path, version, partition_by)
+    found = dict(seen.get)
+    if found["rows"] != written.count():  # reads footers alone
+        found = written.agg(*counted).first().asDict()
+    return written, found
+
+
 def read_current(spark: SparkSession, table_path: str, before: str | None = None) -> DataFrame:
     """The latest complete load, or the latest before a given version."""
     versions = _versions_before(spark, table_path, before)

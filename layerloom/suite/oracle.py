@@ -360,6 +360,21 @@ ORACLES = {
     "named_views": """SELECT 'patients' AS of_view, gender AS name, count(*) AS n FROM merged WHERE is_current GROUP BY 2
        UNION ALL SELECT 'catalog', stage, count(*) FROM dim_catalog GROUP BY 2
        UNION ALL SELECT 'providers', specialty, count(*) FROM providers GROUP BY 2""",
+    "audit_observed": """SELECT 'raw_to_bronze' AS pipeline_step, 'encounters' AS table_name, count(*) AS source_count,
+       count(*) FILTER (reject_reasons = '') AS valid_count, count(*) FILTER (reject_reasons <> '') AS reject_count
+       FROM bronze_flagged""",
+    "profile_merged": "\nUNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count,
+       CAST({f'min({c})' if number else 'NULL'} AS DOUBLE) AS min_number,
+       CAST({f'max({c})' if number else 'NULL'} AS DOUBLE) AS max_number,
+       {'CAST(NULL AS VARCHAR)' if number else f'min({c})'} AS min_text, true AS within_5_percent FROM documents"""
+        for c, number in (("doc_id", True), ("text", False), ("lang", False), ("source", False), ("n_chars", True))
+    ),
+    "fact_from_buckets": "SELECT encounter_id, patient_sk, cancer_sk FROM fact_one",
+    "masked_view_analyst": """SELECT substr(CAST(patient_id AS VARCHAR), 1, 3) || '****' AS patient_id,
+       'REDACTED' AS patient_name, gender, CAST(bmi AS DOUBLE) AS bmi, smoking_status, age FROM patients""",
+    "masked_view_admin": """SELECT CAST(patient_id AS VARCHAR) AS patient_id, patient_name, gender,
+       CAST(bmi AS DOUBLE) AS bmi, smoking_status, age FROM patients""",
     "preview_rows": """SELECT * REPLACE (CAST(encounter_date AS VARCHAR) AS encounter_date,
        CAST(treatment_response_score AS DOUBLE) AS treatment_response_score)
        FROM (SELECT * FROM encounters ORDER BY encounters.encounter_date, encounter_id LIMIT 25)""",

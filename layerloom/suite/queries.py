@@ -14,12 +14,22 @@ from layerloom.functions.text import alias_missing, strip_name_counter, trim_str
 from layerloom.operators import quality, scd2, star
 from layerloom.operators.dedupe import drop_exact_duplicates, first_per_key, latest_per_key
 from layerloom.operators.keys import dense_key
-from layerloom.operators.masking import MaskPolicy, PATIENT_POLICIES, apply_masks, as_role, pattern_mask, redact
+from layerloom.operators.masking import (
+    PATIENT_POLICIES,
+    MaskPolicy,
+    apply_masks,
+    as_role,
+    masked_view,
+    pattern_mask,
+    reading_as,
+    redact,
+)
 from layerloom.operators.staging import staged_path
 from layerloom.plans import factorised, marts, metrics, reports, rollup
 from layerloom.sources.commits import CommitLog, TableEntry
 from layerloom.plans.pipeline import register_views
 from layerloom.sources import layers as store
+from layerloom.sources.buckets import store_bucketed
 from layerloom.sources.delimited import read_by_header, read_by_position, with_lineage, write_csv
 from layerloom.sources.specs import BRONZE_REASON, ENCOUNTERS, SILVER_REASON, SourceSpec, bronze_text, typed
 from layerloom.sources.versioned import VersionedDimension
@@ -184,6 +194,34 @@ def named_views(spark, d):
     )
 
 
+@query
+def audit_observed(spark, d):
+    """Counts of a split, taken while it is written."""
+    path = store.Layers(staged_path(spark, "lake")).table("bronze", "encounters")
+    flagged = _bronze_flagged(spark, d)
+    _, counts = store.write_observed(flagged, path, "1", ("rejected",), rejects=F.count_if("rejected"))
+    rows = [("raw_to_bronze", "encounters", counts["rows"], counts["rows"] - counts["rejects"], counts["rejects"])]
+    return spark.createDataFrame(
+        rows, "pipeline_step string, table_name string, source_count bigint, valid_count bigint, reject_count bigint"
+    )
+
+
+@query
+def profile_merged(spark, d):
+    """Profiles of four loads of the documents, stored and merged; estimates are held against the exact counts."""
+    docs = r.table(spark, d, "documents")
+    folder = staged_path(spark, "profiles")
+    for load in range(4):
+        part = docs.where(F.pmod("doc_id", F.lit(4)) == load)
+        quality.profile_sketches(part, str(load)).write.mode("append").parquet(folder)
+    merged = quality.merged_profile(spark.read.parquet(folder))
+    exact = quality.profile(docs).select("column_name", "distinct_count")
+    close = F.abs(F.col("approx_distinct") - F.col("distinct_count")) <= 0.05 * F.col("distinct_count")
+    return merged.join(exact, "column_name").select(
+        "column_name", "row_count", "null_count", "min_number", "max_number", "min_text", close.alias("within_5_percent")
+    )
+
+
 @query
 def preview_rows(spark, d):
     """The first 25 encounters by date."""
@@ -509,6 +547,21 @@ def fact_encounters_one_split(spark, d):
     return r.fact(spark, d, rows_per_task=3, sample_rate=1.0, broadcast=False)
 
 
+def _bucketed(spark, df, key: str) -> DataFrame:
+    return store_bucketed(df, staged_path(spark, f"by-{key}"), [key], 16)
+
+
+@query
+def fact_from_buckets(spark, d):
+    """Patient and cancer keys of every encounter, looked up bucket by bucket."""
+    visits = _bucketed(spark, r.encounters(spark, d).select("encounter_id", "patient_id"), "patient_id")
+    people = _bucketed(spark, r.dim_patients(spark, d).select("patient_id", "patient_sk"), "patient_id")
+    cancers = first_per_key(r.dim_catalog(spark, d).select("patient_id", "cancer_type", "cancer_sk"), ["patient_id"], ["cancer_type"])
+    cancers = _bucketed(spark, cancers.drop("cancer_type"), "patient_id")
+    rows = visits.hint("merge").join(people, "patient_id", "left").hint("merge").join(cancers.hint("merge"), "patient_id", "left")
+    return rows.select("encounter_id", "patient_sk", "cancer_sk")
+
+
 @query
 def bridge_encounter_provider(spark, d):
     return star.bridge_encounter_provider(r.fact(spark, d))
@@ -789,6 +842,24 @@ def mask_patients(spark, d):
     return apply_masks(named, PATIENT_POLICIES, role="analyst")
 
 
+def _masked_view(spark, d, role: str) -> DataFrame:
+    people = r.patients(spark, d)
+    people.createOrReplaceTempView("stored_patients")
+    masked_view(spark, "patients_for_all", "stored_patients", people.columns, PATIENT_POLICIES)
+    with reading_as(spark, role):
+        return spark.table("patients_for_all")
+
+
+@query
+def masked_view_analyst(spark, d):
+    return _masked_view(spark, d, "analyst")
+
+
+@query
+def masked_view_admin(spark, d):
+    return _masked_view(spark, d, "admin")
+
+
 @query
 def mask_catalog(spark, d):
     return as_role("dim_cancer_catalog", r.catalog(spark, d).withColumn("row_key", F.col("patient_id")))

@@ -4,8 +4,10 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from layerloom.operators import quality
-from plans import rows
+from layerloom.operators import masking, quality
+from layerloom.sources import layers
+from layerloom.sources.buckets import store_bucketed
+from plans import physical_plan, rows
 
 
 @pytest.fixture
@@ -91,3 +93,60 @@ def test_profile(spark):
 
 def test_preview(spark):
     assert rows(quality.preview(spark.range(10), ["id"], 2), "id") == [(0,), (1,)]
+
+
+def test_profiles_of_loads_merge(spark):
+    df = spark.range(1000).selectExpr(
+        "id % 700 AS n", "if(id % 9 = 0, NULL, concat('v', id % 50)) AS `odd``name`"
+    )
+    parts = [quality.profile_sketches(df.where(f"n % 3 = {i}"), str(i)) for i in range(3)] + [quality.profile_sketches(df.limit(0), "none")]
+    sketches = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    found = {r.column_name: r for r in quality.merged_profile(sketches).collect()}
+    assert found["n"].row_count == 1000 and (found["n"].min_number, found["n"].max_number) == (0.0, 699.0)
+    assert abs(found["n"].approx_distinct - 700) <= 35 and found["n"].min_text is None
+    odd = found["odd`name"]
+    assert (odd.null_count, odd.approx_distinct, odd.min_text, odd.max_text) == (112, 50, "v0", "v9")
+    exact = {r.column_name: r.distinct_count for r in quality.profile(df).collect()}
+    assert exact == {"n": 700, "odd`name": 50}
+
+
+def test_counts_are_taken_while_writing(spark, tmp_path, monkeypatch):
+    rows = spark.range(100).withColumn("rejected", F.col("id") % 4 == 0)
+    written, counts = layers.write_observed(rows, str(tmp_path / "t"), "1", ("rejected",), rejects=F.count_if("rejected"))
+    assert counts == {"rows": 100, "rejects": 25} and written.count() == 100
+    # a task that was counted twice is found out by the files
+    class Twice:
+        get = {"rows": 130, "rejects": 40}
+
+    monkeypatch.setattr(layers, "Observation", lambda: Twice())
+    monkeypatch.setattr(type(rows), "observe", lambda self, *a: self)
+    assert layers.write_observed(rows, str(tmp_path / "t"), "2", rejects=F.count_if("rejected"))[1] == {"rows": 100, "rejects": 25}
+
+
+def test_one_masked_view_serves_every_role(spark):
+    df = spark.createDataFrame([(12345, "Ann", 1), (7, None, 2)], "patient_id int, patient_name string, n int")
+    df.createOrReplaceTempView("masked_rows")
+    masking.masked_view(spark, "masked_one", "masked_rows", df.columns, masking.PATIENT_POLICIES)
+    hidden = [("123****", "REDACTED", 1), ("7****", "REDACTED", 2)]
+    assert rows_of(spark.table("masked_one")) == hidden  # who says nothing sees masks
+    with masking.reading_as(spark, "admin"):
+        open_ = spark.table("masked_one")
+        with masking.reading_as(spark, "it's \\ nobody"):
+            assert rows_of(spark.table("masked_one")) == hidden
+        assert rows_of(spark.table("masked_one")) == [("12345", "Ann", 1), ("7", None, 2)]
+    assert rows_of(spark.table("masked_one")) == hidden
+    assert rows_of(open_) == [("12345", "Ann", 1), ("7", None, 2)]  # as resolved
+
+
+def rows_of(df):
+    return [tuple(r) for r in df.orderBy("n").collect()]
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    a = store_bucketed(spark.range(500).selectExpr("id % 90 AS k", "id AS v"), str(tmp_path / "a"), ["k"], 8)
+    b = store_bucketed(spark.range(90).selectExpr("id AS k", "id * 2 AS w"), str(tmp_path / "b"), ["k"], 8)
+    joined = a.hint("merge").join(b, "k", "left")
+    plan = physical_plan(joined)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert joined.count() == 500 and joined.where("w = 2 * k").count() == 500
+    assert "Exchange" not in physical_plan(a.groupBy("k").count())
