@@ -348,7 +348,7 @@ ORACLES = {
        FROM patients""",
     "latest_load": """SELECT * REPLACE (CAST(encounter_date AS VARCHAR) AS encounter_date,
        CAST(treatment_response_score AS DOUBLE) AS treatment_response_score) FROM encounters""",
-    "optional_scan": "SELECT 'there' AS table_name, encounter_id FROM encounters",
+    "scan_if_loaded": "SELECT 'there' AS table_name, encounter_id FROM encounters",
     "audit_newest_first": """SELECT run_id AS pipeline_run_id, 'raw_to_bronze' AS pipeline_step, table_name,
        CAST(NULL AS BIGINT) AS source_count, CAST(NULL AS BIGINT) AS valid_count, CAST(NULL AS BIGINT) AS reject_count,
        CAST(NULL AS BIGINT) AS duplicate_count, row_count, 'SUCCESS' AS status, recorded_at

@@ -138,7 +138,7 @@ def latest_load(spark, d):
 
 
 @query
-def optional_scan(spark, d):
+def scan_if_loaded(spark, d):
     """A table that was loaded, and one that never was."""
     lake = store.Layers(staged_path(spark, "lake"))
     visits = r.encounters(spark, d)
