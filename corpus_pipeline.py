@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerloom.llm import decontaminate, mixing, quality, sharding, simhash
-from layerloom.llm.common import shared_dir
+from layerloom.llm.common import delete, shared_dir
 from layerloom.llm.queries import learnable, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -55,10 +55,14 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``; the table before the last stage stays for whoever evaluates the result."""
     docs = table(spark, sf_dir, "documents")
     folder = f"{shared_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    before = None
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:  # nothing reads it any more
+            delete(spark, before)
+        before = f"{folder}/{name}"
     return STAGES[-1][1](spark, docs, sf_dir)
