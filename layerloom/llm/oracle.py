@@ -13,24 +13,68 @@ def _templates() -> str:
 
 _WORDS = r"string_split(trim(regexp_replace(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+', ' ', 'g'), ' '), ' ')"
 
+def _telling() -> str:
+    rows = license_scan.telling_bigrams(license_scan.TEMPLATES, license_scan.DEFAULT_THRESHOLD)
+    values = ",\n".join(f"('{a} {b}', {place}, {size})" for a, b, place, size in rows)
+    return f"SELECT * FROM (VALUES\n{values}) AS v(gram, place, size)"
+
+
+_LOW, _HIGH = (f"round(len(wanted) * {f}, 9)" for f in ("0.8 / 1.2", "1.2 / 0.8"))
+
 OP1 = f"""
-WITH docs AS (
-  SELECT doc_id, {_WORDS.format('unit')} AS w FROM (
-    SELECT row_number() OVER () AS r, doc_id, unnest(list_distinct(list_concat([text],
-      list_concat(string_split_regex(text, '\\n[ \\t\\r]*\\n'), string_split(text, chr(10)))))) AS unit
-    FROM documents)),
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents WHERE text IS NOT NULL),
+split AS (
+  SELECT r, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS nth
+  FROM docs),
+lines AS (
+  SELECT r, nth, list_filter({_WORDS.format('line')}, lambda x: x <> '') AS w FROM split),
+placed AS (
+  SELECT r, nth, len(w) AS n, sum(len(w)) OVER (PARTITION BY r ORDER BY nth) AS stop,
+    sum(CASE WHEN len(w) = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY nth) AS paragraph
+  FROM lines),
+whole AS (SELECT r, flatten(list(w ORDER BY nth)) AS w FROM lines GROUP BY r),
+telling AS ({_telling()}),
+hits AS (
+  SELECT r, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS gram,
+    unnest(range(0, len(w) - 1)) AS place_in FROM whole),
+spans AS (
+  SELECT r, stop - n AS start, stop FROM placed
+  UNION SELECT r, min(stop - n), max(stop) FROM placed GROUP BY r, paragraph
+  UNION SELECT r, 0, len(w) FROM whole
+  UNION SELECT r, greatest(place_in - place, 0), least(place_in - place + size, len(w))
+    FROM hits JOIN telling USING (gram) JOIN whole USING (r)),
 units AS (
-  SELECT row_number() OVER () AS u, doc_id,
-    list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS grams FROM docs),
+  SELECT r, start::BIGINT AS start, stop::BIGINT AS stop, w[start::BIGINT + 1:stop::BIGINT] AS w
+  FROM spans JOIN whole USING (r) WHERE stop - start >= 2),
+grams AS (
+  SELECT r, start, stop,
+    list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS grams
+  FROM units),
 known AS (
   SELECT template, licence, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS wanted
   FROM (SELECT template, licence, {_WORDS.format('text')} AS w FROM ({_templates()}))),
-scored AS (
-  SELECT doc_id, licence, 2 * len(list_intersect(grams, wanted)) / (len(grams) + len(wanted)) AS dice
-  FROM units, known
-  WHERE len(grams) > 0 AND len(grams) <= len(wanted) * 2 AND len(wanted) <= len(grams) * 2)
-SELECT doc_id, licence, max(dice) AS dice, count(*) AS n_units
-FROM scored WHERE dice >= {license_scan.DEFAULT_THRESHOLD} GROUP BY doc_id, licence
+rivals AS (
+  SELECT a.template, b.template AS rival FROM known AS a JOIN known AS b ON a.template <> b.template
+    AND 2 * len(list_intersect(a.wanted, b.wanted)) >= least(len(a.wanted), len(b.wanted))),
+shared AS (
+  SELECT r, licence, template, start, stop, len(list_intersect(grams, wanted)) AS shared, len(grams) + len(wanted) AS sizes
+  FROM grams JOIN known ON len(grams) >= {_LOW} AND len(grams) <= {_HIGH} AND stop - start - 1 <= {_HIGH}),
+found AS (
+  SELECT *, 2 * shared / sizes AS dice FROM shared WHERE 2 * shared / sizes >= {license_scan.DEFAULT_THRESHOLD}),
+best AS (
+  SELECT * FROM found AS x WHERE NOT EXISTS (
+    SELECT 1 FROM found AS y
+    WHERE y.r = x.r AND y.template = x.template
+      AND 2 * (least(x.stop, y.stop) - greatest(x.start, y.start)) >= least(x.stop - x.start, y.stop - y.start)
+      AND (-y.dice, y.stop - y.start, y.start) < (-x.dice, x.stop - x.start, x.start)))
+SELECT doc_id, licence, max(dice) AS dice, count(*) AS n_notices
+FROM best AS x JOIN docs USING (r)
+WHERE NOT EXISTS (
+  SELECT 1 FROM best AS y JOIN rivals ON rival = y.template
+  WHERE y.r = x.r AND rivals.template = x.template
+    AND 2 * (least(x.stop, y.stop) - greatest(x.start, y.start)) >= least(x.stop - x.start, y.stop - y.start)
+    AND (-y.shared, -y.dice, y.template) < (-x.shared, -x.dice, x.template))
+GROUP BY doc_id, licence
 """
 
 OP2 = """
