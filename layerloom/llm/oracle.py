@@ -35,24 +35,25 @@ placed AS (
 whole AS (SELECT r, flatten(list(w ORDER BY nth)) AS w FROM lines GROUP BY r),
 telling AS ({_telling()}),
 hits AS (
-  SELECT r, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS gram,
-    unnest(range(0, len(w) - 1)) AS place_in FROM whole),
+  SELECT r, unnest(list_transform(list_zip(w[1:len(w) - 1], w[2:]), lambda p: p[1] || ' ' || p[2])) AS gram,
+    unnest(range(0, len(w) - 1)) AS place_in, len(w) AS n FROM whole),
 spans AS (
   SELECT r, stop - n AS start, stop FROM placed
   UNION SELECT r, min(stop - n), max(stop) FROM placed GROUP BY r, paragraph
   UNION SELECT r, 0, len(w) FROM whole
-  UNION SELECT r, greatest(place_in - place, 0), least(place_in - place + size, len(w))
-    FROM hits JOIN telling USING (gram) JOIN whole USING (r)),
+  UNION SELECT r, greatest(place_in - place, 0), least(place_in - place + size, n)
+    FROM hits JOIN telling USING (gram)),
+known AS (
+  SELECT template, licence, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS wanted
+  FROM (SELECT template, licence, {_WORDS.format('text')} AS w FROM ({_templates()}))),
 units AS (
   SELECT r, start::BIGINT AS start, stop::BIGINT AS stop, w[start::BIGINT + 1:stop::BIGINT] AS w
-  FROM spans JOIN whole USING (r) WHERE stop - start >= 2),
+  FROM spans JOIN whole USING (r)
+  WHERE stop - start >= 2 AND stop - start - 1 <= (SELECT max({_HIGH}) FROM known)),
 grams AS (
   SELECT r, start, stop,
     list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS grams
   FROM units),
-known AS (
-  SELECT template, licence, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS wanted
-  FROM (SELECT template, licence, {_WORDS.format('text')} AS w FROM ({_templates()}))),
 rivals AS (
   SELECT a.template, b.template AS rival FROM known AS a JOIN known AS b ON a.template <> b.template
     AND 2 * len(list_intersect(a.wanted, b.wanted)) >= least(len(a.wanted), len(b.wanted))),
