@@ -444,6 +444,11 @@ ORACLES = {
         + [window_sql(p, f"CAST(hi - INTERVAL {back} AS DATE)") for p, back in PRESETS.items()]
         + [window_sql("Requested", "DATE '1900-01-01'", "DATE '1997-06-30'")]
     ),
+    "date_preset_from_footers": "\nUNION ALL ".join(
+        [window_sql("All Data", "lo")]
+        + [window_sql(p, f"CAST(hi - INTERVAL {back} AS DATE)") for p, back in PRESETS.items()]
+        + [window_sql("Requested", "DATE '1900-01-01'", "DATE '1997-06-30'")]
+    ),
     "filter_values": "\nUNION ALL ".join(
         f"SELECT DISTINCT '{c}' AS filter_name, {c} AS value FROM overview_one WHERE {c} IS NOT NULL"
         for c in ("treatment", "stage", "payment_status")

@@ -26,6 +26,7 @@ from layerloom.operators.masking import (
 )
 from layerloom.operators.staging import staged_path
 from layerloom.plans import factorised, marts, metrics, reports, rollup
+from layerloom.sources.bounds import bounding_rows
 from layerloom.sources.commits import CommitLog, TableEntry
 from layerloom.plans.pipeline import register_views
 from layerloom.sources import layers as store
@@ -738,6 +739,16 @@ def date_preset_window(spark, d):
     return reports.preset_windows(dates).unionByName(asked.withColumn("preset", F.lit("Requested")))
 
 
+@query
+def date_preset_from_footers(spark, d):
+    """The same windows from the bounds in a stored table's footers; no row is read for them."""
+    path = staged_path(spark, "encounter-dates")
+    r.encounters(spark, d).write.parquet(path)
+    dates = bounding_rows(spark, path, "encounter_date")
+    asked = reports.date_window(dates, start=date(1900, 1, 1), end=date(1997, 6, 30))
+    return reports.preset_windows(dates).unionByName(asked.withColumn("preset", F.lit("Requested")))
+
+
 @query
 def filter_values(spark, d):
     return reports.filter_values(r.overview(spark, d))
