@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import csv
+import io
+import re
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +22,13 @@ from layerloom.sources.specs import SourceSpec
 MALFORMED = "malformed_record"
 WELL_FORMED = Rule("malformed record", f"{MALFORMED} IS NOT NULL")
 
+#: Bytes of a file that its header is first looked for in; a longer header is read on.
+HEAD_BYTES = 16_384
+#: Files that the driver has open at once to read their headers.
+OPEN_AT_ONCE = 32
+#: A record up to the line break that ends it; line breaks in quotes are part of it.
+_RECORD = re.compile(r'(?:[^"\r\n]|"[^"]*+")*+(?=[\r\n])')
+
 
 def _scan(spark: SparkSession, paths: str | list[str], columns: Sequence[str], spec: SourceSpec) -> DataFrame:
     """All columns as text. No inference: it costs a pass and makes types depend on the data."""
@@ -35,15 +45,44 @@ def read_by_position(spark: SparkSession, path: str, spec: SourceSpec) -> DataFr
     return _scan(spark, path, spec.columns, spec)
 
 
+def header_fields(text: str, whole: bool) -> tuple[str, ...] | None:
+    """Fields of the first record that is not blank; None if it may go on behind ``text``, not the ``whole`` file."""
+    text = text.lstrip(" \t\r\n")
+    ended = _RECORD.match(text)
+    if not ended and not whole:
+        return None
+    record = ended[0] if ended else text
+    return tuple(next(csv.reader(io.StringIO(record, newline="")), []))
+
+
+def _header(spark: SparkSession, file: str) -> tuple[str, tuple[str, ...]]:
+    """A file's path and header, of which only the first bytes are read."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+    stream = path.getFileSystem(conf).open(path)
+    try:
+        stream = codec.createInputStream(stream) if codec else stream
+        head, size = b"", HEAD_BYTES
+        while True:
+            more = bytes(stream.readNBytes(size))
+            head += more
+            fields = header_fields(head.decode("utf-8-sig", "ignore"), whole=len(more) < size)
+            if fields is not None:
+                return path.toString(), fields
+            size = len(head)  # doubles what is held
+    finally:
+        stream.close()
+
+
 def _files_by_header(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
-    """The files under ``path`` by the names in their first line; one row per file comes to the driver."""
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value"
-    )
-    first = lines.where("start = 0").groupBy("file").agg(F.first("value").alias("line"))
+    """The files under ``path`` by header; blank files have none. Some are open at a time, none is scanned."""
+    files = sorted(spark.read.text(path).inputFiles())
     found: dict[tuple[str, ...], list[str]] = {}
-    for row in first.orderBy("file").collect():
-        found.setdefault(tuple(next(csv.reader([row["line"]]), [])), []).append(row["file"])
+    with ThreadPoolExecutor(OPEN_AT_ONCE) as pool:
+        for file, header in pool.map(lambda f: _header(spark, f), files):
+            if header:
+                found.setdefault(header, []).append(file)
     return found
 
 

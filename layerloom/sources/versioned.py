@@ -1,10 +1,14 @@
 """Versioned dimensions stored so that a batch touches only what it changes.
 
 Current versions lie in folders by ranges of the business key; closed versions are
-only ever added, a folder per load. A batch reads keys and hashes of the current
+added as a folder per load that closed any. As many such folders of one size class as
+``fan_in`` become one of the next class, within the load that fills it up, so a
+dimension of ``n`` loads has at most ``fan_in`` times ``log(n)`` folders of history and
+each closed row is written ``log(n)`` times (to the base ``fan_in``). A batch reads keys and hashes of the current
 versions, finds what changed, and writes anew the ranges that hold a changed or new
 key, with what it closed beside them. Other ranges and all earlier history are
-neither read in full nor written; a batch that changes nothing writes nothing.
+neither read in full nor, but for that merging, written; a batch that changes nothing
+writes nothing.
 
 ``state`` says which folders make up the dimension. It is plain data for a commit's
 facts: a reader of an older state is not disturbed, as no folder is ever rewritten.
@@ -30,6 +34,16 @@ from layerloom.operators.staging import write_through
 ROWS_PER_RANGE = 5_000_000
 #: Bounds looked through at once when a key's range is found.
 STRIDE = 32
+#: Folders of closed versions of one size class that are merged into one.
+FAN_IN = 16
+
+
+def fold_levels(levels: Sequence[int], fan_in: int) -> list[int]:
+    """Size classes, largest first, after one more folder of the least class: full runs count one class up."""
+    out = [*levels, 0]
+    while len(out) >= fan_in and out[-fan_in] == out[-1]:
+        out[-fan_in:] = [out[-1] + 1]
+    return out
 
 
 @dataclass(frozen=True)
@@ -43,6 +57,11 @@ class VersionedDimension:
     sk: str
     rows_per_range: int = ROWS_PER_RANGE
     null_safe_hash: bool = False
+    fan_in: int = FAN_IN
+
+    def __post_init__(self):
+        if self.fan_in < 2:
+            raise ValueError("fan_in is at least 2")
 
     # --- reading -----------------------------------------------------------------
 
@@ -137,7 +156,20 @@ class VersionedDimension:
         total = rows.count()
         bounds = self._bounds(rows, -(-total // self.rows_per_range))
         ranges = self._store(rows, bounds, f"{self.path}/current/load={load}")
-        return {"ranges": ranges, "closed": [], "max_key": total, "schema": rows.schema.json(), "load": load}
+        schema = rows.schema.json()
+        return {"ranges": ranges, "closed": [], "levels": [], "max_key": total, "schema": schema, "load": load}
+
+    def _add_closed(self, state: dict, gone: DataFrame, load: str) -> dict:
+        """The history with ``gone`` as its newest folder, which takes in the folders that it fills a run up of."""
+        closed = state["closed"]
+        # a state of before folders were merged has no classes
+        levels = fold_levels(state.get("levels", [0] * len(closed)), self.fan_in)
+        kept = len(levels) - 1
+        if kept < len(closed):
+            gone = self._read(state, closed[kept:]).unionByName(gone).hint("rebalance")
+        path = f"{self.path}/closed/load={load}"
+        gone.write.mode("overwrite").parquet(path)
+        return {"closed": [*closed[:kept], path], "levels": levels}
 
     def apply(
         self, state: dict | None, incoming: DataFrame, load: str, ts: datetime | str, *, close_missing: bool = False
@@ -170,17 +202,16 @@ class VersionedDimension:
         folder = f"{self.path}/current/load={load}"
         stored = self._split(self._store(rows, bounds, folder), state["schema"], folder)
         ranges = [r for i, r in held.items() if i not in touched] + stored
-        closed = list(state["closed"])
+        history = {}
         if not ended.isEmpty():
             gone = before.join(ended, keys, "left_semi").select(*columns)
             gone = gone.withColumns({"valid_to": batch_time(ts), "is_current": F.lit(False)})
-            closed.append(f"{self.path}/closed/load={load}")
-            gone.write.mode("overwrite").parquet(closed[-1])
+            history = self._add_closed(state, gone, load)
         new = changes.where(F.col("_new").isNotNull()).count()
         return {
             **state,
+            **history,
             "ranges": self._ordered(ranges, before.schema),
-            "closed": closed,
             "max_key": state["max_key"] + new,
             "load": load,
         }

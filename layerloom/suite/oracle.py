@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from layerloom.suite.roles import NEW_KEY_OFFSET, T0, T1
+from layerloom.suite.roles import NEW_KEY_OFFSET, T0, T1, T2
 
 CTES = {
     "patients": """
@@ -341,6 +341,11 @@ ORACLES = {
     "scd2_new_versions": SHOW_DIM.format("new_versions"),
     "scd2_delta_apply": SHOW_DIM.format("merged"),
     "scd2_delta_closed": SHOW_DIM.format("expired"),
+    "scd2_history_merged": SHOW_DIM.format(
+        f"""(SELECT * FROM expired UNION ALL BY NAME
+             SELECT n.* REPLACE ('{T2}' AS valid_to, false AS is_current)
+             FROM new_versions n JOIN dim_patients o USING (patient_id) WHERE n.record_hash <> o.record_hash)"""
+    ),
     "lineage_columns": """SELECT CAST(c_custkey AS VARCHAR) AS customer_key, '20210101000000' AS pipeline_run_id,
        '2021-01-01 00:00:00' AS ingested_at, true AS from_csv FROM customer""",
     "csv_export": """SELECT substr(CAST(patient_id AS VARCHAR), 1, 3) || '****' AS patient_id,

@@ -475,6 +475,18 @@ def scd2_delta_closed(spark, d):
     return dimension.closed(state)
 
 
+@query
+def scd2_history_merged(spark, d):
+    """History of two loads, which the second has made one folder: what the first reset comes back as it was."""
+    keys, tracked, sk, ts = SCD2
+    path = staged_path(spark, "dim-history")
+    dimension = VersionedDimension(spark, path, keys, tracked, sk, rows_per_range=4000, fan_in=2)
+    state = None
+    for load, (snapshot, at) in enumerate([(r.patients, r.T0), (r.patients_next, ts), (r.patients, r.T2)]):
+        state = dimension.apply(state, snapshot(spark, d), str(load), at)
+    return dimension.closed(state)
+
+
 @query
 def manifest_read(spark, d):
     """Two committed sets of tables, and a third load that no reader sees yet."""

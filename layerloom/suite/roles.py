@@ -19,6 +19,7 @@ from layerloom.plans.reports import ReportFilter, filter_overview
 
 T0 = "2020-01-01 00:00:00"
 T1 = "2021-01-01 00:00:00"
+T2 = "2022-01-01 00:00:00"
 PATIENT_TRACKED = ("patient_name", "gender", "bmi", "smoking_status", "age")
 CATALOG_TRACKED = ("icd_code", "stage", "description", "tumor_markers")
 NEW_KEY_OFFSET = 1_000_000_000_000

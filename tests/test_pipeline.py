@@ -1,6 +1,7 @@
 """Landing files through every layer, over two batches."""
 
 import csv
+import gzip
 import json
 import re
 from dataclasses import replace
@@ -13,9 +14,10 @@ from pyspark.sql import functions as F
 from layerloom.operators import quality
 from layerloom.plans.pipeline import Batch, Run, read_gold, register_views, run_pipeline, run_step
 from layerloom.plans.reports import ReportFilter, filter_overview
+from layerloom.sources import delimited
 from layerloom.sources import layers as store
 from layerloom.sources.commits import CommitLog
-from layerloom.sources.delimited import read_by_header, read_by_position
+from layerloom.sources.delimited import header_fields, read_by_header, read_by_position
 from layerloom.sources.layers import Layers
 from layerloom.sources.specs import PATIENTS, PROVIDERS, bronze_text
 from plans import physical_plan, rows
@@ -252,6 +254,42 @@ def test_each_file_of_a_folder_is_read_by_its_own_header(spark, tmp_path):
         read_by_header(spark, str(folder), PROVIDERS)
 
 
+@pytest.mark.parametrize(
+    "text, fields",
+    [
+        ("a,b\n1,2\n", ("a", "b")),
+        ("\r\n \n\na,b\r\n1,2", ("a", "b")),
+        ('"a\nb","c ""d""\r\n",e\n1', ("a\nb", 'c "d"\r\n', "e")),
+        ("a,b", ("a", "b")),
+        ('a,"b\n', ("a", "b\n")),  # never closed
+        ("a\x85b,c\u2028d\n", ("a\x85b", "c\u2028d")),
+        ("", ()),
+        ("\n\n", ()),
+    ],
+)
+def test_header_fields(text, fields):
+    assert header_fields(text, whole=True) == fields
+    # any shorter stretch gives the same or asks for more
+    for n in range(len(text)):
+        assert header_fields(text[:n], whole=False) in (None, fields)
+
+
+def test_headers_of_odd_files(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "odd files%20.csv"
+    folder.mkdir()
+    plain = "Provider ID,Name,Specialty,Location,Years of Experience\n"
+    (folder / "a.csv").write_bytes(b"\xef\xbb\xbf" + plain.encode() + b"D1,Al,onc,X,3\n")
+    (folder / "b.csv.gz").write_bytes(gzip.compress(b"Name,Provider ID,Location,Specialty,Years of Experience\nBo,D2,Y,rad,4\n"))
+    (folder / "c c.csv").write_text('"Provider\nID","Na\u00efve, ""x""",Name,Specialty,Location,Years of Experience\nD3,n,Cy,onc,Z,5\n')
+    (folder / "d.csv").write_text("")
+    (folder / "e.csv").write_text(plain)
+    want = {("D1", "Al", "onc", "X", "3"), ("D2", "Bo", "rad", "Y", "4"), ("D3", "Cy", "onc", "Z", "5")}
+    for size in (16_384, 3):
+        monkeypatch.setattr(delimited, "HEAD_BYTES", size)
+        found = read_by_header(spark, str(folder), replace(PROVIDERS, multiline=True))
+        assert {tuple(r)[:5] for r in found.collect()} == want
+
+
 def test_line_breaks_in_quotes_and_malformed_records(spark, tmp_path):
     path = tmp_path / "providers.csv"
     path.write_text(

@@ -6,7 +6,7 @@ from pathlib import Path
 import pytest
 
 from layerloom.operators.scd2 import scd2_merge, seed_dimension
-from layerloom.sources.versioned import VersionedDimension
+from layerloom.sources.versioned import VersionedDimension, fold_levels
 from plans import rows
 
 KEYS, TRACKED, SK = ["k"], ["v"], "sk"
@@ -95,3 +95,40 @@ def test_an_empty_first_load(spark, tmp_path):
     assert dimension.read(state).count() == 0
     state = dimension.apply(state, snapshot(spark, {1: "a"}), "1", T[1])
     assert dimension.read(state).count() == 1 and state["max_key"] == 1
+
+
+@pytest.mark.parametrize("fan_in", [2, 3, 16])
+def test_levels_count_like_digits(fan_in):
+    levels, sizes = [], []
+    for n in range(1, 400):
+        levels = fold_levels(levels, fan_in)
+        kept = len(levels) - 1
+        sizes = [*sizes[:kept], sum(sizes[kept:]) + 1]
+        assert sizes == [fan_in**level for level in levels] and sum(sizes) == n
+        assert levels == sorted(levels, reverse=True) and max(map(levels.count, levels)) < fan_in
+    with pytest.raises(ValueError):
+        VersionedDimension(None, "", KEYS, TRACKED, SK, fan_in=1)
+
+
+def test_history_stays_in_few_folders(spark, tmp_path):
+    dimension = VersionedDimension(spark, str(tmp_path / "dim"), KEYS, TRACKED, SK, 20, fan_in=2)
+    values = {k: "0" for k in range(40)}
+    state = dimension.apply(None, snapshot(spark, values), "0", T[0])
+    whole = seed_dimension(snapshot(spark, values), KEYS, TRACKED, SK, T[0])
+    for n in range(1, 8):
+        values |= {n: str(n), 0: str(n)}
+        before = state
+        older = rows(dimension.read(before))
+        state = dimension.apply(state, snapshot(spark, values), str(n), T[n])
+        whole = scd2_merge(whole, snapshot(spark, values), KEYS, TRACKED, SK, T[n])
+        assert len(state["closed"]) == len(state["levels"]) == n.bit_count()
+        assert rows(dimension.read(before)) == older  # readers of the older state
+    assert dimension.closed(state).count() == 14
+    assert rows(dimension.read(state)) == rows(whole.select(*dimension.read(state).columns))
+    # a batch without changes, one of new keys alone, and a state of before folders were merged
+    assert dimension.apply(state, snapshot(spark, values), "8", T[8]) is state
+    more = dimension.apply(state, snapshot(spark, values | {99: "n"}), "8", T[8])
+    assert (more["closed"], more["levels"]) == (state["closed"], state["levels"])
+    del state["levels"]
+    last = dimension.apply(state, snapshot(spark, values | {5: "z"}), "9", T[9])
+    assert dimension.closed(last).count() == 15
