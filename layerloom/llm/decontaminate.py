@@ -28,8 +28,9 @@ more than ``FEW``) have none, unless they are among the ``RAREST`` of a benchmar
    which way proposed the row: ``latent``, ``words`` or ``both``.
 
 Items over ``PROBE`` words are searched as several probes, any of which reports
-the item. The benchmark is taken in groups of ``GROUP`` probes, so what is
-broadcast is bounded however many there are. The norm of a passage counts its
+the item. Each group of ``GROUP`` probes has a latent space of its own; as many as
+``GROUPS`` of them share the two passes over the texts, under one vocabulary, so what
+is broadcast is bounded (by 17 MB a group) however many probes there are. The norm of a passage counts its
 words outside the vocabulary at the mean weight. No text is shuffled.
 
 NULL and empty texts and items match nothing. Rows stand alone, so keys may be
@@ -38,10 +39,12 @@ NULL or repeated; a repeated item id is reported once a row.
 
 from __future__ import annotations
 
+import copy
 import re
 import string
 from collections.abc import Callable, Iterator
-from itertools import pairwise
+from dataclasses import dataclass
+from itertools import islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +60,8 @@ FEW = 1000
 RAREST = 12
 PROBE = 64
 GROUP = 256
+#: Groups of probes that the texts are read for at once.
+GROUPS = 8
 OVERSAMPLING = 32
 COVER = 0.7
 ANSWER = 0.8
@@ -94,6 +99,12 @@ class Chunk:
         self.last_of_text = np.zeros(self.first_block[-1], bool)
         self.last_of_text[self.first_block[1:][blocks > 0] - 1] = True
 
+    def narrowed(self, own: np.ndarray) -> Chunk:
+        """The same texts under the term ids of one group of probes; ``own`` has them by id here, the last for -1."""
+        out = copy.copy(self)
+        out.ids = own[self.ids]
+        return out
+
     def terms(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Block and term, once each, of the terms that ``wanted`` marks."""
         at = np.flatnonzero(wanted[self.ids])  # the last mark is that of -1
@@ -299,17 +310,17 @@ def _count_terms(located: DataFrame, terms: int) -> tuple[np.ndarray, int]:
     return out[:-1], int(out[-1])
 
 
-def _shared_passages(located: DataFrame, weight) -> DataFrame:
-    """``i``, ``j`` and ``n``: the sum over passages of the product of both terms' counts."""
+def _shared_passages(located: DataFrame, weight, own) -> DataFrame:
+    """``i``, ``j`` and ``n`` of one group's terms: the sum over passages of the product of both terms' counts."""
 
     def pairs(batches):
-        wanted = weight.value[:-1] > 0
-        terms = np.int64(len(wanted))
+        wanted = (weight.value > 0)[own.value]  # a term of other groups counts as the last, which has no weight
+        terms = np.int64(len(weight.value) - 1)
         held, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for term, size, last in _arrays(batches):
             block = np.repeat(np.arange(len(size)), size)
             use = wanted[term]
-            passage, term = _passage_terms(block[use], term[use].astype(np.int64), last)
+            passage, term = _passage_terms(block[use], own.value[term[use]].astype(np.int64), last)
             packed, apart = [term * terms + term], 1
             while apart < len(term) and (same := passage[apart:] == passage[:-apart]).any():
                 i, j = term[apart:][same], term[:-apart][same]
@@ -366,50 +377,77 @@ def _product(shared: DataFrame, weight, basis: np.ndarray) -> np.ndarray:
 Finder = Callable[[pa.Array], list[tuple[int, object, float, float, int]]]
 
 
-def _finder(rows: DataFrame, probes: Probes) -> Finder:
+@dataclass(frozen=True)
+class Search:
+    """What finds the items of one group of probes; ``own`` has its term ids by those of the texts' chunks."""
+
+    own: np.ndarray
+    probes: Probes
+    weight: np.ndarray
+    outside: float
+    latent: Latent
+    needles: Needles
+
+
+def _finder(rows: DataFrame, groups: list[Probes]) -> Finder:
     """From a pass over ``rows`` (text): what finds row, item, cover, cosine and ways in a column of texts."""
     with scratch(rows.sparkSession):
-        return _fitted(rows, probes)
+        return _fitted(rows, groups)
 
 
-def _fitted(rows: DataFrame, probes: Probes) -> Finder:
+def _fitted(rows: DataFrame, groups: list[Probes]) -> Finder:
     context = rows.sparkSession.sparkContext
-    vocabulary = context.broadcast(probes.vocabulary)
-    terms = len(probes.vocabulary)
-    located = _block_terms(rows, vocabulary)
-    seen, blocks = _count_terms(located, terms)
-    weight = context.broadcast(weights(probes, seen, blocks))
-    together = _shared_passages(located, weight)
-    basis = np.random.default_rng(8).standard_normal((terms, min(terms, len(probes.ids) + OVERSAMPLING)))
-    for _ in range(2):
-        basis = np.linalg.qr(_product(together, weight, basis))[0]
-
-    used = weight.value[weight.value > 0]
-    outside = float(used.mean()) ** 2 if len(used) else 0.0
-    shared = context.broadcast((Latent(probes, weight.value, basis), outside, Needles(probes, seen), probes))
+    every: dict[bytes, int] = {}
+    for probes in groups:
+        for word in probes.vocabulary:
+            every.setdefault(word, len(every))
+    located = _block_terms(rows, context.broadcast(every))
+    seen, blocks = _count_terms(located, len(every))
+    searches = []
+    for probes in groups:
+        terms = np.fromiter(map(every.__getitem__, probes.vocabulary), np.int64, len(probes.vocabulary))
+        own = np.full(len(every) + 1, -1, np.int32)
+        own[terms] = np.arange(len(terms))
+        searches.append(_search(located, probes, own, seen[terms], blocks))
+    shared = context.broadcast((every, searches))
 
     def find(texts: pa.Array) -> list[tuple[int, object, float, float, int]]:
-        *latent, known = shared.value
+        known, searches = shared.value
         out = []
-        for row, chunk in chunks(texts, known.vocabulary):
-            found = _matches(chunk, *latent, known, weight.value)
-            out += [(row[text], item, *best) for (text, item), best in found.items()]
+        for row, chunk in chunks(texts, known):
+            for search in searches:
+                found = _matches(chunk.narrowed(search.own), search)
+                out += [(row[text], item, *best) for (text, item), best in found.items()]
         return out
 
     return find
 
 
+def _search(located: DataFrame, probes: Probes, own: np.ndarray, seen: np.ndarray, blocks: int) -> Search:
+    context = located.sparkSession.sparkContext
+    terms = len(seen)
+    weight = context.broadcast(weights(probes, seen, blocks))
+    together = _shared_passages(located, weight, context.broadcast(own))
+    basis = np.random.default_rng(8).standard_normal((terms, min(terms, len(probes.ids) + OVERSAMPLING)))
+    for _ in range(2):
+        basis = np.linalg.qr(_product(together, weight, basis))[0]
+    used = weight.value[weight.value > 0]
+    outside = float(used.mean()) ** 2 if len(used) else 0.0
+    return Search(own, probes, weight.value, outside, Latent(probes, weight.value, basis), Needles(probes, seen))
+
+
 #: Ways that propose candidates, added up; and their names.
 BY_LATENT, BY_WORDS = 1, 2
 WAYS = {BY_LATENT: "latent", BY_WORDS: "words", BY_LATENT + BY_WORDS: "both"}
 
 
-def _matches(chunk: Chunk, latent: Latent, outside: float, needles: Needles, known: Probes, weight) -> dict:
+def _matches(chunk: Chunk, search: Search) -> dict:
     """Best cover, its cosine and the ways that proposed it by (text of the chunk, item)."""
+    known, latent = search.probes, search.latent
     found: dict[tuple[int, object], tuple[float, float, int]] = {}
     masks: dict[int, dict[int, int]] = {}
     proposed: dict[tuple[int, int], int] = {}
-    for way, places in ((BY_LATENT, latent.places(chunk)), (BY_WORDS, needles.places(chunk))):
+    for way, places in ((BY_LATENT, latent.places(chunk)), (BY_WORDS, search.needles.places(chunk))):
         for place in places:
             proposed[place] = proposed.get(place, 0) + way
     for (b, probe), ways in proposed.items():
@@ -428,7 +466,7 @@ def _matches(chunk: Chunk, latent: Latent, outside: float, needles: Needles, kno
             after = chunk.ids[max(low, first) : min(high + PROBE + len(answer), end)]
             if lcs(_masks(answer), len(answer), after) < (ANSWER if cover >= COVER else 1) * len(answer):
                 continue
-        cosine = _cosine(chunk.ids[begin : min(begin + 2 * BLOCK, end)], latent.kernel[:, probe], outside, weight)
+        cosine = _cosine(chunk.ids[begin : min(begin + 2 * BLOCK, end)], latent.kernel[:, probe], search.outside, search.weight)
         case = text, known.item[probe]
         best = found.get(case, (0.0, 0.0, 0))
         found[case] = *max(best[:2], (cover, cosine)), best[2] | ways
@@ -443,20 +481,18 @@ def _cosine(passage: np.ndarray, kernel: np.ndarray, outside: float, weight) ->
     return float(kernel[term].sum() / np.sqrt(square)) if len(term) else 0.0
 
 
-def _finders(docs: DataFrame, text: str, benchmark: DataFrame, item: str, item_text: str, group: int):
-    """A finder per group of probes; the items are a stated set of queries, read group by group."""
+def _finders(docs: DataFrame, text: str, benchmark: DataFrame, item: str, item_text: str, group: int, groups: int):
+    """A finder per ``groups`` groups of probes; the items are a stated set of queries, read group by group."""
     kind = "string" if benchmark.schema[item].dataType.simpleString() == "string" else "bigint"
     texts = docs.select(F.col(text).cast("string").alias("text"))
     items = benchmark.select(F.col(item).cast(kind).alias("item"), F.col(item_text).cast("string").alias("text"))
-    held = []
-    for row in items.orderBy("item", "text").toLocalIterator():
-        for probe in Probes.split(row["item"], row["text"]):
-            held.append(probe)
-            if len(held) == group:
-                yield _finder(texts, Probes(held))
-                held = []
-    if held:
-        yield _finder(texts, Probes(held))
+    every = (
+        probe
+        for row in items.orderBy("item", "text").toLocalIterator()
+        for probe in Probes.split(row["item"], row["text"])
+    )
+    while held := list(islice(every, group * groups)):
+        yield _finder(texts, [Probes(held[at : at + group]) for at in range(0, len(held), group)])
 
 
 def contaminated(
@@ -468,6 +504,7 @@ def contaminated(
     item: str = "item_id",
     item_text: str = "text",
     group: int = GROUP,
+    groups: int = GROUPS,
 ) -> DataFrame:
     """``key``, ``item``, ``cover`` (share of the item's words in order), ``cosine`` and ``found_by`` of every leak."""
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
@@ -478,7 +515,7 @@ def contaminated(
         "cover double, cosine double, ways int"
     )
     out = docs.sparkSession.createDataFrame([], kinds)
-    for find in _finders(docs, text, benchmark, item, item_text, group):
+    for find in _finders(docs, text, benchmark, item, item_text, group, groups):
 
         def report(batches, find=find):
             for batch in batches:
@@ -510,11 +547,12 @@ def drop_contaminated(
     item: str = "item_id",
     item_text: str = "text",
     group: int = GROUP,
+    groups: int = GROUPS,
 ) -> DataFrame:
-    """The rows of ``docs`` that hold no item of ``benchmark``; they pass by once per group, without a shuffle."""
+    """The rows of ``docs`` that hold no item of ``benchmark``; they pass by once per ``groups`` groups, without a shuffle."""
     rows = docs.select(F.struct("*").alias("row"))
     at_text = docs.columns.index(text)
-    for find in _finders(docs, text, benchmark, item, item_text, group):
+    for find in _finders(docs, text, benchmark, item, item_text, group, groups):
 
         def clean(batches, find=find):
             for batch in batches:

@@ -63,12 +63,14 @@ def test_exact_and_reworded(spark, make_docs, odd_pairs):
     docs.append((300, prose(rng, 50) + " " + " ".join(items[30][1].split()[60:140]) + " " + prose(rng, 50)))
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")
     frame = make_docs(docs)
-    found = d.contaminated(frame, benchmark, group=16)
+    found = d.contaminated(frame, benchmark, group=8, groups=3)  # two passes
     assert found.columns == ["key", "item", "cover", "cosine", "found_by"]
     want = plain(docs, items)
     assert len(want) >= 31
     assert {(r["key"], r["item"]) for r in found.collect()} == want
-    kept = d.drop_contaminated(frame, benchmark, group=16)
+    by_group = d.contaminated(frame, benchmark, group=8, groups=1)
+    assert {tuple(r)[:3] for r in by_group.collect()} == {tuple(r)[:3] for r in found.collect()}
+    kept = d.drop_contaminated(frame, benchmark, group=8, groups=3)
     assert kept.columns == frame.columns
     hit = {k for k, _ in want}
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(str(k) for k, _ in docs if k not in hit)
@@ -99,6 +101,19 @@ def test_paraphrase_with_the_answer(spark, make_docs):
     assert found == {1: "latent", 4: "both"}
 
 
+def test_texts_are_read_for_many_groups_at_once(spark, make_docs, monkeypatch):
+    rng = np.random.default_rng(2)
+    items = [(i, prose(rng, 30)) for i in range(12)]
+    passes = []
+    located = d._block_terms
+    monkeypatch.setattr(d, "_block_terms", lambda rows, words: passes.append(len(words.value)) or located(rows, words))
+    docs = make_docs([(i, prose(rng, 50) + " " + text) for i, text in items])
+    found = d.contaminated(docs, spark.createDataFrame(items, "item_id bigint, text string"), group=3, groups=4)
+    assert len(passes) == 1 and passes[0] == len({w for _, t in items for w in t.split()})
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert {(r["key"], r["item"]) for r in found.collect()} == {(i, i) for i, _ in items}
+
+
 def test_latent_space_proposes_most_leaks(spark, sf_dir):
     found = QUERIES["op8_decontamination"](spark, sf_dir.replace("0.001", "0.01")).groupBy("found_by").count().collect()
     counts = {r["found_by"]: r["count"] for r in found}
