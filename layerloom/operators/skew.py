@@ -116,6 +116,13 @@ def _unspread(df: DataFrame, own_slot: str, copies: str) -> DataFrame:
     return df.withColumns({own_slot: F.lit(0), copies: F.lit(1).cast("bigint")})
 
 
+def _join_dealing_nulls(left: DataFrame, right: DataFrame, key: str, by: Sequence[str]) -> DataFrame:
+    """The left join on ``key`` and a second key that repeats it, or stands in for NULL; a row without ``key`` matches nothing."""
+    a = left.withColumn("_deal", F.coalesce(key, F.xxhash64(*by)))
+    b = right.withColumn("_deal", F.col(key))
+    return a.join(b, [key, "_deal"], "left").select(*left.columns, *[c for c in right.columns if c != key])
+
+
 def left_join(
     left: DataFrame,
     right: DataFrame,
@@ -124,6 +131,7 @@ def left_join(
     left_hot: HotKeys | None = None,
     right_hot: HotKeys | None = None,
     left_distinct: bool = False,
+    deal_nulls_by: Sequence[str] = (),
     broadcast: bool = True,
 ) -> DataFrame:
     """``left.join(right, keys, "left")``, split where the hot keys say so.
@@ -133,11 +141,16 @@ def left_join(
     each other, which saves a shuffle to count them; if they are, the result
     is the same but they share a task. Without hot keys, or with a right side
     that Spark broadcasts, this is the plain join: then no left row moves.
-    ``broadcast=False`` splits however small the right side is.
+    ``broadcast=False`` splits however small the right side is. With one integer
+    key, ``deal_nulls_by`` names columns whose hash deals left rows without the
+    key over the tasks of the plain join, however many there are.
     """
     if right_hot is not None:
         right_hot = right_hot.dropna(subset=list(keys))
-    if (left_hot is None and right_hot is None) or (broadcast and fits_broadcast(right)):
+    small = broadcast and fits_broadcast(right)
+    if (left_hot is None and right_hot is None) or small:
+        if deal_nulls_by and not small:
+            return _join_dealing_nulls(left, right, keys[0], deal_nulls_by)
         return left.join(right, list(keys), "left")
     splits = _all_splits(keys, left_hot, right_hot)
 

@@ -24,14 +24,16 @@ def encounter_overview(
     see those the fact was loaded with. Many fact rows may share one key, or
     have none. Each lookup uses another key, so adaptive execution can split
     such partitions by itself; over a written fact, ``busy_keys`` finds them
-    beforehand. A dimension that Spark broadcasts needs no splits and gets none,
+    beforehand. Rows without a key, which may be most, are dealt over the tasks. A dimension that Spark broadcasts needs no splits and gets none,
     unless ``broadcast`` is off.
     """
 
     def lookup(rows: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
         # Encounter and billing id, kept until the end, tell the rows of a key apart.
-        hot = (busy or {}).get(key)
-        return left_join(rows, dimension, [key], left_hot=hot, left_distinct=True, broadcast=broadcast)
+        hot, ids = (busy or {}).get(key), ["encounter_id", "billing_id"]
+        return left_join(
+            rows, dimension, [key], left_hot=hot, left_distinct=True, deal_nulls_by=ids, broadcast=broadcast
+        )
 
     rows = fact.drop("patient_id", "date_sk")
     rows = lookup(

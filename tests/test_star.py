@@ -195,3 +195,36 @@ def test_provider_mart_groups_before_it_joins(spark, overview):
     assert mart.select(F.sum("encounter_count")).first()[0] == 4
     plan = physical_plan(mart)
     assert plan.index("Join [provider_sk") < plan.index("HashAggregate")
+
+
+def test_overview_deals_rows_without_a_key_over_the_tasks(spark):
+    """Most encounters have no catalog row; they used to share the one task of the NULL key."""
+    day, n = date(2024, 1, 5), 4000
+    ids = spark.range(n).select(F.col("id").alias("encounter_id"), F.col("id").alias("billing_id"))
+    absent = F.lit(None).cast("bigint")
+    fact = ids.withColumns(
+        {
+            **{c: F.lit("x") for c in ("treatment", "drug_regimen", "outcome", "insurance", "payment_status", "provider_id")},
+            **{c: F.lit(1) for c in ("number_of_cycles", "treatment_response_score", "billing_amount", "patient_id", "date_sk")},
+            "encounter_date": F.lit(day),
+            "patient_sk": F.when(F.col("encounter_id") < 10, F.col("encounter_id")),
+            "cancer_sk": F.when(F.col("encounter_id") < 10, F.col("encounter_id")),
+            "provider_sk": absent,
+        }
+    )
+    people = spark.sql("SELECT id AS patient_sk, id AS patient_id, 'n' AS patient_name, 'g' AS gender, 1 AS age, 's' AS smoking_status FROM range(5)")
+    cancers = spark.sql("SELECT id AS cancer_sk, 'c' AS cancer_type, 'I' AS stage FROM range(8)")
+    doctors = spark.sql("SELECT id AS provider_sk, 'p' AS provider_name, 's' AS specialty, 'l' AS location FROM range(5)")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        view = marts.encounter_overview(fact, people, cancers, doctors)
+        per_task = [r["count"] for r in view.groupBy(F.spark_partition_id()).count().collect()]
+        found = view.agg(F.count("*"), F.count("patient_name"), F.count("stage"), F.count("provider_name")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert [tuple(r) for r in found] == [(n, 5, 8, 0)]
+    assert max(per_task) < n / 2
