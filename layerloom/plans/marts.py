@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from layerloom.operators.distinct import aggregate_apart
 from layerloom.operators.skew import ROWS_PER_TASK, SAMPLE_RATE, HotKeys, hot_keys, left_join
 from layerloom.operators.star import rotate_providers
 
@@ -162,7 +163,14 @@ def overview_from_files(
 
 def financial_from_files(overview: DataFrame) -> DataFrame:
     """``financial_analytics`` over ``overview_from_files``; groups with a NULL key are left out there."""
-    return financial_analytics(overview.dropna(subset=["encounter_date", "treatment", "insurance", "payment_status"]))
+    keys = ["encounter_date", "treatment", "insurance", "payment_status"]
+    rows = overview.dropna(subset=keys).select(*keys, "encounter_id", "billing_amount")
+    return aggregate_apart(
+        rows,
+        keys,
+        {"encounter_count": "encounter_id"},
+        [F.sum("billing_amount").alias("total_billing_amount"), F.avg("billing_amount").alias("avg_billing_amount")],
+    )
 
 
 def provider_from_files(overview: DataFrame) -> DataFrame:
@@ -173,14 +181,17 @@ def provider_from_files(overview: DataFrame) -> DataFrame:
         "provider_specialty": "specialty",
         "provider_location": "location",
     }
-    return (
-        overview.dropna(subset=list(keys))
-        .groupBy(*[F.col(c).alias(name) for c, name in keys.items()])
-        .agg(
-            F.count_distinct("encounter_id").alias("encounter_count"),
-            F.count_distinct("patient_id").alias("patient_count"),
+    shown = [F.col(c).alias(name) for c, name in keys.items()]
+    rows = overview.dropna(subset=list(keys)).select(
+        *shown, "encounter_id", "patient_id", "treatment_response_score", "billing_amount"
+    )
+    return aggregate_apart(
+        rows,
+        list(keys.values()),
+        {"encounter_count": "encounter_id", "patient_count": "patient_id"},
+        [
             F.avg("treatment_response_score").alias("avg_treatment_response_score"),
             F.sum("billing_amount").alias("total_billing_amount"),
             F.avg("billing_amount").alias("avg_billing_amount"),
-        )
+        ],
     )
