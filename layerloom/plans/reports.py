@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from layerloom.functions.dates import PRESETS, clamp_window, month_label, preset_start
+from layerloom.operators.distinct import distinct_count, stacked
 from layerloom.operators.masking import prefix_mask
 from layerloom.operators.quality import dq_rows
 from layerloom.operators.staging import write_through
@@ -172,18 +173,21 @@ OVERALL = "overall"
 
 
 def report_bundle(rows: DataFrame) -> DataFrame:
-    """Every measure overall and per value of each report's group, in one aggregation over grouping sets.
+    """Every measure overall and per value of each report's group; stored, as are the columns of ``rows`` it needs.
 
+    ``rows`` is worked out once and its stored columns are read once per count. Sums come from one aggregation over grouping sets, each distinct count from one of its own.
     ``grouping_id`` says which set a row is of: a bit for each group that it isn't grouped by.
     """
     groups = list(GROUPED_REPORTS.values())
     labelled = rows.withColumn("month", month_label(F.col("encounter_date")))
+    ids = {"encounter_count": "encounter_id", "patient_count": "patient_id"}
+    labelled = write_through(
+        labelled.select(*groups, *ids.values(), "encounter_date", "billing_amount", "treatment_response_score"), "report-rows"
+    )
     amount = F.col("billing_amount")
     totals = labelled.groupingSets([[], *[[F.col(g)] for g in groups]], *groups).agg(
         F.grouping_id().alias("_set"),
         F.count(F.lit(1)).alias("row_count"),
-        F.count_distinct("encounter_id").alias("encounter_count"),
-        F.count_distinct("patient_id").alias("patient_count"),
         _revenue().alias("revenue"),
         F.avg(amount).alias("avg_billing"),
         F.avg(F.coalesce(amount, F.lit(0))).alias("avg_billing_zero_filled"),
@@ -206,8 +210,17 @@ def report_bundle(rows: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("group_value"),
         *[F.lit(None if m.startswith("avg") else 0).cast(named.schema[m].dataType).alias(m) for m in measures],
     )
-    best = F.max_by(F.struct(*measures), "row_count").alias("of")
-    return named.unionByName(nothing).groupBy("report", "group_value").agg(best).select("report", "group_value", "of.*")
+
+    def counted(count: str, report_name: str, group: str | None) -> DataFrame:
+        of = labelled if group is None else labelled.where(F.col(group).isNotNull())
+        found = distinct_count(of, [] if group is None else [group], ids[count], count)
+        value = F.lit(None) if group is None else F.col(group)
+        return found.select(F.lit(report_name).alias("report"), value.cast("string").alias("group_value"), count)
+
+    asked = {OVERALL: None, **GROUPED_REPORTS}
+    counts = {count: [counted(count, *of) for of in asked.items()] for count in ids}
+    bundle = stacked(named.unionByName(nothing), ["report", "group_value"], "row_count", counts)
+    return write_through(bundle.select("report", "group_value", "row_count", *ids, *measures[1:]), "report-bundle")
 
 
 def from_bundle(bundle: DataFrame) -> dict[str, DataFrame]:
@@ -258,7 +271,7 @@ def report(
     """
     rows = filter_overview(overview, wanted, dates)
     return {
-        **from_bundle(write_through(report_bundle(rows), "report-bundle")),
+        **from_bundle(report_bundle(rows)),
         "top_providers_by_encounters": top_providers(performance, "encounter_count"),
         "top_providers_by_response": top_providers(performance, "avg_treatment_response_score"),
         "governance_slice": governance_slice(rows),
