@@ -126,38 +126,70 @@ def fact_encounters(
     if cardinality not in ("one", "all"):
         raise ValueError(f"cardinality must be 'one' or 'all', not {cardinality!r}")
     limits = {"rows_per_task": rows_per_task, "sample_rate": sample_rate}
-    busy_patients = hot_keys(encounters, ["patient_id"], **limits)
-    bills = billing.select(
-        "encounter_id", "billing_id", F.col("amount").alias("billing_amount"), "insurance", "payment_status"
-    )
-    people = patients.select("patient_id", "patient_sk")
-    cancers = catalog.select("patient_id", "cancer_type", "cancer_sk")
-
     if cardinality == "one":
+        busy_patients = hot_keys(encounters, ["patient_id"], **limits)
         rows = first_per_key(encounters, ["encounter_id"]).join(
-            first_per_key(bills, ["encounter_id"], ["billing_id"]), "encounter_id", "left"
+            first_per_key(_bills(billing), ["encounter_id"], ["billing_id"]), "encounter_id", "left"
         )
+        cancers = catalog.select("patient_id", "cancer_type", "cancer_sk")
         cancers = first_per_key(cancers, ["patient_id"], ["cancer_type"]).drop("cancer_type")
         # Both sides are unique per patient, so one lookup table serves both keys.
-        lookup = people.join(cancers, "patient_id", "full_outer")
+        lookup = patients.select("patient_id", "patient_sk").join(cancers, "patient_id", "full_outer")
         rows = left_join(rows, lookup, ["patient_id"], left_hot=busy_patients, left_distinct=True, broadcast=broadcast)
         rows = assign_providers(rows, providers)
     else:
-        rows = left_join(encounters, people, ["patient_id"], left_hot=busy_patients, broadcast=broadcast)
-        rows = assign_providers(rows, providers)
-        rows = left_join(
-            rows,
-            cancers.drop("cancer_type"),
-            ["patient_id"],
-            left_hot=busy_patients,
-            right_hot=hot_keys(cancers, ["patient_id"], **limits),
-            broadcast=broadcast,
-        )
-        busy_encounters = hot_keys(bills, ["encounter_id"], **limits)
-        rows = left_join(rows, bills, ["encounter_id"], right_hot=busy_encounters, broadcast=broadcast)
+        rows = keyed_encounters(encounters, patients, catalog, providers, **limits, broadcast=broadcast)
+        rows = with_every_bill(rows, billing, **limits, broadcast=broadcast)
     return rows.withColumn("date_sk", date_key(F.col("encounter_date"))).select(*FACT_COLUMNS)
 
 
+def _bills(billing: DataFrame) -> DataFrame:
+    return billing.select(
+        "encounter_id", "billing_id", F.col("amount").alias("billing_amount"), "insurance", "payment_status"
+    )
+
+
+def keyed_encounters(
+    encounters: DataFrame,
+    patients: DataFrame,
+    catalog: DataFrame,
+    providers: DataFrame,
+    *,
+    rows_per_task: int = ROWS_PER_TASK,
+    sample_rate: float = SAMPLE_RATE,
+    broadcast: bool = True,
+) -> DataFrame:
+    """The ``"all"`` fact before its bills: every encounter with its keys, once per current catalog row."""
+    limits = {"rows_per_task": rows_per_task, "sample_rate": sample_rate}
+    busy_patients = hot_keys(encounters, ["patient_id"], **limits)
+    people = patients.select("patient_id", "patient_sk")
+    cancers = catalog.select("patient_id", "cancer_sk")
+    rows = left_join(encounters, people, ["patient_id"], left_hot=busy_patients, broadcast=broadcast)
+    rows = assign_providers(rows, providers)
+    return left_join(
+        rows,
+        cancers,
+        ["patient_id"],
+        left_hot=busy_patients,
+        right_hot=hot_keys(cancers, ["patient_id"], **limits),
+        broadcast=broadcast,
+    )
+
+
+def with_every_bill(
+    rows: DataFrame,
+    billing: DataFrame,
+    *,
+    rows_per_task: int = ROWS_PER_TASK,
+    sample_rate: float = SAMPLE_RATE,
+    broadcast: bool = True,
+) -> DataFrame:
+    """``rows`` once per bill of their encounter, and once without one where there is none."""
+    bills = _bills(billing)
+    busy_encounters = hot_keys(bills, ["encounter_id"], rows_per_task=rows_per_task, sample_rate=sample_rate)
+    return left_join(rows, bills, ["encounter_id"], right_hot=busy_encounters, broadcast=broadcast)
+
+
 def bridge_encounter_provider(fact: DataFrame) -> DataFrame:
     """Encounter-provider pairs of the fact."""
     return fact.where(F.col("provider_sk").isNotNull()).select(

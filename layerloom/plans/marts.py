@@ -2,12 +2,39 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from layerloom.operators.distinct import aggregate_apart
 from layerloom.operators.skew import ROWS_PER_TASK, SAMPLE_RATE, HotKeys, hot_keys, left_join
-from layerloom.operators.star import rotate_providers
+from layerloom.operators.star import keyed_encounters, rotate_providers, with_every_bill
+
+# The columns of the overview.
+OVERVIEW_COLUMNS = (
+    "encounter_id",
+    "encounter_date",
+    "treatment",
+    "drug_regimen",
+    "number_of_cycles",
+    "treatment_response_score",
+    "outcome",
+    "billing_amount",
+    "insurance",
+    "payment_status",
+    "provider_id",
+    "provider_name",
+    "provider_specialty",
+    "provider_location",
+    "patient_id",
+    "patient_name",
+    "gender",
+    "age",
+    "smoking_status",
+    "cancer_type",
+    "stage",
+)
 
 
 def encounter_overview(
@@ -29,21 +56,57 @@ def encounter_overview(
     unless ``broadcast`` is off.
     """
 
+    # Encounter and billing id, kept until the end, tell the rows of a key apart.
+    ids = ["encounter_id", "billing_id"]
+    rows = _with_attributes(fact.drop("date_sk"), patients, catalog, providers, ids, busy or {}, broadcast)
+    return rows.select(*OVERVIEW_COLUMNS)
+
+
+def encounter_overview_all(
+    encounters: DataFrame,
+    patients: DataFrame,
+    catalog: DataFrame,
+    billing: DataFrame,
+    providers: DataFrame,
+    *,
+    rows_per_task: int = ROWS_PER_TASK,
+    sample_rate: float = SAMPLE_RATE,
+) -> DataFrame:
+    """``encounter_overview`` of the ``"all"`` fact, straight from the entities.
+
+    A bill's row has its encounter's attributes, so these are looked up before bills repeat the encounters.
+    """
+    limits = {"rows_per_task": rows_per_task, "sample_rate": sample_rate}
+    rows = keyed_encounters(encounters, patients, catalog, providers, **limits)
+    rows = _with_attributes(rows, patients, catalog, providers, ["encounter_id"])
+    return with_every_bill(rows, billing, **limits).select(*OVERVIEW_COLUMNS)
+
+
+def _with_attributes(
+    rows: DataFrame,
+    patients: DataFrame,
+    catalog: DataFrame,
+    providers: DataFrame,
+    ids: Sequence[str],
+    busy: Mapping[str, HotKeys | None] | None = None,
+    broadcast: bool = True,
+) -> DataFrame:
+    """``rows`` with what their surrogate keys refer to; ``ids`` tell the rows of a key apart."""
+
     def lookup(rows: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
-        # Encounter and billing id, kept until the end, tell the rows of a key apart.
-        hot, ids = (busy or {}).get(key), ["encounter_id", "billing_id"]
+        hot = (busy or {}).get(key)
         return left_join(
             rows, dimension, [key], left_hot=hot, left_distinct=True, deal_nulls_by=ids, broadcast=broadcast
         )
 
-    rows = fact.drop("patient_id", "date_sk")
+    rows = rows.drop("patient_id")
     rows = lookup(
         rows,
         patients.select("patient_sk", "patient_id", "patient_name", "gender", "age", "smoking_status"),
         "patient_sk",
     )
     rows = lookup(rows, catalog.select("cancer_sk", "cancer_type", "stage"), "cancer_sk")
-    rows = lookup(
+    return lookup(
         rows,
         providers.select(
             "provider_sk",
@@ -53,29 +116,6 @@ def encounter_overview(
         ),
         "provider_sk",
     )
-    return rows.select(
-        "encounter_id",
-        "encounter_date",
-        "treatment",
-        "drug_regimen",
-        "number_of_cycles",
-        "treatment_response_score",
-        "outcome",
-        "billing_amount",
-        "insurance",
-        "payment_status",
-        "provider_id",
-        "provider_name",
-        "provider_specialty",
-        "provider_location",
-        "patient_id",
-        "patient_name",
-        "gender",
-        "age",
-        "smoking_status",
-        "cancer_type",
-        "stage",
-    )
 
 
 def busy_keys(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from layerloom.operators.dedupe import latest_per_key
 from layerloom.operators.scd2 import seed_dimension
 from layerloom.operators.star import dim_providers, fact_encounters
-from layerloom.plans.marts import encounter_overview, provider_performance
+from layerloom.plans.marts import encounter_overview, encounter_overview_all, provider_performance
 from layerloom.plans.reports import ReportFilter, filter_overview
 
 T0 = "2020-01-01 00:00:00"
@@ -205,6 +205,8 @@ def fact(spark, d, cardinality: str = "one", dims: Dimensions | None = None, **l
 
 def overview(spark, d, cardinality: str = "one") -> DataFrame:
     dims = dimensions(spark, d)
+    if cardinality == "all":
+        return encounter_overview_all(encounters(spark, d), dims.patients, dims.catalog, billing(spark, d), dims.providers)
     return encounter_overview(
         fact(spark, d, cardinality, dims), dims.patients, dims.catalog, dims.providers
     )

@@ -228,3 +228,26 @@ def test_overview_deals_rows_without_a_key_over_the_tasks(spark):
             spark.conf.set(k, v)
     assert [tuple(r) for r in found] == [(n, 5, 8, 0)]
     assert max(per_task) < n / 2
+
+
+def test_overview_of_every_bill_looks_attributes_up_before_bills(spark, star):
+    """The rows equal those over the fact; only the last join holds bills."""
+    encounters, patients, catalog, billing, providers = star
+    patients = patients.withColumns({"patient_name": F.lit("n"), "gender": F.lit("g"), "age": F.lit(1), "smoking_status": F.lit("s")})
+    catalog = catalog.withColumn("stage", F.lit("I"))
+    entities = encounters, patients, catalog, billing, providers
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        view = marts.encounter_overview_all(*entities)
+        over_fact = marts.encounter_overview(fact_encounters(*entities, cardinality="all"), patients, catalog, providers)
+        assert rows(view) == rows(over_fact) and len(rows(view)) == 11
+        plan = physical_plan(view)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    # The plan is printed from the last join to the first.
+    assert "encounter_id" in joins[0] and sum("encounter_id" in j for j in joins) == 1
