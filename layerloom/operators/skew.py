@@ -81,6 +81,9 @@ def _with_splits(df: DataFrame, keys: Sequence[str], splits: DataFrame) -> DataF
     for k in keys:
         match = df[k].eqNullSafe(splits[f"_key_{k}"])
         on = match if on is None else on & match
+    if not fits_broadcast(splits):
+        # One row per key and far fewer than the rows they are looked up for, which this saves sorting.
+        splits = splits.hint("shuffle_hash")
     return df.join(splits, on, "left").select(
         *[df[c] for c in df.columns],
         *[F.coalesce(splits[c], F.lit(1)).alias(c) for c in ("_left_splits", "_right_splits")],

@@ -11,7 +11,7 @@ from layerloom.functions.dates import date_key
 from layerloom.functions.hashing import stable_bucket
 from layerloom.operators.dedupe import first_per_key, latest_per_key
 from layerloom.operators.keys import dense_key
-from layerloom.operators.skew import ROWS_PER_TASK, SAMPLE_RATE, hot_keys, left_join
+from layerloom.operators.skew import ROWS_PER_TASK, SAMPLE_RATE, fits_broadcast, hot_keys, left_join
 
 # Fixed value: how the bridge names the assignment.
 ASSIGNMENT_METHOD = "HASH_ENCOUNTER_PROVIDER_ASSIGNMENT"
@@ -159,21 +159,26 @@ def keyed_encounters(
     sample_rate: float = SAMPLE_RATE,
     broadcast: bool = True,
 ) -> DataFrame:
-    """The ``"all"`` fact before its bills: every encounter with its keys, once per current catalog row."""
+    """The ``"all"`` fact before its bills: every encounter with its keys, once per current catalog row.
+
+    Where lookups are split, exact copies of an encounter are counted once for both and written out after them;
+    bills, which match by encounter, would bring them together in any case.
+    """
     limits = {"rows_per_task": rows_per_task, "sample_rate": sample_rate}
     busy_patients = hot_keys(encounters, ["patient_id"], **limits)
     people = patients.select("patient_id", "patient_sk")
     cancers = catalog.select("patient_id", "cancer_sk")
-    rows = left_join(encounters, people, ["patient_id"], left_hot=busy_patients, broadcast=broadcast)
+    split = busy_patients is not None and not (broadcast and fits_broadcast(people))
+    of_left = {"left_hot": busy_patients, "left_distinct": split, "broadcast": broadcast}
+    rows = encounters.groupBy(*encounters.columns).agg(F.count(F.lit(1)).alias("_copies")) if split else encounters
+    rows = left_join(rows, people, ["patient_id"], **of_left)
     rows = assign_providers(rows, providers)
-    return left_join(
-        rows,
-        cancers,
-        ["patient_id"],
-        left_hot=busy_patients,
-        right_hot=hot_keys(cancers, ["patient_id"], **limits),
-        broadcast=broadcast,
+    rows = left_join(
+        rows, cancers, ["patient_id"], right_hot=hot_keys(cancers, ["patient_id"], **limits), **of_left
     )
+    if not split:
+        return rows
+    return rows.withColumn("_copies", F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies"))).drop("_copies")
 
 
 def with_every_bill(

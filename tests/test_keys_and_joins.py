@@ -196,3 +196,19 @@ def test_many_key_columns_and_unmatched_keys(spark):
         broadcast=False,
     )
     assert rows(joined) == rows(left.join(right, ["x", "y"], "left"))
+
+
+def test_rows_are_not_sorted_to_look_their_splits_up(spark):
+    """A list of hot keys too long to broadcast is hashed; every row used to be sorted for it."""
+    left, right = _skewed(spark)
+    hot = hot_keys(left, ["k"], rows_per_task=10, sample_rate=1.0)
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    try:
+        spark.conf.set(limit, "-1")
+        joined = left_join(left, right, ["k"], left_hot=hot, broadcast=False)
+        plan = physical_plan(joined)
+        assert rows(joined.select("k", "l", "r")) == rows(left.join(right, "k", "left").select("k", "l", "r"))
+    finally:
+        spark.conf.set(limit, before)
+    assert plan.count("ShuffledHashJoin") == 2 and plan.count("SortMergeJoin") == 1

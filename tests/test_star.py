@@ -10,6 +10,7 @@ from layerloom.operators.star import (
     dim_date,
     dim_providers,
     fact_encounters,
+    keyed_encounters,
     rotate_providers,
     with_date_key,
 )
@@ -251,3 +252,15 @@ def test_overview_of_every_bill_looks_attributes_up_before_bills(spark, star):
     joins = [line for line in plan.splitlines() if "Join" in line]
     # The plan is printed from the last join to the first.
     assert "encounter_id" in joins[0] and sum("encounter_id" in j for j in joins) == 1
+
+
+def test_copies_of_encounters_are_counted_once_for_both_lookups(spark, star):
+    """Each lookup used to count them again, over all columns."""
+    encounters, patients, catalog, _, providers = star
+    copied = encounters.unionByName(encounters.where("encounter_id = 'e1'"))
+    limits = {"rows_per_task": 1, "sample_rate": 1.0}
+    split = keyed_encounters(copied, patients, catalog, providers, **limits, broadcast=False)
+    plain = keyed_encounters(copied, patients, catalog, providers).select(split.columns)
+    assert rows(split) == rows(plain) and len(rows(split)) == 11
+    counted = [line for line in split._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate [" in line and "outcome" in line]
+    assert len(counted) == 1
