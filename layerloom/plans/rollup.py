@@ -32,15 +32,19 @@ class Rollup:
     groups: tuple[str, ...] = GROUPS
 
 
-def _numbered(rows: DataFrame, column: str) -> DataFrame:
-    """``rows`` with the dense number of their value of ``column``; NULL stays without one."""
-    first = rows.where(F.col(column).isNotNull()).groupBy(column).agg(F.min("encounter_date").alias("_day"))
+def _numbered(rows: DataFrame, groups: Sequence[str], column: str) -> DataFrame:
+    """The different values of ``column`` in each group by their dense number; NULL has none."""
+    rows = rows.where(F.col(column).isNotNull())
+    first = rows.groupBy(column).agg(F.min("encounter_date").alias("_day"))
     numbers = dense_key(first, ["_day", column], "_number").select(column, "_number")
-    return rows.join(numbers, column, "left")
+    return rows.select(*groups, column).distinct().join(numbers, column).drop(column)
 
 
 def build_rollup(overview: DataFrame, groups: Sequence[str] = GROUPS) -> Rollup:
-    """From the overview's rows, read once; both tables are stored."""
+    """From the overview's rows, read once; both tables are stored.
+
+    A bitmap of few ids is far larger than these, so ids are brought together first and each bitmap is made once.
+    """
     rows = write_through(
         overview.withColumn("encounter_month", month_label(F.col("encounter_date"))).select(
             *groups, "encounter_date", *DISTINCT.values(), "billing_amount", "treatment_response_score"
@@ -57,10 +61,15 @@ def build_rollup(overview: DataFrame, groups: Sequence[str] = GROUPS) -> Rollup:
     bitmaps = None
     for measure, column in DISTINCT.items():
         bits = (
-            _numbered(rows.select(*groups, "encounter_date", column), column)
-            .where(F.col("_number").isNotNull())
-            .groupBy(*groups, F.bitmap_bucket_number("_number").alias("bucket"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_number")).alias("bits"))
+            _numbered(rows, groups, column)
+            .select(
+                *groups,
+                F.bitmap_bucket_number("_number").alias("bucket"),
+                F.bitmap_bit_position("_number").cast("int").alias("_bit"),
+            )
+            .repartition(*groups, "bucket")
+            .groupBy(*groups, "bucket")
+            .agg(F.bitmap_construct_agg(F.col("_bit").cast("bigint")).alias("bits"))
             .select(*groups, F.lit(measure).alias("measure"), "bucket", "bits")
         )
         bitmaps = bits if bitmaps is None else bitmaps.unionByName(bits)

@@ -51,6 +51,18 @@ def test_rollup_equals_the_rows(overview, by):
         rollup.roll_up(built, ["city"])
 
 
+def test_each_bitmap_is_made_once_from_different_ids(spark, overview, monkeypatch):
+    """Every task used to send a bitmap of its own for the few ids it had of a group."""
+    plans = {}
+    write = rollup.write_through
+    monkeypatch.setattr(rollup, "write_through", lambda df, label: (plans.update({label: df}), write(df, label))[1])
+    rollup.build_rollup(overview.unionByName(overview))
+    plan = physical_plan(plans["rollup-bitmaps"])
+    made = [line.index("SortAggregate") for line in plan.splitlines() if "bitmap_construct_agg" in line]
+    between = plan[plan.index("bitmap_construct_agg"):plan.index("partial_bitmap_construct_agg")]
+    assert len(made) == 4 and "Exchange" not in between
+
+
 def test_kpi_and_empty_rollup(overview):
     for given in (overview, overview.where("treatment = 'x'"), overview.limit(0)):
         assert rows(rollup.kpi_from_rollup(rollup.build_rollup(given))) == rows(reports.kpi_summary(given))
